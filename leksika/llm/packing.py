@@ -55,7 +55,7 @@ def word_ids(distinct: pa.Array, name: str) -> list[bytes]:
     """
     encoder, kept = tokenizer(name)
     words = distinct.to_pylist()
-    stems = [w[:-1] if w[-1] in b".," and w[-2:-1].isalnum() else w for w in words]
+    stems = [w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalnum() else w for w in words]
     found = {w: kept.get(w) for w in (*stems, b".", b",")}
     missing = [w for w, ids in found.items() if ids is None]
     for at in range(0, len(missing), 20_000):
