@@ -119,6 +119,11 @@ def judged(docs: DataFrame, score, fold: Column) -> DataFrame:
 PREDICT_AT = 0.3
 
 
+#: The six bytes of ASCII white space, and A-Z to a-z, whatever the worker's locale.
+WHITE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+
+
 class Words:
     """The ASCII-white-space words of a batch of texts, each distinct word once.
 
@@ -128,20 +133,24 @@ class Words:
 
     def __init__(self, column: pa.Array, lower: bool = False):
         texts = pc.fill_null(column.cast(pa.large_string()), "")
-        texts = pc.ascii_lower(texts) if lower else texts
-        lists = pc.ascii_split_whitespace(texts)
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.flatten().dictionary_encode()
-        codes, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.cast(pa.large_binary())
-        offsets -= offsets[0]
-        empty = pc.index(distinct, b"").as_py()
-        if empty >= 0:  # white space at either end of a text
-            real = codes != empty
-            offsets = np.concatenate(([0], np.cumsum(real)))[offsets]
-            codes = codes[real]
-        self.codes, self.distinct = codes, distinct
-        self.starts, self.ends = offsets[:-1], offsets[1:]
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        held = texts.buffers()[2]
+        data = (np.frombuffer(held, np.uint8) if held is not None else np.empty(0, np.uint8))[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        if lower:
+            data = LOWER[data]
+        solid = ~WHITE[data]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        first = ends[:-1][ends[:-1] < len(data)]
+        begins[first] = solid[first]  # a word ends where its text does
+        at = np.flatnonzero(begins)
+        offsets = np.append((np.cumsum(solid) - 1)[at], solid.sum()).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
+        coded = words.dictionary_encode()
+        self.codes, self.distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+        bounds = np.searchsorted(at, ends)
+        self.starts, self.ends = bounds[:-1], bounds[1:]
 
     def raw(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the distinct words, one after another, and where each begins (with the end added)."""
