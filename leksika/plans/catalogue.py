@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from leksika.plans import corpus, general, ingest, lookups, published, text
+from leksika.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+for _module in (lookups, text, corpus, ingest, published, general):
+    QUERIES |= _module.query.queries
+    SQL |= _module.query.sql
