@@ -126,7 +126,7 @@ def retry_after(value: Column, now: Column) -> Column:
     """seconds to wait by a Retry-After header: seconds, or an HTTP date; null if invalid or negative, 0 if past."""
     seconds = F.when(value.rlike(r"^\s*\d+(\.\d+)?\s*$"), F.trim(value).cast("double"))
     at = F.try_to_timestamp(F.regexp_replace(F.trim(value), "^[A-Za-z]{3}, ", ""), F.lit("dd MMM yyyy HH:mm:ss zzz"))
-    return F.coalesce(seconds, F.greatest(F.lit(0.0), (F.unix_micros(at.cast("timestamp")) - F.unix_micros(now.cast("timestamp"))) / 1e6))
+    return F.coalesce(seconds, F.when(at.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(at.cast("timestamp")) - F.unix_micros(now.cast("timestamp"))) / 1e6)))
 
 
 def backoff(attempt: Column, base: float = 0.5, most: float = 8.0) -> Column:
