@@ -217,12 +217,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, i
     return fps.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document, that of the smallest doc_id, of each class; rows without an id stay.
 
-    Rows that repeat a kept doc_id are copies of it, and one of them stays.
+    ``found`` has doc_id, component_id. Rows that repeat a kept doc_id are copies of it, and one of them stays.
     """
-    found = materialise(near_duplicates(docs, words, max_bits), "classes")
+    found = materialise(found, "found")
     lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__lost")).distinct()
     again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
     kept = docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
@@ -231,6 +231,6 @@ def drop_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS) -
     return once.unionByName(more)
 
 
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near-duplicates stays."""
-    return drop_duplicates(docs)
+def drop_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of each class of ``near_duplicates``."""
+    return one_of_each(docs, near_duplicates(docs, words, max_bits))
