@@ -2,9 +2,9 @@
 
 Folding lower-cases, turns letters of other alphabets that look Latin into Latin ones, drops invisible
 characters and reads digits and signs inside words as the letters they stand for. Lexicon entries are
-whole words or word beginnings; their weights are log ratios of document frequencies in labelled
-training rows. Matches within an exception phrase don't count. The summed weight for 1,000 characters
-goes through a logistic curve fitted on the same rows.
+whole words or word beginnings; their weights are log ratios of frequencies in labelled training rows.
+Matches within an exception phrase don't count, and a word counts once. The summed weight, normalised by
+a power of the text's length, goes through a logistic curve fitted on the same rows, that power included.
 
 Defined results: null and empty texts score as a text without a match; texts are read whole; repeated
 rows score alike; an empty table gives an empty result, and with no labelled rows every score is the
@@ -37,26 +37,39 @@ STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b
 EXCEPTIONS = ("class clown", "clown fish", "trash can", "trash bin", "trash talk", "pond scum")
 
 FOLD = {ord(k): v for k, v in LOOKALIKES.items()} | {ord(c): None for c in INVISIBLE} | {0xFF41 + i: chr(97 + i) for i in range(26)} | {0xFF10 + i: chr(48 + i) for i in range(10)}
-ANY_STAND_IN = re.compile(r"[01345789@$]")
-STAND_IN = re.compile(r"(?<=[^\W\d_])[013457@$8](?=[^\W\d_])|(?<![\d.,])[0134578@$](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[013457](?![\d%])")
+#: A word with stand-ins: it ends with a letter or digit, so that signs after it stay signs.
+DISGUISED = re.compile(r"[^\W_@$]*[0134578@$](?:[\w@$]*[^\W_])?")
+UNMASK = str.maketrans(STAND_INS)
+MASKS = frozenset(STAND_INS)
 WORD = re.compile(r"[^\W\d_]+")
-#: Lengths of word beginnings that may become entries; least evidence (log likelihood ratio) and purity of an entry.
-STEMS, LEAST_G, LEAST_PURITY = (4, 5, 6, 7), 30.0, 0.9
+#: Lengths of word beginnings that may become entries; least evidence (log likelihood ratio), purity and toxic documents of an entry.
+STEMS, LEAST_G, LEAST_PURITY, LEAST_DOCUMENTS = (3, 4, 5, 6, 7, 8), 25.0, 0.5, 4
+#: An entry's longer forms are preferred if they keep this share of its evidence.
+KEPT_SHARE = 0.9
 
 
 def fold(text: str) -> str:
     text = text.lower()
     if not text.isascii():
         text = text.translate(FOLD)
-    if ANY_STAND_IN.search(text):
-        text = STAND_IN.sub(lambda m: STAND_INS[m[0]], text)
+    if not MASKS.isdisjoint(text):
+        text = DISGUISED.sub(unmasked, text)
     return text
 
 
+def unmasked(found: re.Match) -> str:
+    """A word of two letters or more with its stand-ins read as letters."""
+    word = found[0]
+    return word.translate(UNMASK) if sum(map(str.isalpha, word)) > 1 else word
+
+
 def first_of_copies(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Leave out texts most of whose five-word shingles (an eighth of them, by hash) an earlier one had: copies are no new evidence."""
-    seen, kept = set(), []
+    seen, kept, whole = set(), [], set()
     for i, text in enumerate(texts):
+        if text in whole:
+            continue
+        whole.add(text)
         words = text.lower().split()
         marks = {h for h in (crc32(" ".join(words[j : j + 5]).encode()) for j in range(max(1, len(words) - 4))) if h % 8 == 0}
         if not marks or 2 * len(marks & seen) <= len(marks):
@@ -66,36 +79,38 @@ def first_of_copies(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndar
 
 
 def learn_lexicon(texts: list[str], toxic: np.ndarray) -> dict[tuple[str, bool], float]:
-    """(entry, whether it is a whole word) -> weight, from the document frequencies of words and word beginnings."""
+    """(entry, whether it is a whole word) -> weight, from how many distinct words of toxic and of other texts have it."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
+    documents, words_of = Counter(), [0, 0]
     for text, bad in zip(texts, toxic.tolist(), strict=True):
         words = set(WORD.findall(fold(text)))
-        seen[bad].update((w, True) for w in words)
-        seen[bad].update({(w[:n], False) for w in words for n in STEMS if len(w) >= n})
+        words_of[bad] += len(words)
+        entries = [(w, True) for w in words] + [(w[:n], False) for w in words for n in STEMS if len(w) >= n]
+        seen[bad].update(entries)
+        if bad:
+            documents.update(set(entries))
     bad, good = seen[1], seen[0]
-    n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    n_bad, n_good = max(1, words_of[1]), max(1, words_of[0])
     share = n_bad / (n_bad + n_good)
-    found = {}
+    found: dict[tuple[str, bool], tuple[float, float]] = {}
     for entry, a in bad.items():
         b = good[entry]
         purity = a / (a + b)
-        if purity <= share or purity < LEAST_PURITY:
+        if documents[entry] < LEAST_DOCUMENTS or purity <= share or purity < LEAST_PURITY:
             continue
         g = 2 * (a * np.log(purity / share) + (b * np.log((1 - purity) / (1 - share)) if b else 0))
         if g >= LEAST_G:
-            found[entry] = float(np.log((a + 0.5) / (n_bad + 1)) - np.log((b + 0.5) / (n_good + 1)))
-    # Of a family, the longest entry that still has nine tenths of the evidence; then no entry that a shorter one covers.
-    best: dict[str, int] = {}
-    for entry, _ in found:
-        for n in STEMS:
-            if n <= len(entry):
-                best[entry[:n]] = max(best.get(entry[:n], 0), *(bad[x] for x in ((entry, True), (entry, False)) if x in found and (x[1] or n < len(entry))), 0)
-    kept = {}
-    for (entry, whole), weight in sorted(found.items(), key=lambda x: (len(x[0][0]), x[0])):
-        if not whole and best[entry] >= 0.9 * bad[entry, False]:
-            continue
-        if not any((entry[:n], False) in kept for n in STEMS if n < len(entry) or whole and n <= len(entry)):
-            kept[entry, whole] = weight
+            found[entry] = float(g), float(np.log((a + 0.5) / n_bad) - np.log((b + 0.5) / n_good))
+    # The best evidence first; of its family the whole word or longest beginning that is about as good; the rest of the family goes.
+    kept, left = {}, sorted(found, key=lambda e: (-found[e][0], e))
+    while left:
+        top = left[0]
+        family = [e for e in left if e[0].startswith(top[0]) or top[0].startswith(e[0])]
+        close = [e for e in family if e[0].startswith(top[0]) and found[e][0] >= KEPT_SHARE * found[top][0]]
+        best = max(close, key=lambda e: (e[1], len(e[0]), e[0]))
+        kept[best] = found[best][1]
+        gone = set(family)
+        left = [e for e in left if e not in gone]
     return kept
 
 
@@ -113,7 +128,7 @@ def matcher(lexicon: dict[tuple[str, bool], float], exceptions: tuple[str, ...]
 
 
 def weight_of(folded: str, automaton: ahocorasick.Automaton) -> float:
-    """Summed weight of the words that begin with or are an entry, outside exception phrases."""
+    """Summed weight of the distinct words that begin with or are an entry, outside exception phrases."""
     hits, excused = {}, []
     for end, (length, whole, stem, exception) in automaton.iter(folded):
         start = end - length + 1
@@ -125,27 +140,34 @@ def weight_of(folded: str, automaton: ahocorasick.Automaton) -> float:
         weight = max(stem or 0.0, (whole or 0.0) if closed else 0.0)
         if weight:
             hits[start] = max(weight, hits.get(start, 0.0))
-    return sum(w for s, w in hits.items() if not any(a <= s <= b for a, b in excused))
+    words = {}
+    for start, weight in hits.items():
+        if not any(a <= start <= b for a, b in excused):
+            words[WORD.match(folded, start)[0]] = weight
+    return sum(words.values())
 
 
-def density(folded: str, automaton: ahocorasick.Automaton) -> float:
-    return float(np.log1p(1000 * weight_of(folded, automaton) / max(100, len(folded))))
+def evidence(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, float]:
+    """Logarithms of the summed weight and of the length; the curve's weight for the second normalises the first."""
+    weight = weight_of(folded, automaton)
+    return float(np.log1p(weight)), float(np.log(max(100, len(folded)) / 1000)) if weight else 0.0
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve, by Newton steps."""
-    design, beta = np.stack((np.ones_like(x), x), axis=1), np.zeros(2)
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Intercept and slopes of a logistic curve, by Newton steps."""
+    design = np.concatenate((np.ones((len(x), 1)), x), axis=1)
+    beta, ridge = np.zeros(design.shape[1]), ridge * max(1, len(x))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(2) * max(1, len(x))
-        beta = beta + np.clip(np.linalg.solve(hessian, design.T @ (y - p) - ridge * max(1, len(x)) * beta), -5, 5)
-    return float(beta[0]), float(beta[1])
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(beta))
+        beta = beta + np.clip(np.linalg.solve(hessian, design.T @ (y - p) - ridge * beta), -5, 5)
+    return beta
 
 
 class Toxicity:
     """A fitted model: small, pickled into tasks; the automaton is built once in each worker."""
 
-    def __init__(self, lexicon: dict[tuple[str, bool], float], curve: tuple[float, float], exceptions: tuple[str, ...] = EXCEPTIONS):
+    def __init__(self, lexicon: dict[tuple[str, bool], float], curve: np.ndarray, exceptions: tuple[str, ...] = EXCEPTIONS):
         self.lexicon, self.curve, self.exceptions, self._automaton = lexicon, curve, exceptions, None
 
     def __getstate__(self) -> dict:
@@ -154,9 +176,9 @@ class Toxicity:
     @classmethod
     def learn(cls, sample: pa.Table) -> Toxicity:
         texts, y = first_of_copies(sample.column("text").to_pylist(), (sample.column("label").to_numpy() > 0).astype(np.int64))
-        model = cls(learn_lexicon(texts, y), (0.0, 0.0))
+        model = cls(learn_lexicon(texts, y), np.zeros(3))
         # One toxic and one clean row more keep the curve defined when a class is missing.
-        x = np.array([density(fold(t), model.automaton) for t in texts] + [np.log1p(5.0), 0.0])
+        x = np.array([evidence(fold(t), model.automaton) for t in texts] + [(np.log1p(10.0), 0.0), (0.0, 0.0)])
         model.curve = fit_curve(x, np.append(y, (1, 0)))
         return model
 
@@ -167,8 +189,8 @@ class Toxicity:
         return self._automaton
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        x = np.array([density(fold(t or ""), self.automaton) for t in texts.to_pylist()])
-        return 1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * x)))
+        x = np.array([evidence(fold(t or ""), self.automaton) for t in texts.to_pylist()]).reshape(-1, 2)
+        return 1 / (1 + np.exp(-(self.curve[0] + x @ self.curve[1:])))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Toxicity:
