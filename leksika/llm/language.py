@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from leksika.llm.common import Words, materialise, pieces, sums_between
 
 #: Rows with a known language that text models learn from at most, by hash; bytes of the longest.
-TRAIN_ROWS, TRAIN_BYTES = 2000, 1 << 16
+TRAIN_ROWS, TRAIN_BYTES = 400, 1 << 15
 BUCKETS, ALPHA = 1 << 18, 0.1
 #: A text counts as this many independent trigrams at most: its evidence is a mean, tempered.
 TEMPER = 60.0
