@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leksika.functions.hashing import pseudo_vector
+from leksika.operators.checkpoint import fingerprint
 
 CHUNK = 500
 
@@ -76,12 +77,9 @@ def deduplicated(rows: DataFrame, key: str, digest: str) -> DataFrame:
 
 
 def manifest(entries: DataFrame, key: str, digest: str, status: str) -> DataFrame:
-    """Counts and, for a release that is listed in one file, its ids and hashes in order of id."""
-    pairs = F.array_sort(F.collect_list(F.concat_ws(":", key, digest)))
-    return entries.agg(
-        F.count("*").alias("entries"), F.count_if(F.col(status) == "active").alias("active"), F.count_if(F.col(status) == "inactive").alias("inactive"),
-        F.sha2(F.array_join(pairs, "\n"), 256).alias("digest"),
-    )
+    """Counts, and the fingerprint of ids with their hashes."""
+    counts = entries.agg(F.count("*").alias("entries"), F.count_if(F.col(status) == "active").alias("active"), F.count_if(F.col(status) == "inactive").alias("inactive"))
+    return counts.join(F.broadcast(fingerprint(entries, key, F.concat_ws(":", key, digest)).select(F.col("fingerprint").alias("digest"))))
 
 
 def missing_and_extra(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
