@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.common import materialise
+from leksika.llm.common import among_least, materialise
 from leksika.llm.vectors import Distinct, against_all, best, matrix, usable, widen
 
 #: Distinct vectors that codebooks are fitted on at most: those with the smallest hashes.
@@ -102,7 +102,8 @@ def fit_books(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, seed:
 
 def train(vectors: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
     """Codebooks (books, words, dimensions) from a bounded sample; None without vectors."""
-    rows = vectors.select("vec").distinct().orderBy(F.xxhash64("vec")).limit(sample).toArrow()
+    digest = F.xxhash64("vec")
+    rows = vectors.select("vec").where(among_least(digest, sample, vectors.count())).distinct().orderBy(F.shiftrightunsigned(digest, 1), digest).limit(sample).toArrow()
     return fit_books(matrix(rows.column("vec"))) if rows.num_rows else None
 
 

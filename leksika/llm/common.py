@@ -80,6 +80,15 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def among_least(digest: Column, keep: int, total: int) -> Column:
+    """Whether a 64-bit hash is among the least four times ``keep`` of ``total`` evenly spread ones.
+
+    A sample of the ``keep`` least hashes then orders a bounded set, however many rows and tasks there are.
+    """
+    share = 1.0 if total <= 4 * keep else 4.0 * keep / total
+    return F.shiftrightunsigned(digest, 33) < int(share * (1 << 31))
+
+
 #: Labelled rows that a classifier learns from at most, and bytes of the longest text among them.
 TRAIN_ROWS, TRAIN_BYTES = 8000, 1 << 18
 
@@ -91,11 +100,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column
     over ``max_bytes`` are left out. An id with several labels takes the largest; null labels and null
     ids teach nothing. The ids of the sample are broadcast: ``max_rows`` numbers at most.
     """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & fold)
+    digest = F.xxhash64("doc_id")
     ids = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & fold)
-        .groupBy("doc_id").agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        known.where(among_least(digest, max_rows, known.count())).groupBy("doc_id").agg(F.max("label").alias("label"))
+        .orderBy(F.shiftrightunsigned(digest, 1), digest, "doc_id").limit(max_rows)
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     met = texts.join(F.broadcast(ids), "doc_id").where(F.octet_length("text") <= max_bytes)

@@ -26,10 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leksika.llm.common import Words, materialise, pieces, sums_between
+from leksika.llm.common import Words, among_least, materialise, pieces, sums_between
 
 #: Rows with a known language that text models learn from at most, by hash; bytes of the longest.
 TRAIN_ROWS, TRAIN_BYTES = 400, 1 << 15
+#: Languages that are told apart at most: those of most rows.
+LANGUAGES = 32
 BUCKETS, ALPHA = 1 << 18, 0.1
 #: A text counts as this many independent trigrams at most: its evidence is a mean, tempered.
 TEMPER = 60.0
@@ -96,8 +98,11 @@ def learn_text(rows: DataFrame, text: str, lang: str, max_rows: int = TRAIN_ROWS
     known = rows.select(F.col(text).cast("string").alias("text"), F.lower(F.col(lang).cast("string")).alias("lang"))
     known = known.where("text is not null and lang rlike '^[a-z]{2,3}$'").where(F.octet_length("text") <= TRAIN_BYTES)
     hashed = known.select("text", "lang", F.xxhash64("text").alias("h"))
-    languages = sorted(r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(32).collect())
-    parts = [hashed.where(F.col("lang") == one).orderBy("h", "text").limit(max_rows).select("text", "lang").toArrow() for one in languages]
+    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    parts = []
+    for one in sorted(sizes):
+        own = hashed.where((F.col("lang") == one) & among_least(F.col("h"), max_rows, sizes[one]))
+        parts.append(own.orderBy(F.shiftrightunsigned("h", 1), "h", "text").limit(max_rows).select("text", "lang").toArrow())
     if not parts:
         return TextModel.learn(pa.array([], pa.string()), [])
     table = pa.concat_tables(parts).combine_chunks()

@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from leksika.llm.common import Words, pieces, remainder, sums_between, work_path
 
-#: Tokens that a task counts before it sends pairs on; bytes of text for each bucket.
+#: Tokens that a task counts before it sends pairs on; bytes of text for each bucket, which a task of some ten times
+#: that memory adds up: with larger executors, larger buckets keep the packed pieces long.
 FLUSH, BUCKET_BYTES = 2_500_000, 32 << 20
 LOW = np.uint64((1 << 48) - 1)
 BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(x)) & LOW for x in (b" ", b"\n"))  # no word has white space
