@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leksika.functions import hashing as H
@@ -52,11 +52,13 @@ def q_official_vs_evidence(spark, sf_dir):
     return V.official_and_evidence(rows, "conv_id", "tier", ["text", "parity"], "turn").select("conv_id", "turn", F.array_join("differs", ",").alias("differs"))
 
 
-STATUS = F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "purchase", 200).when(F.col("event_type") == "signup", 404).otherwise(200)
+def status() -> Column:
+    """An HTTP status for each kind of event."""
+    return F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "signup", 404).otherwise(200)
 
 
 def tried(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = T.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", STATUS.alias("status"))
+    rows = T.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", status().alias("status"))
     return C.attempts(rows, "user_id", ["ts", "event_id"], "status")
 
 
@@ -76,7 +78,11 @@ def q_retry_exhausted(spark, sf_dir):
     return tried(spark, sf_dir).groupBy("user_id").agg(F.count_if("exhausted").alias("exhausted"), F.max("attempt").alias("last_attempt"), F.count_if(F.col("kind") == "success").alias("reads"))
 
 
-OUTCOME = F.when(F.col("event_type") == "purchase", "accepted").when(F.col("event_type") == "error", "retryable").when(F.col("event_type") == "signup", "failed").otherwise("pending")
+def outcome() -> Column:
+    """An outcome for each kind of event."""
+    return F.when(F.col("event_type") == "purchase", "accepted").when(F.col("event_type") == "error", "retryable").when(F.col("event_type") == "signup", "failed").otherwise("pending")
+
+
 OUTCOME_SQL = "CASE event_type WHEN 'purchase' THEN 'accepted' WHEN 'error' THEN 'retryable' WHEN 'signup' THEN 'failed' ELSE 'pending' END"
 
 
@@ -84,7 +90,7 @@ OUTCOME_SQL = "CASE event_type WHEN 'purchase' THEN 'accepted' WHEN 'error' THEN
 SELECT c.outcome AS outcome, count(o.outcome) AS n FROM c LEFT JOIN o ON c.outcome = o.outcome GROUP BY 1""")
 def q_outcome_counts(spark, sf_dir):
     """A01."""
-    return C.outcome_counts(T.read(spark, sf_dir, "events").select(OUTCOME.alias("outcome")))
+    return C.outcome_counts(T.read(spark, sf_dir, "events").select(outcome().alias("outcome")))
 
 
 @query(f"""WITH o AS (SELECT {OUTCOME_SQL} AS outcome FROM events), a AS (SELECT count(*) FILTER (WHERE outcome IN ('accepted', 'failed')) AS terminal, count(*) FILTER (WHERE outcome NOT IN ('accepted', 'failed')) AS pending,
@@ -92,7 +98,7 @@ def q_outcome_counts(spark, sf_dir):
 SELECT terminal, pending, pending = 0 AS complete, blocked, pending = 0 AND NOT blocked AS eligible, CASE WHEN pending > 0 AND blocked THEN 'incomplete,retryable' WHEN pending > 0 THEN 'incomplete' ELSE '' END AS reasons FROM a""")
 def q_completion(spark, sf_dir):
     """A02, A03, A04."""
-    return C.completion(T.read(spark, sf_dir, "events").select(OUTCOME.alias("outcome"))).withColumn("reasons", F.array_join("reasons", ","))
+    return C.completion(T.read(spark, sf_dir, "events").select(outcome().alias("outcome"))).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @query("""WITH s AS (SELECT doc_id FROM documents WHERE doc_id % 3 = 0), o AS (SELECT doc_id FROM labels)
