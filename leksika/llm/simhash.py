@@ -220,15 +220,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, i
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document, that of the smallest doc_id, of each class; rows without an id stay.
 
-    ``found`` has doc_id, component_id. Rows that repeat a kept doc_id are copies of it, and one of them stays.
+    ``found`` has doc_id, component_id. Rows that share a doc_id are taken for copies, and one of them stays.
     """
-    found = materialise(found, "found")
-    lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__lost")).distinct()
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
-    kept = docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
-    once = kept.join(again, kept["doc_id"] == again["__again"], "left_anti")
-    more = kept.join(again, kept["doc_id"] == again["__again"], "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    by_id = found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count("*").alias("rows"))
+    by_id = materialise(by_id.where("not kept or rows > 1"), "found")
+    lost, again = (by_id.where(c).select("doc_id") for c in ("not kept", "kept"))
+    # Texts are dealt out once, by merge at every size: which side fits a broadcast would change with it.
+    gone = lost.unionAll(again).select(F.col("doc_id").alias("__gone")).hint("merge")
+    kept = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    if again.isEmpty():
+        return kept
+    repeated = again.select(F.col("doc_id").alias("__again"))
+    return kept.unionByName(docs.join(repeated, docs["doc_id"] == repeated["__again"], "left_semi").dropDuplicates(["doc_id"]))
 
 
 def drop_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
