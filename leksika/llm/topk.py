@@ -95,7 +95,7 @@ def top_k(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, scal
         width = max(q.shape[1], x.shape[1], 1)
         q, x = widen(q, width), widen(x, width)
         have = Distinct(right.column("id").to_numpy(), x, k + 1)
-        asked = np.unique(np.concatenate((left.column("id").to_numpy()[:, None].astype(np.float64), q), axis=1), axis=0, return_index=True)[1]
+        asked = np.array(sorted({(i, v.tobytes()): k for k, (i, v) in enumerate(zip(left.column("id").to_pylist(), q, strict=True))}.values()))
         query_ids = left.column("id").to_numpy()[asked]
         return best(query_ids, *search_block(query_ids, q[asked], have, k), have, k)
 

@@ -124,3 +124,10 @@ def test_beam_is_no_worse_than_greedy():
     books = additive.fit_books(x, books=4, words=16)
     error = lambda beam: ((x - additive.decode(additive.encode(x, books, beam), books)) ** 2).sum()
     assert error(8) <= error(1) + 1e-6
+
+
+def test_ids_beyond_doubles_stay_apart(spark):
+    big = 1 << 61
+    rows = [(50 * (big // 50), [1.0]), (50 * (big // 50) + 50, [1.0]), (1, [2.0])]
+    found = answers(topk.top_k(frame(spark, rows)))
+    assert {q: [i for i, _ in best] for q, best in found.items()} == {rows[0][0]: [1, rows[1][0]], rows[1][0]: [1, rows[0][0]]}
