@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,17 +43,12 @@ def verified(content: Column, expected: Column) -> Column:
     return sha256(content) == F.lower(expected)
 
 
-def pseudo_vector(text: Column, dimensions: int = 768) -> Column:
-    """a unit vector made of the text's hash; component i is (byte / 127.5 - 1) * 0.1 + (i mod 7) * 0.001.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body, or a lambda within, names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    The norm's sum is compensated (Neumaier), so that it equals an exactly rounded sum in the last bit.
-    """
-    digest = sha256(text)
-    raw = F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda i: (F.conv(F.substring(digest, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("double") / 127.5 - 1.0) * 0.1 + (i % 7).cast("double") * 0.001,
-    )
-    squares = F.transform(raw, lambda x: x * x)
+
+def _norm(vector: Column) -> Column:
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c"))
 
     def add(acc: Column, x: Column) -> Column:
@@ -59,8 +56,22 @@ def pseudo_vector(text: Column, dimensions: int = 768) -> Column:
         lost = F.when(F.abs(acc["s"]) >= F.abs(x), (acc["s"] - total) + x).otherwise((x - total) + acc["s"])
         return F.struct(total.alias("s"), (acc["c"] + lost).alias("c"))
 
-    norm = F.sqrt(F.aggregate(squares, zero, add, lambda acc: acc["s"] + acc["c"]))
-    return F.transform(raw, lambda x: F.when(norm == 0, x).otherwise(x / norm))
+    return F.sqrt(F.aggregate(F.transform(vector, lambda x: x * x), zero, add, lambda acc: acc["s"] + acc["c"]))
+
+
+def pseudo_vector(text: Column, dimensions: int = 768) -> Column:
+    """a unit vector made of the text's hash; component i is (byte / 127.5 - 1) * 0.1 + (i mod 7) * 0.001.
+
+    The norm's sum is compensated (Neumaier), so that it equals an exactly rounded sum in the last bit.
+    """
+
+    def component(digest: Column, i: Column) -> Column:
+        byte = F.conv(F.substring(digest, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("double")
+        return (byte / 127.5 - 1.0) * 0.1 + (i % 7).cast("double") * 0.001
+
+    places = F.sequence(F.lit(0), F.lit(dimensions - 1))
+    unit = lambda raw: let(_norm(raw), lambda n: F.transform(raw, lambda x: F.when(n == 0, x).otherwise(x / n)))
+    return let(sha256(text), lambda digest: let(F.transform(places, lambda i: component(digest, i)), unit))
 
 
 def attempt_id(run: Column, index: Column, binding: Column) -> Column:
