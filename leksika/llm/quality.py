@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from leksika.llm.common import Words, judged, labelled_sample, remainder, sums_between
 
 BUCKETS, DIM, GRAMS = 1 << 18, 8, (1, 3, 4)
-EPOCHS, RATE, BATCH, TRAIN_ROWS = 4, 0.6, 32, 4000
+EPOCHS, RATE, BATCH, TRAIN_ROWS = 5, 0.6, 32, 2800
 #: The first buckets stand for: a repeated word, a repeated line, the document itself.
 REPEAT, LINE, DOCUMENT, RESERVED = 0, 1, 2, 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
