@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from leksika.llm.common import Words, among_least, materialise, pieces, sums_between
 
-#: Rows with a known language that text models learn from at most, by hash; bytes of the longest.
+#: Distinct texts of a language that its model learns from at most, by hash; bytes of the longest.
 TRAIN_ROWS, TRAIN_BYTES = 400, 1 << 15
 #: Languages that are told apart at most: those of most rows.
 LANGUAGES = 32
@@ -94,15 +94,23 @@ class TextModel:
 
 
 def learn_text(rows: DataFrame, text: str, lang: str, max_rows: int = TRAIN_ROWS) -> TextModel:
-    """From at most ``max_rows`` rows of each language, those with the smallest hashes of their text."""
+    """From at most ``max_rows`` distinct texts of each language, those with the smallest hashes; copies count once."""
     known = rows.select(F.col(text).cast("string").alias("text"), F.lower(F.col(lang).cast("string")).alias("lang"))
     known = known.where("text is not null and lang rlike '^[a-z]{2,3}$'").where(F.octet_length("text") <= TRAIN_BYTES)
     hashed = known.select("text", "lang", F.xxhash64("text").alias("h"))
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    counts = hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h", 0.02).alias("texts"))
+    sizes = {r.lang: r.texts for r in counts.orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()}
     parts = []
     for one in sorted(sizes):
-        own = hashed.where((F.col("lang") == one) & among_least(F.col("h"), max_rows, sizes[one]))
-        parts.append(own.orderBy(F.shiftrightunsigned("h", 1), "h", "text").limit(max_rows).select("text", "lang").toArrow())
+        own = hashed.where(F.col("lang") == one)
+
+        def least(some: DataFrame) -> pa.Table:
+            return some.dropDuplicates(["h"]).orderBy(F.shiftrightunsigned("h", 1), "h").limit(max_rows).select("text", "lang").toArrow()
+
+        part = least(own.where(among_least(F.col("h"), max_rows, sizes[one])))
+        if part.num_rows < max_rows < sizes[one]:
+            part = least(own)
+        parts.append(part)
     if not parts:
         return TextModel.learn(pa.array([], pa.string()), [])
     table = pa.concat_tables(parts).combine_chunks()
