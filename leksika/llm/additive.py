@@ -101,9 +101,16 @@ def fit_books(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, seed:
 
 
 def train(vectors: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
-    """Codebooks (books, words, dimensions) from a bounded sample; None without vectors."""
-    digest = F.xxhash64("vec")
-    rows = vectors.select("vec").where(among_least(digest, sample, vectors.count())).distinct().orderBy(F.shiftrightunsigned(digest, 1), digest).limit(sample).toArrow()
+    """Codebooks (books, words, dimensions) from a bounded sample of distinct vectors, copies counted once; None without vectors."""
+    hashed = vectors.select("vec", F.xxhash64("vec").alias("h"))
+    total = hashed.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+
+    def least(some: DataFrame) -> pa.Table:
+        return some.distinct().orderBy(F.shiftrightunsigned("h", 1), "h").limit(sample).toArrow()
+
+    rows = least(hashed.where(among_least(F.col("h"), sample, total)))
+    if rows.num_rows < sample < total:
+        rows = least(hashed)
     return fit_books(matrix(rows.column("vec"))) if rows.num_rows else None
 
 

@@ -1,8 +1,9 @@
 """Samples that models are fitted on hold distinct texts and vectors, whatever copies there are."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from leksika.llm import language
+from leksika.llm import additive, language
 
 
 def test_copied_texts_teach_once(spark):
@@ -20,3 +21,11 @@ def test_copied_texts_teach_once(spark):
     finally:
         language.TextModel.learn = real
     assert langs == ["de"] * 8 and len(set(taught)) == 8
+
+
+def test_copied_vectors_train_whole_codebooks(spark):
+    """60 vectors of 200 rows each, a sample of 50: thinning by rows left one or two of them."""
+    x = np.random.default_rng(2).normal(size=(60, 8))
+    few = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    books = additive.train(few.crossJoin(spark.range(200).select(F.col("id").alias("copy"))), 50)
+    assert books.shape == (additive.BOOKS, 50, 8)
