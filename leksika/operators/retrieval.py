@@ -74,9 +74,8 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, measure: str = "DOT_
 
 
 def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: str = "DOT_PRODUCT") -> DataFrame:
-    """J06 for a bounded set of queries, at most 1,000 of them, broadcast; each query's ``k`` nearest others."""
-    bounded = queries.orderBy("query_id").limit(1000)
-    met = vectors.join(F.broadcast(bounded), F.col("vec_id") != F.col("query_id"))
+    """J06 for any number of queries: each query's ``k`` nearest others. Pairs of partitions of both sides, or a broadcast where Catalyst finds one side small."""
+    met = vectors.join(queries, F.col("vec_id") != F.col("query_id"))
     scored = met.withColumn("distance", DISTANCES[measure](F.col("embedding"), F.col("query")))
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
