@@ -26,12 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks are on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="leksika-"))
     return context.getCheckpointDir().get().rstrip("/")
 
@@ -41,11 +43,23 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/leksika-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Whether what a finished write had shuffled is removed; Spark's default keeps it as long as the driver remembers the plan.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
+
+    The plan ``df`` has shuffles of its own only, so these are removed once it is written.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

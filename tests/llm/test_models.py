@@ -20,62 +20,78 @@ def tokens(text):
     return (text or "").encode().lower().split()
 
 
-def kneser_ney(texts):
-    """Plain dictionaries for the same model: P(v | u), and counts."""
-    pairs, unigrams = Counter(), Counter()
+def kneser_ney(texts, order):
+    """Plain dictionaries for the same model: P(word | words before it), and counts of words."""
+    levels, unigrams = [None] + [Counter() for _ in range(order)], Counter()
     for t in texts:
-        seq = [b"\x00", *tokens(t), b"\x01"]
-        pairs.update(zip(seq, seq[1:], strict=False))
-        unigrams.update(seq[1:])
-    context, kinds, before = Counter(), defaultdict(Counter), Counter()
-    for (u, v), c in pairs.items():
-        context[u] += c
-        kinds[u][min(c, 3)] += 1
-        before[v] += 1
-
-    def discounts(counts):
-        n = Counter(counts)
-        return ngrams.Model.discounts(n[1], n[2], n[3], n[4])
-
-    high, low = discounts(pairs.values()), discounts(before.values())
-    spare = sum(low[min(c, 3)] for c in before.values())
-
-    def word(v):
-        return (before[v] - low[min(before[v], 3)] + spare / (len(before) + 1)) / len(pairs) if pairs else 1 / (len(before) + 1)
-
-    def p(u, v):
-        if not context[u]:
-            return word(v)
-        c = pairs[u, v]
-        return (c - high[min(c, 3)] + sum(high[k] * n for k, n in kinds[u].items()) * word(v)) / context[u]
-
-    return p, word, unigrams
-
-
-@pytest.mark.parametrize("bucket", [1 << 11, 1 << 25])
-def test_scores_are_those_of_dictionaries(spark, bucket, monkeypatch):
+        seq = [b"\x00"] * (order - 1) + [*tokens(t), b"\x01"]
+        levels[order].update(tuple(seq[i - order + 1 : i + 1]) for i in range(order - 1, len(seq)))
+        unigrams.update(seq[order - 1 :])
+    for n in range(order - 1, 0, -1):
+        levels[n].update(gram[1:] for gram in levels[n + 1])  # each different word before counts once
+    contexts = [None, *(defaultdict(Counter) for _ in range(order))]
+    totals = [None, *(Counter() for _ in range(order))]
+    discounts = [None]
+    for n in range(1, order + 1):
+        kinds = Counter(levels[n].values())
+        discounts.append(ngrams.Model.discounts(kinds[1], kinds[2], kinds[3], kinds[4]))
+        for gram, c in levels[n].items():
+            totals[n][gram[:-1]] += c
+            contexts[n][gram[:-1]][min(c, 3)] += 1
+
+    def p(before, word):
+        before = tuple(before)
+        n = len(before) + 1
+        below = p(before[1:], word) if n > 1 else 1 / (len(unigrams) + 1)
+        if not totals[n][before]:
+            return below
+        c = levels[n][(*before, word)]
+        return (c - discounts[n][min(c, 3)] + sum(discounts[n][k] * m for k, m in contexts[n][before].items()) * below) / totals[n][before]
+
+    return p, unigrams
+
+
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize(("bucket", "share"), [(1 << 11, 0.25), (1 << 11, 1e-6), (1 << 25, 0.25)])
+def test_scores_are_those_of_dictionaries(spark, order, bucket, share, monkeypatch):
+    """In one bucket and in many, with a few words split and with all of them."""
     monkeypatch.setattr(ngrams, "BUCKET_BYTES", bucket)
     monkeypatch.setattr(ngrams, "FLUSH", 500)
+    monkeypatch.setattr(ngrams, "SPLIT_SHARE", share)
     rng = random.Random(3)
     words = ["The", "the", "é", "É", "x\x0by", "end.", *"abcdefgh"]
     rows = [(None if i == 9 else i, " ".join(rng.choice(words) for _ in range(rng.choice((0, 1, 3, 30, 200)))), "clash") for i in range(150)]
     rows += [(400, None, "x"), (401, "", "x"), (3, rows[3][1], "x"), (402, "never seen words", "x"), (403, "w " * 20000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(4)
-    found = ngrams.perplexities(docs).collect()
+    found = ngrams.perplexities(docs, order).collect()
     train = [t for i, t, _ in rows if i is not None and crc32(str(i).encode()) % 5 != 1]
-    p, word, unigrams = kneser_ney(train)
+    p, unigrams = kneser_ney(train, order)
     n, v = sum(unigrams.values()), len(unigrams)
-    assert sum(p(b"the", w) for w in unigrams) + p(b"the", b"unknown") == pytest.approx(1)
+    for before in ((b"the",), (b"the", b"a"), (b"unknown", b"the"), (b"w", b"w")):
+        assert sum(p(before[1 - order :], w) for w in unigrams) + p(before[1 - order :], b"unknown") == pytest.approx(1)
     texts = defaultdict(list)
     for i, t, _ in rows:
         texts[i].append(t)
     assert len(found) == len(rows)
     for r in found:
-        seq = [b"\x00", *tokens(texts[r.doc_id][0]), b"\x01"]
+        seq = [b"\x00"] * (order - 1) + [*tokens(texts[r.doc_id][0]), b"\x01"]
+        words_of = seq[order - 1 :]
         assert r.held_out == (r.doc_id is not None and crc32(str(r.doc_id).encode()) % 5 == 1)
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(seq) - 1, sum(unigrams[t] > 0 for t in seq[1:]), n)
-        assert r.base_score == pytest.approx(sum(math.log10((unigrams[t] + 0.5) / (n + 0.5 * (v + 1))) for t in seq[1:]))
-        assert r.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(seq, seq[1:], strict=False)))
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words_of), sum(unigrams[t] > 0 for t in words_of), n)
+        assert r.base_score == pytest.approx(sum(math.log10((unigrams[t] + 0.5) / (n + 0.5 * (v + 1))) for t in words_of))
+        assert r.score == pytest.approx(sum(math.log10(p(seq[i - order + 1 : i], seq[i])) for i in range(order - 1, len(seq))))
+
+
+def test_values_of_any_size_are_kept(tmp_path):
+    """The usual, a byte's and more than 32 bits, and a store told by one slash."""
+    keys = np.array([3, 7, 9, 2**63], np.uint64)
+    folder = ngrams.Folder(f"file:{tmp_path}")
+    ngrams.write_table(folder, "trigram", 0, keys, [np.array([1, 200, 256, 2**40])])
+    model = ngrams.Model(folder, 3, 0, {}, 1)
+    found, values = model.find("trigram", np.array([3, 4, 7, 9, 2**63], np.uint64), np.zeros(5, np.int64))
+    assert found.tolist() == [True, False, True, True, True] and values[0].tolist() == [1, 0, 200, 256, 2**40]
+    assert ngrams.Folder("hdfs:/x").local() is None and ngrams.Folder("hdfs://h/x").local() is None
+    assert {ngrams.Folder(u).local() for u in ("file:/x", "file:///x", "/x")} == {"/x"}
 
 
 def test_model_beats_base_on_held_out_texts(spark):
