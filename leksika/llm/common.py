@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,26 +103,40 @@ def among_least(digest: Column, keep: int, total: int) -> Column:
     return F.shiftrightunsigned(digest, 33) < int(share * (1 << 31))
 
 
-#: Labelled rows that a classifier learns from at most, and bytes of the longest text among them.
-TRAIN_ROWS, TRAIN_BYTES = 8000, 1 << 18
+def least_share(total: Column, keep: int) -> Column:
+    """The same for a ``total`` by row: what the hash's 31 highest bits are to stay below."""
+    return F.when(total <= 4 * keep, F.lit(1 << 31)).otherwise((F.lit(4.0 * keep * (1 << 31)) / total).cast("long"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES) -> pa.Table:
-    """text, label of at most ``max_rows`` labelled documents, for the driver to learn from.
+#: Labelled rows that a classifier learns from at most.
+TRAIN_ROWS = 8000
 
-    The rows are those of the smallest id hashes where ``fold`` (over the column doc_id) holds; texts of
-    over ``max_bytes`` are left out. An id with several labels takes the largest; null labels and null
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id, text, label of at most ``max_rows`` labelled documents, whole texts, written to the shared folder.
+
+    The rows are those of the smallest id hashes where ``fold`` (over the column doc_id) holds. An id with
+    several labels takes the largest, one with several texts that of the smallest hash; null labels and null
     ids teach nothing. The ids of the sample are broadcast: ``max_rows`` numbers at most.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & fold)
     digest = F.xxhash64("doc_id")
-    ids = (
-        known.where(among_least(digest, max_rows, known.count())).groupBy("doc_id").agg(F.max("label").alias("label"))
-        .orderBy(F.shiftrightunsigned(digest, 1), digest, "doc_id").limit(max_rows)
-    )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    met = texts.join(F.broadcast(ids), "doc_id").where(F.octet_length("text") <= max_bytes)
-    return met.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("text", "label").toArrow()
+    # Labels of ids that have no document here teach nothing and take no place.
+    known = materialise(known.groupBy("doc_id").agg(F.max("label").alias("label")).join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
+    ids = known.where(among_least(digest, max_rows, known.count())).orderBy(F.shiftrightunsigned(digest, 1), digest, "doc_id").limit(max_rows)
+    met = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
+    return materialise(met, "labelled")
+
+
+def in_tasks(sample: DataFrame, of_text: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> pa.Table:
+    """What ``of_text`` makes of the rows of a sample, in order of doc_id: texts stay where they are, features come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches):
+            yield of_text(part)
+
+    return sample.repartition(32, "doc_id").mapInArrow(run, schema).toArrow().sort_by("doc_id").combine_chunks()
 
 
 def judged(docs: DataFrame, score, fold: Column) -> DataFrame:

@@ -1,18 +1,24 @@
 """Language ID by Bayesian evidence fusion.
 
 The posterior of a page's or document's language is proportional to
-  prior(host) * likelihood(text) * P(declared language | language) * P(address suffix | language).
+  prior(host) * likelihood(text) * P(declared language | language).
 Text likelihoods are those of character trigrams of words, learned from rows whose language is known,
 tempered because neighbouring trigrams say the same twice. What the markup declares and how the address
 ends are likelihood tables counted by grouped aggregation over all rows. The prior of a host is smoothed
-towards its parent domain's, that towards its own parent's, up to the counts of all rows. Counts take a
+towards its parent domain's, that towards its own parent's, up to the address suffix, whose prior is Bayes' rule
+on the counts of all rows and P(suffix | language): the suffix is the root, so it counts once. Counts take a
 row's language from its text alone, so declarations are judged by texts. Each key is counted by partial
-aggregation, so a host that holds a third of all rows is no large group.
+aggregation, and keys that hold more than a thousandth of the rows are joined apart, by a broadcast of at most a
+thousand of them, so a host that holds a third of all rows is no large group.
 
-Defined results: null text, host or declaration is no evidence; a text without letters, or with too little
-evidence (posterior below ``least``), is ``und``; markup is taken from texts read whole; repeated rows are
-counted as often as they stand; ties go to the first language in order; an empty table gives an empty
-result; extra columns are carried by the stage and not read by the query.
+Every language is learned that has rows: its code is the primary subtag of ``lang``, two or three letters. A
+language costs a megabyte of model and time in proportion.
+
+Defined results: null text, host or declaration is no evidence; an address of more than 253 characters is none
+(the length that names may have); a text without letters, or with too little evidence (posterior below
+``least``), is ``und``; texts and markup are read whole; repeated rows are counted as often as they stand; ties
+go to the first language in order; an empty table gives an empty result; extra columns, whatever their names,
+are carried by the stage and not read by the query.
 """
 
 from __future__ import annotations
@@ -25,23 +31,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from leksika.llm.common import Words, among_least, materialise, pieces, sums_between
+from leksika.llm.common import Words, least_share, materialise, pieces, sums_between
 
-#: Distinct texts of a language that its model learns from at most, by hash; bytes of the longest.
-TRAIN_ROWS, TRAIN_BYTES = 400, 1 << 15
-#: Languages that are told apart at most: those of most rows.
-LANGUAGES = 32
+#: Distinct texts of a language that its model learns from at most, by hash.
+TRAIN_ROWS = 400
 BUCKETS, ALPHA = 1 << 18, 0.1
 #: A text counts as this many independent trigrams at most: its evidence is a mean, tempered.
 TEMPER = 60.0
 #: Pseudo-rows by which a domain's prior leans on its parent's, and each table on an even one.
 LEAN, EVEN = 20.0, 1.0
-#: Below this posterior the language is undetermined; below this mean log10 gain over noise the text is no language.
-LEAST, LEAST_GAIN = 0.5, -0.35
+#: Below this posterior the language is undetermined.
+LEAST = 0.5
+
+#: A key with more than this share of the rows is joined by broadcast; there are at most as many as its inverse.
+HOT = 1000
+#: Characters of the longest address that names may have.
+HOST = 253
 
-TAG = re.compile(r"(?is)<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
+LEFT_OUT = re.compile(r"(?i)<(script|style|nav|footer)\b")
+HTML, LANG = re.compile(r"(?i)<html\b"), re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})\b""")
 
 
 def grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -66,20 +76,14 @@ class TextModel:
         self.languages, self.gains, self.seen = languages, gains, seen
 
     @classmethod
-    def learn(cls, texts: pa.Array, langs: list[str]) -> TextModel:
-        languages = sorted(set(langs))
-        counts = np.zeros((max(1, len(languages)), BUCKETS))
-        if languages:
-            words = Words(texts, lower=True)
-            ids, owner = grams(words)
-            order = np.argsort(owner, kind="stable")
-            ids, at = ids[order], np.searchsorted(owner[order], np.arange(len(words.distinct) + 1))
-            for lang, s, e in zip(langs, words.starts, words.ends, strict=True):
-                for w, n in zip(*np.unique(words.codes[s:e], return_counts=True), strict=True):
-                    np.add.at(counts[languages.index(lang)], ids[at[w] : at[w + 1]], n)
-        shares = (counts + ALPHA) / (counts.sum(axis=1, keepdims=True) + ALPHA * BUCKETS)
-        gains = np.log10(shares) - np.log10(shares.mean(axis=0))
-        return cls(languages, gains.astype(np.float32), counts.sum(axis=0) > 0)
+    def of_counts(cls, languages: list[str], counts: np.ndarray) -> TextModel:
+        """From how often each language has each trigram (languages, buckets)."""
+        total = counts.sum(axis=1, keepdims=True, dtype=np.float64) + ALPHA * BUCKETS
+        gains = np.empty(counts.shape, np.float32)
+        for at in range(0, BUCKETS if languages else 0, 1 << 14):
+            shares = (counts[:, at : at + (1 << 14)] + ALPHA) / total
+            gains[:, at : at + (1 << 14)] = np.log10(shares) - np.log10(shares.mean(axis=0))
+        return cls(languages, gains, counts.sum(axis=0) > 0)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text: mean gain of each language, number of trigrams, share of trigrams ever seen."""
@@ -93,52 +97,108 @@ class TextModel:
         return total / some[:, None], size, known / some
 
 
+def primary(lang: Column) -> Column:
+    """The primary subtag of a language tag: two or three letters; null for anything else."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(lang.cast("string"))), "^([a-z]{2,3})(?:[-_].*)?$", 1), F.lit(""))
+
+
 def learn_text(rows: DataFrame, text: str, lang: str, max_rows: int = TRAIN_ROWS) -> TextModel:
-    """From at most ``max_rows`` distinct texts of each language, those with the smallest hashes; copies count once."""
-    known = rows.select(F.col(text).cast("string").alias("text"), F.lower(F.col(lang).cast("string")).alias("lang"))
-    known = known.where("text is not null and lang rlike '^[a-z]{2,3}$'").where(F.octet_length("text") <= TRAIN_BYTES)
-    hashed = known.select("text", "lang", F.xxhash64("text").alias("h"))
-    counts = hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h", 0.02).alias("texts"))
-    sizes = {r.lang: r.texts for r in counts.orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()}
-    parts = []
-    for one in sorted(sizes):
-        own = hashed.where(F.col("lang") == one)
-
-        def least(some: DataFrame) -> pa.Table:
-            return some.dropDuplicates(["h"]).orderBy(F.shiftrightunsigned("h", 1), "h").limit(max_rows).select("text", "lang").toArrow()
-
-        part = least(own.where(among_least(F.col("h"), max_rows, sizes[one])))
-        if part.num_rows < max_rows < sizes[one]:
-            part = least(own)
-        parts.append(part)
-    if not parts:
-        return TextModel.learn(pa.array([], pa.string()), [])
-    table = pa.concat_tables(parts).combine_chunks()
-    return TextModel.learn(table.column("text").combine_chunks(), table.column("lang").to_pylist())
+    """From at most ``max_rows`` distinct texts of each language, those with the smallest hashes; copies count once.
 
+    Hashes are thinned before they are ordered, texts are fetched by hash, and trigrams are counted where the texts
+    are, so neither the number of languages nor the length of a text makes a large task.
+    """
+    known = rows.select(F.col(text).cast("string").alias("text"), primary(F.col(lang)).alias("lang")).where("text is not null and lang is not null")
+    hashed = known.select("lang", F.xxhash64("text").alias("h"))
+    sizes = materialise(hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("texts")), "languages")
+    thinned = hashed.join(F.broadcast(sizes), "lang").where(F.shiftrightunsigned("h", 33) < least_share(F.col("texts"), max_rows)).select("lang", "h").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 1), "h"))
+    taken = thinned.withColumn("place", place).where(F.col("place") <= max_rows).select(F.col("lang").alias("of"), "h")
+    met = known.join(F.broadcast(taken), (F.col("lang") == F.col("of")) & (F.xxhash64("text") == F.col("h")))
+    sample = materialise(met.groupBy("of", "h").agg(F.first("text").alias("text")), "texts").repartition(32)
 
-def bare(html: str) -> str:
-    """Text of markup, without scripts, styles, navigation and footers."""
-    return TAG.sub(" ", html)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches):
+            words = Words(part.column("text"), lower=True)
+            ids, owner = grams(words)
+            order = np.argsort(owner, kind="stable")
+            ids, at = ids[order], np.searchsorted(owner[order], np.arange(len(words.distinct) + 1))
+            for lang, s, e in zip(part.column("of").to_pylist(), words.starts, words.ends, strict=True):
+                times = np.bincount(words.codes[s:e], minlength=len(words.distinct))
+                mine = np.bincount(ids, np.repeat(times, np.diff(at)), BUCKETS)
+                some = np.flatnonzero(mine)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(mine[some].astype(np.int64))], ["of", "bucket", "n"])
+
+    summed = sample.mapInArrow(run, "of string, bucket int, n long").groupBy("of", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(r.lang for r in sizes.collect())
+    counts = np.zeros((len(languages), BUCKETS), np.float32)
+    number = {lang: i for i, lang in enumerate(languages)}
+    if summed.num_rows:
+        coded = summed.column("of").combine_chunks().dictionary_encode()
+        of = np.array([number[x] for x in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+        counts[of, summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
+    return TextModel.of_counts(languages, counts)
 
 
-def text_evidence(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
-    """``rows`` (key, text, declared, host) with the text's log gains and, for markup, what it declares."""
+def bare(html: str) -> str:
+    """Text of markup, without scripts, styles, navigation and footers. One pass, whatever is left open."""
+    out, at, searched = [], 0, set()
+
+    def end_of(pattern: str, start: int) -> int:
+        """Where the first match after ``start`` ends; a pattern that isn't found is not looked for again."""
+        if pattern in searched:
+            return -1
+        found = re.compile(pattern, re.IGNORECASE).search(html, start)
+        if found is None:
+            searched.add(pattern)
+            return -1
+        return found.end()
+
+    while True:
+        start = html.find("<", at)
+        if start < 0:
+            break
+        end, block = -1, LEFT_OUT.match(html, start)
+        if block:
+            end = end_of(rf"</{block[1].lower()}\s*>", block.end())
+        elif html.startswith("<!--", start):
+            end = end_of("-->", start + 4)
+        if end < 0:
+            end = end_of(">", start)
+        if end < 0:
+            break
+        out.append(html[at:start])
+        at = end
+    return " ".join((*out, html[at:]))
+
+
+def declared_in(html: str) -> str | None:
+    """The language that the first ``html`` tag which names one does."""
+    at = 0
+    while tag := HTML.search(html, at):
+        at = html.find(">", tag.end())
+        at = len(html) if at < 0 else at
+        if named := LANG.search(html, tag.end(), at):
+            return named[1].lower()
+    return None
+
+
+def text_evidence(rows: DataFrame, model: TextModel, markup: bool, text: str = "text", keep: bool = False) -> DataFrame:
+    """``rows`` (text, declared, host and others) with the text's log gains and, for markup, what it declares; with the text, if it is to ``keep``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    out = T.StructType([f for f in rows.schema.fields if f.name != "text"] + T._parse_datatype_string("gain array<double>, size long").fields)
+    out = T.StructType([f for f in rows.schema.fields if keep or f.name != text] + T._parse_datatype_string("gain array<double>, size long").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for part in pieces(batches):
-            texts, declared = part.column("text"), part.column("declared")
+        for part in pieces(batches, text):
+            texts, declared = part.column(text).cast(pa.string()), part.column("declared")
             if markup:
                 html = [x or "" for x in texts.to_pylist()]
-                found = [DECLARED.search(x) for x in html]
-                declared = pa.array([d.group(1).lower() if d else None for d in found], pa.string())
+                declared = pa.array([declared_in(x) for x in html], pa.string())
                 texts = pa.array([bare(x) for x in html], pa.string())
             gains, size, known = m(texts)
             size = np.where(known >= 0.5, size, 0)  # what looks like no language that was learned is no evidence
-            columns = {n: part.column(n) for n in part.schema.names if n != "text"} | {"declared": declared}
+            columns = dict(zip(part.schema.names, part.columns, strict=True)) | {"declared": declared}
             columns |= {"gain": pa.array(gains.tolist(), pa.list_(pa.float64())), "size": pa.array(size.astype(np.int64))}
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in out.fields], out.names)
 
@@ -157,67 +217,71 @@ def counted(rows: DataFrame, key: str, languages: list[str]) -> DataFrame:
     return rows.where(F.col(key).isNotNull() & F.col("best").isNotNull()).groupBy(key).agg(*sums).select(key, F.array(*[f"n{i}" for i in range(len(languages))]).alias("n"))
 
 
-def fuse(rows: DataFrame, languages: list[str], least: float = LEAST) -> DataFrame:
-    """``rows`` (key, declared, host, gain, size) -> key, lang, posterior.
+def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with the ``value`` of ``table``, which has each ``key`` once; null where it hasn't.
 
-    The priors of hosts are smoothed from the suffix down, level by level; a host of more than eight
-    labels is taken by its last eight.
+    Keys of more than one in ``HOT`` rows, of which there are fewer than ``HOT``, are met by broadcast; the rows of these, and those
+    without a key, go to all tasks of the join of the others.
     """
+    counts = rows.groupBy(key).count()
+    many = rows.count() // HOT
+    hot = materialise(table.join(F.broadcast(counts.where((F.col("count") > many) & F.col(key).isNotNull()).select(key)), key), "hot")
+    met = rows.join(F.broadcast(hot.withColumnRenamed(value, "__hot")), key, "left")
+    apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(4096)).cast("string"))
+    met = met.withColumn("__key", F.when(F.col(key).isNotNull() & F.col("__hot").isNull(), F.col(key)).otherwise(apart))
+    others = table.select(F.col(key).alias("__key"), F.col(value).alias("__other"))
+    return met.join(others, "__key", "left").withColumn(value, F.coalesce("__hot", "__other")).drop("__key", "__hot", "__other")
+
+
+def fuse(rows: DataFrame, languages: list[str], least: float = LEAST) -> DataFrame:
+    """``rows`` (declared, host, gain, size and others) -> the others, size, lang, posterior."""
     n = len(languages)
+    others = [c for c in rows.columns if c not in ("declared", "host", "gain", "size")]
     weight = F.least(F.col("size").cast("double"), F.lit(TEMPER))
     evidence = F.transform("gain", lambda g: g * weight)
-    top = F.array_max(evidence)
-    rows = rows.withColumn("text_log", evidence).withColumn("best", F.when(F.col("size") > 0, F.array_position(evidence, top) - 1))
-    labels = F.split("host", r"\.")
-    rows = rows.withColumn("chain", F.when(F.col("host").isNotNull() & (F.col("host") != ""), parents(F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 7), F.size(labels)), "."))))
-    rows = rows.withColumn("suffix", F.element_at("chain", -1))
+    rows = rows.withColumn("text_log", evidence).withColumn("best", F.when(F.col("size") > 0, F.array_position("text_log", F.array_max("text_log")) - 1))
+    rows = rows.withColumn("host", F.when((F.col("host") != "") & (F.length("host") <= HOST), F.col("host"))).drop("gain")
     rows = materialise(rows, "evidence")
 
     every = rows.where("best is not null").agg(*[F.sum((F.col("best") == i).cast("double")) for i in range(n)]).first()
     total = [float(x or 0) for x in every]
-    grand = sum(total)
-    overall = [(x + EVEN / n) / (grand + EVEN) for x in total]
+    overall = [(x + EVEN / n) / (sum(total) + EVEN) for x in total]
+    numbers = lambda values: F.array(*[F.lit(float(x)) for x in values])
+    add = lambda s, x: s + x
 
     def leaned(own: Column, base: Column) -> Column:
-        size = F.aggregate(own, F.lit(0.0), lambda s, x: s + x)
+        size = F.aggregate(own, F.lit(0.0), add)
         return F.zip_with(own, base, lambda x, b: (x + LEAN * b) / (size + LEAN))
 
-    # Domains of each depth: their prior leans on that of the domain one label shorter.
-    domains = rows.where("best is not null").select("best", F.explode("chain").alias("domain"))
-    domains = materialise(counted(domains, "domain", languages).withColumn("depth", F.size(F.split("domain", r"\."))), "domains")
-    base = F.array(*[F.lit(x) for x in overall])
-    prior = domains.where("depth = 1").select("domain", leaned(F.col("n"), base).alias("prior"))
-    found = prior
-    for depth in range(2, (domains.agg(F.max("depth")).first()[0] or 1) + 1):
-        own = domains.where(F.col("depth") == depth).withColumn("up", F.expr("substring(domain, instr(domain, '.') + 1)"))
-        above = prior.select(F.col("domain").alias("up"), F.col("prior").alias("above"))
-        prior = own.join(above, "up").select("domain", leaned(F.col("n"), F.col("above")).alias("prior"))
-        found = found.unionAll(prior)
-    found = materialise(found, "priors")
-
-    def table_of(key: str) -> DataFrame:
-        """key, log10 P(key | language), with an even share for a value never met."""
-        met = counted(rows, key, languages)
-        return met.select(key, F.zip_with("n", F.array(*[F.lit(x) for x in total]), lambda x, t: F.log10((x + 0.5) / (t + 1.0))).alias(f"{key}_log"))
-
-    none = F.array(*[F.lit(0.0)] * n)
-    # Of a host never counted, the nearest parent domain that was.
-    hosts = rows.where("chain is not null").select("chain").distinct().select(F.element_at("chain", 1).alias("whole"), F.posexplode("chain").alias("level", "domain"))
-    nearest = hosts.join(found, "domain").groupBy("whole").agg(F.min_by("prior", "level").alias("prior"))
-    joined = (
-        rows.withColumn("whole", F.element_at("chain", 1)).join(nearest, "whole", "left")
-        .join(table_of("declared"), "declared", "left").join(table_of("suffix"), "suffix", "left")
-    )
-    prior_log = F.transform(F.coalesce("prior", base), lambda p: F.log10(p))
+    def rooted(own: Column) -> Column:
+        """Bayes' rule for an address suffix: P(language) * P(suffix | language), summing to one."""
+        both = F.zip_with(F.zip_with(own, numbers(total), lambda x, t: (x + 0.5) / (t + 1.0)), numbers(overall), lambda a, b: a * b)
+        return F.transform(both, lambda x: x / F.aggregate(both, F.lit(0.0), add))
+
+    # Each host's prior from the counts of its suffix and domains, the suffix first; a domain never counted changes nothing.
+    domains = materialise(counted(rows.select("best", F.explode(parents(F.col("host"))).alias("domain")), "domain", languages), "domains")
+    hosts = rows.where("host is not null").select("host").distinct()
+    chains = materialise(hosts.select("host", F.posexplode(parents(F.col("host"))).alias("level", "domain")), "chains")
+    steps = spread_join(chains, domains, "domain", "n").where("n is not null")
+    step = F.struct((-F.col("level")).alias("near"), (F.instr("domain", ".") == 0).alias("root"), F.col("n"))
+    walked = F.aggregate(F.array_sort("steps"), numbers(overall), lambda prior, s: F.when(s["root"], rooted(s["n"])).otherwise(leaned(s["n"], prior)))
+    priors = materialise(steps.groupBy("host").agg(F.collect_list(step).alias("steps")).select("host", walked.alias("prior")), "priors")
+
+    # log10 P(declared | language), with an even share for a value never met.
+    said = counted(rows, "declared", languages)
+    said = materialise(said.select("declared", F.zip_with("n", numbers(total), lambda x, t: F.log10((x + 0.5) / (t + 1.0))).alias("declared_log")), "declared")
+    none = numbers([0.0] * n)
+    joined = spread_join(spread_join(rows, priors, "host", "prior"), said, "declared", "declared_log")
+    prior_log = F.transform(F.coalesce("prior", numbers(overall)), lambda p: F.log10(p))
     text_log = F.when(F.col("size") > 0, F.col("text_log")).otherwise(none)
-    logs = F.zip_with(F.zip_with(prior_log, text_log, lambda a, b: a + b), F.zip_with(F.coalesce("declared_log", none), F.coalesce("suffix_log", none), lambda a, b: a + b), lambda a, b: a + b)
+    logs = F.zip_with(F.zip_with(prior_log, text_log, add), F.coalesce("declared_log", none), add)
     fused = joined.withColumn("logs", logs).withColumn("most", F.array_max("logs"))
     mass = F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.pow(F.lit(10.0), x - F.col("most")))
     place = F.array_position("logs", F.col("most")).cast("int")
     name = F.element_at(F.array(*[F.lit(x) for x in languages]), place)
     spoken = (F.col("size") > 0) | F.col("declared_log").isNotNull()
-    return fused.select("key", (1 / mass).alias("posterior"), name.alias("name"), spoken.alias("spoken")).select(
-        "key", F.when(F.col("spoken") & (F.col("posterior") >= least), F.col("name")).otherwise("und").alias("lang"), F.round("posterior", 9).alias("posterior")
+    return fused.select(*others, "size", (1 / mass).alias("posterior"), name.alias("name"), spoken.alias("spoken")).select(
+        *others, "size", F.when(F.col("spoken") & (F.col("posterior") >= least), F.col("name")).otherwise("und").alias("lang"), F.round("posterior", 9).alias("posterior")
     )
 
 
@@ -233,29 +297,21 @@ def identify_pages(pages: DataFrame, docs: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("key"), F.col("html").cast("string").alias("text"), F.lit(None).cast("string").alias("declared"), host_of(F.col("url")).alias("host")
     )
-    return fuse(text_evidence(rows, model, markup=True), model.languages).withColumnRenamed("key", "page_id")
+    return fuse(text_evidence(rows, model, markup=True), model.languages).select(F.col("key").alias("page_id"), "lang", "posterior")
 
 
 def keep_identified(docs: DataFrame, model: TextModel) -> DataFrame:
-    """The rows of ``docs`` whose text and declared ``lang`` together name a learned language, columns as they are.
+    """The rows of ``docs`` (text, lang, source and others) whose evidence names a learned language, columns as they are.
 
-    A document has no address, so its evidence is its text and what its ``lang`` declares, which counts
-    as much as ten trigrams that favour it. A text without letters, or in words of no learned language, is rejected.
+    What ``lang`` declares is weighed by how the texts of all rows bear it out, and ``source`` stands for the host.
+    A text without letters, or in words of no learned language, is rejected.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for part in pieces(batches):
-            gains, size, known = m(part.column("text").cast(pa.string()))
-            declared = [str(x).lower() if x is not None else None for x in part.column("lang").to_pylist()]
-            logs = gains * np.minimum(size, TEMPER)[:, None]
-            for i, lang in enumerate(m.languages):
-                logs[:, i] += 2.0 * np.array([d == lang for d in declared])
-            share = 1 / (10 ** (logs - logs.max(axis=1, keepdims=True))).sum(axis=1)
-            yield part.filter(pa.array((size > 0) & (known >= 0.5) & (share >= LEAST)))
-
-    return docs.mapInArrow(run, docs.schema)
+    carried = [f"c{i}" for i in range(len(docs.columns))]
+    of = dict(zip(docs.columns, carried, strict=True))
+    source = F.lower(F.col(of["source"]).cast("string")) if "source" in of else F.lit(None).cast("string")
+    rows = docs.toDF(*carried).select("*", primary(F.col(of["lang"])).alias("declared"), source.alias("host"))
+    found = fuse(text_evidence(rows, model, markup=False, text=of["text"], keep=True), model.languages)
+    return found.where("size > 0 and lang <> 'und'").select(*[F.col(c).alias(name) for name, c in of.items()])
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.common import Words, judged, labelled_sample, remainder, sums_between
+from leksika.llm.common import Words, in_tasks, judged, labelled_sample, remainder, sums_between
 
 BUCKETS, DIM, GRAMS = 1 << 18, 8, (1, 3, 4)
-EPOCHS, RATE, BATCH, TRAIN_ROWS = 5, 0.6, 32, 2800
+EPOCHS, RATE, BATCH, TRAIN_ROWS = 4, 0.6, 32, 4000
 #: The first buckets stand for: a repeated word, a repeated line, the document itself.
 REPEAT, LINE, DOCUMENT, RESERVED = 0, 1, 2, 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -133,11 +133,13 @@ class Quality:
         self.weights, self.bias = weights, bias
 
     @classmethod
-    def learn(cls, sample: pa.Table) -> Quality:
-        y = (sample.column("label").to_numpy() > 0).astype(np.int64)
+    def learn(cls, features: pa.Table) -> Quality:
+        """From label, ids (32-bit buckets) and times (how often each occurs) of each document."""
+        y = (features.column("label").to_numpy() > 0).astype(np.int64)
         if not len(y):
             return cls(np.zeros(BUCKETS, np.float32), 0.0)
-        return cls(*fit(document_features(sample.column("text").combine_chunks()), y))
+        ids, times = (features.column(c).combine_chunks() for c in ("ids", "times"))
+        return cls(*fit([(np.frombuffer(i.as_buffer(), "<i4"), np.frombuffer(t.as_buffer(), "<f4")) for i, t in zip(ids, times, strict=True)], y))
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         words, lines = Words(texts), repeated_lines(texts)
@@ -153,8 +155,16 @@ class Quality:
         return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
 
 
+def features_of(part: pa.RecordBatch) -> pa.RecordBatch:
+    """doc_id, label, ids, times of each row: however long a text, it has ``BUCKETS`` features at most."""
+    found = document_features(part.column("text"))
+    ids, times = (pa.array([x[k].astype(t).tobytes() for x in found], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4")))
+    return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), ids, times], ["doc_id", "label", "ids", "times"])
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Quality:
-    return Quality.learn(labelled_sample(docs, labels, "quality", remainder(F.col("doc_id"), 5) != 0, TRAIN_ROWS))
+    sample = labelled_sample(docs, labels, "quality", remainder(F.col("doc_id"), 5) != 0, TRAIN_ROWS)
+    return Quality.learn(in_tasks(sample, features_of, "doc_id long, label int, ids binary, times binary"))
 
 
 def score_documents(docs: DataFrame, model: Quality) -> DataFrame:

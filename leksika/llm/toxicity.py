@@ -20,10 +20,11 @@ from zlib import crc32
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leksika.llm.common import PREDICT_AT, labelled_sample, judged, pieces, remainder
+from leksika.llm.common import PREDICT_AT, in_tasks, judged, labelled_sample, pieces, remainder
 
 # Letters that look like Latin ones, invisible characters, stand-ins, harmless phrases.
 LOOKALIKES = {
@@ -63,27 +64,31 @@ def unmasked(found: re.Match) -> str:
     return word.translate(UNMASK) if sum(map(str.isalpha, word)) > 1 else word
 
 
-def first_of_copies(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Leave out texts most of whose five-word shingles (an eighth of them, by hash) an earlier one had: copies are no new evidence."""
+def traits(text: str) -> tuple[list[str], list[int], int]:
+    """A text's distinct folded words, the hashes of an eighth of its five-word shingles, and its own hash."""
+    words = text.lower().split()
+    marks = {h for h in (crc32(" ".join(words[j : j + 5]).encode()) for j in range(max(1, len(words) - 4))) if h % 8 == 0}
+    return sorted(set(WORD.findall(fold(text)))), sorted(marks), xxhash.xxh64_intdigest(text) >> 1
+
+
+def first_of_copies(marks: list[list[int]], hashes: list[int]) -> list[int]:
+    """Which texts stay if those go most of whose shingles an earlier one had: copies are no new evidence."""
     seen, kept, whole = set(), [], set()
-    for i, text in enumerate(texts):
+    for i, (mine, text) in enumerate(zip(marks, hashes, strict=True)):
         if text in whole:
             continue
         whole.add(text)
-        words = text.lower().split()
-        marks = {h for h in (crc32(" ".join(words[j : j + 5]).encode()) for j in range(max(1, len(words) - 4))) if h % 8 == 0}
-        if not marks or 2 * len(marks & seen) <= len(marks):
+        if not mine or 2 * sum(m in seen for m in mine) <= len(mine):
             kept.append(i)
-        seen |= marks
-    return [texts[i] for i in kept], y[kept]
+        seen.update(mine)
+    return kept
 
 
-def learn_lexicon(texts: list[str], toxic: np.ndarray) -> dict[tuple[str, bool], float]:
+def learn_lexicon(words_of_texts: list[list[str]], toxic: np.ndarray) -> dict[tuple[str, bool], float]:
     """(entry, whether it is a whole word) -> weight, from how many distinct words of toxic and of other texts have it."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     documents, words_of = Counter(), [0, 0]
-    for text, bad in zip(texts, toxic.tolist(), strict=True):
-        words = set(WORD.findall(fold(text)))
+    for words, bad in zip(words_of_texts, toxic.tolist(), strict=True):
         words_of[bad] += len(words)
         entries = [(w, True) for w in words] + [(w[:n], False) for w in words for n in STEMS if len(w) >= n]
         seen[bad].update(entries)
@@ -173,15 +178,6 @@ class Toxicity:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_automaton": None}
 
-    @classmethod
-    def learn(cls, sample: pa.Table) -> Toxicity:
-        texts, y = first_of_copies(sample.column("text").to_pylist(), (sample.column("label").to_numpy() > 0).astype(np.int64))
-        model = cls(learn_lexicon(texts, y), np.zeros(3))
-        # One toxic and one clean row more keep the curve defined when a class is missing.
-        x = np.array([evidence(fold(t), model.automaton) for t in texts] + [(np.log1p(10.0), 0.0), (0.0, 0.0)])
-        model.curve = fit_curve(x, np.append(y, (1, 0)))
-        return model
-
     @property
     def automaton(self) -> ahocorasick.Automaton:
         if self._automaton is None:
@@ -194,7 +190,29 @@ class Toxicity:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Toxicity:
-    return Toxicity.learn(labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 4) != 2))
+    """Learn the lexicon from the words of a labelled sample, then the curve from what the lexicon finds in its whole texts."""
+    sample = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 4) != 2)
+
+    def traits_of(part: pa.RecordBatch) -> pa.RecordBatch:
+        words, marks, hashes = zip(*map(traits, part.column("text").to_pylist()), strict=True)
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int64())), pa.array(hashes, pa.int64())], ["doc_id", "label", "words", "marks", "hash"])
+
+    found = in_tasks(sample, traits_of, "doc_id long, label int, words array<string>, marks array<long>, hash long")
+    kept = pa.array(first_of_copies(found.column("marks").to_pylist(), found.column("hash").to_pylist()), pa.int64())
+    found = found.select(["doc_id", "label", "words"]).take(kept)
+    y = (found.column("label").to_numpy() > 0).astype(np.int64)
+    model = Toxicity(learn_lexicon(found.column("words").to_pylist(), y), np.zeros(3))
+
+    def evidence_of(part: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.array([evidence(fold(t), model.automaton) for t in part.column("text").to_pylist()]).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(x[:, 0]), pa.array(x[:, 1])], ["doc_id", "weight", "length"])
+
+    weighed = in_tasks(sample, evidence_of, "doc_id long, weight double, length double")
+    at = np.searchsorted(weighed.column("doc_id").to_numpy(), found.column("doc_id").to_numpy())
+    x = np.stack((weighed.column("weight").to_numpy(), weighed.column("length").to_numpy()), axis=1)[at].reshape(-1, 2)
+    # One toxic and one clean row more keep the curve defined when a class is missing.
+    model.curve = fit_curve(np.concatenate((x, [(np.log1p(10.0), 0.0), (0.0, 0.0)])), np.append(y, (1, 0)))
+    return model
 
 
 def score_documents(docs: DataFrame, model: Toxicity) -> DataFrame:

@@ -1,5 +1,7 @@
 """Toxicity, quality, language and URL models: held-out accuracy, folding, edge cases."""
 
+import re
+import time
 from zlib import crc32
 
 import numpy as np
@@ -52,8 +54,13 @@ def test_learning_leaves_held_out_rows_alone(spark):
     rows = [(i, f"text {i}", "x", 1, 2) for i in range(200)]
     labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, toxic int")
     sample = labelled_sample(spark.createDataFrame(rows, SCHEMA), labels, "toxic", remainder(F.col("doc_id"), 4) != 2)
-    assert sorted(sample.column("text").to_pylist()) == sorted(f"text {i}" for i in range(200) if crc32(str(i).encode()) % 4 != 2)
-    assert labelled_sample(spark.createDataFrame(rows, SCHEMA), labels, "toxic", F.lit(True), max_rows=7).num_rows == 7
+    assert sorted(r.text for r in sample.collect()) == sorted(f"text {i}" for i in range(200) if crc32(str(i).encode()) % 4 != 2)
+    assert labelled_sample(spark.createDataFrame(rows, SCHEMA), labels, "toxic", F.lit(True), max_rows=7).count() == 7
+    # Long texts are learned from whole; labels without a document take no place; an id counts once.
+    long = [(5, "a " * 400000, "x", 1, 2), (5, "b " * 400000, "x", 1, 2)]
+    labels = spark.createDataFrame([(5, 0), (5, 1), *((i, 1) for i in range(1000, 1050))], "doc_id long, toxic int")
+    (only,) = labelled_sample(spark.createDataFrame(long, SCHEMA), labels, "toxic", F.lit(True), max_rows=7).collect()
+    assert len(only.text) == 800000 and only.label == 1
 
 
 @pytest.mark.parametrize(("text", "folded"), [("ІDІОТ", "idiot"), ("1d10t", "idiot"), ("i​diot", "idiot"), ("sc3ne", "scene"), ("stup1d!", "stupid!"), ("ｉｄｉｏｔ", "idiot"), ("in 2024 and 10%", "in 2024 and 10%"), ("tr@sh", "trash")])
@@ -76,8 +83,9 @@ def test_lexicon_ignores_copies_and_finds_families():
     clean = [" ".join(rng.choice(words, 30)) for _ in range(300)]
     copy = " ".join(rng.choice(words, 25)) + " uniqueword"
     bad = [" ".join(rng.choice(words, 30)) + f" {w}" for w in ["moron"] * 25 + ["lowe" + s for s in words[:25]]] + [copy] * 60
-    texts, y = toxicity.first_of_copies(clean + bad, np.array([0] * 300 + [1] * len(bad)))
-    entries = set(toxicity.learn_lexicon(texts, y))
+    found = [toxicity.traits(t) for t in clean + bad]
+    kept = toxicity.first_of_copies([m for _, m, _ in found], [h for _, _, h in found])
+    entries = set(toxicity.learn_lexicon([found[i][0] for i in kept], np.array([0] * 300 + [1] * len(bad))[kept]))
     assert ("moron", True) in entries and ("lowe", False) in entries
     assert not any(e.startswith("uniq") for e, _ in entries)
 
@@ -115,8 +123,12 @@ def test_languages_of_pages(spark):
 
 
 def test_evidence_counts_by_hand(spark):
-    """Fusion against the same sums in plain Python."""
-    rows = [("a", "en", "x.uk", [0.2, -0.2], 40), ("b", "en", "x.uk", [0.1, -0.3], 30), ("c", "fr", "y.fr", [-0.4, 0.3], 50), ("d", None, "z.fr", [0.0, 0.0], 0), ("e", "fr", None, [0.1, 0.0], 2), ("f", None, None, [0.0, 0.0], 0)]
+    """Fusion against the same sums in plain Python; the suffix is the root of a host's prior and counts once."""
+    deep = ".".join(["d"] * 12) + ".b.uk"
+    rows = [
+        ("a", "en", "x.uk", [0.2, -0.2], 40), ("b", "en", "x.uk", [0.1, -0.3], 30), ("c", "fr", "y.fr", [-0.4, 0.3], 50), ("d", None, "z.fr", [0.0, 0.0], 0), ("e", "fr", None, [0.1, 0.0], 2), ("f", None, None, [0.0, 0.0], 0),
+        ("g", "fr", deep, [-0.1, 0.2], 9), ("h", None, "e." + deep, [0.0, 0.01], 1), ("i", "en", "w.v.uk", [0.0, 0.0], 0), ("j", None, "x" * 300, [0.1, 0.0], 5), ("k", None, "fr", [0.1, 0.0], 5),
+    ]
     df = spark.createDataFrame(rows, "key string, declared string, host string, gain array<double>, size long")
     got = {r.key: (r.lang, r.posterior) for r in language.fuse(df, ["en", "fr"]).collect()}
     logs = {k: [g * min(n, language.TEMPER) for g in gain] for k, _, _, gain, n in rows}
@@ -124,25 +136,81 @@ def test_evidence_counts_by_hand(spark):
     total = [sum(b == i for b in best.values()) for i in (0, 1)]
     overall = [(t + language.EVEN / 2) / (sum(total) + language.EVEN) for t in total]
 
-    def lean(keys, base):
-        n = [sum(best[k] == i for k in keys) for i in (0, 1)]
-        return [(x + language.LEAN * b) / (sum(n) + language.LEAN) for x, b in zip(n, base, strict=True)]
+    def counts(domain):
+        keys = [k for k, _, h, _, n in rows if n and h and len(h) <= 253 and (h == domain or h.endswith("." + domain))]
+        return [sum(best[k] == i for k in keys) for i in (0, 1)]
 
     for key, declared, host, _, n in rows:
         prior = overall
-        if host:
-            suffix, same = host.split(".")[1], lambda s: [k for k, _, h, _, m in rows if m and h and h.endswith(s)]
-            prior = lean(same(suffix), overall) if same(suffix) else overall
-            prior = lean(same(host), prior) if same(host) else prior
+        labels = host.split(".") if host and len(host) <= 253 else []
+        for place in range(len(labels) - 1, -1, -1):
+            found = counts(".".join(labels[place:]))
+            if not sum(found):
+                continue
+            if place == len(labels) - 1:
+                both = [o * (x + 0.5) / (t + 1) for o, x, t in zip(overall, found, total, strict=True)]
+                prior = [x / sum(both) for x in both]
+            else:
+                prior = [(x + language.LEAN * b) / (sum(found) + language.LEAN) for x, b in zip(found, prior, strict=True)]
         value = [np.log10(prior[i]) + (logs[key][i] if n else 0) for i in (0, 1)]
-        for field, of in ((declared, 1), (host and host.split(".")[1], 2)):
-            met = [k for k, d, h, _, m in rows if m and (d if of == 1 else h and h.split(".")[1]) == field] if field else []
-            if met:
-                value = [v + np.log10((sum(best[k] == i for k in met) + 0.5) / (total[i] + 1)) for i, v in enumerate(value)]
+        met = [k for k, d, _, _, m in rows if m and d == declared] if declared else []
+        if met:
+            value = [v + np.log10((sum(best[k] == i for k in met) + 0.5) / (total[i] + 1)) for i, v in enumerate(value)]
         share = [10 ** (v - max(value)) for v in value]
         place = value.index(max(value))
         spoken = n > 0 or declared in ("en", "fr")
-        assert got[key] == (["en", "fr"][place] if spoken else "und", pytest.approx(share[place] / sum(share), abs=1e-6)), key
+        lang = ["en", "fr"][place] if spoken and share[place] / sum(share) >= language.LEAST else "und"
+        assert got[key] == (lang, pytest.approx(share[place] / sum(share), abs=1e-6)), key
+
+
+def test_hot_and_missing_keys_are_joined_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "HOT", 10)
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else "hot" if i % 2 else f"k{i % 40}") for i in range(400)], "id long, k string")
+    table = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(0, 30, 2)), ("unused", 9)], "k string, v long")
+    found = {r.id: r.v for r in language.spread_join(rows, table, "k", "v").collect()}
+    expected = {r.id: {"hot": 1, **{f"k{i}": i for i in range(0, 30, 2)}}.get(r.k) for r in rows.collect()}
+    assert found == expected
+
+
+def test_markup_is_read_in_one_pass():
+    samples = [
+        "<p>a</p><script>var x = '<p>'</script >b<!-- <p>c --> d", "x <script> open <style>p{}</style> y", "<nav>menu</NAV>text <footer", "a < b > c", "<!-- open <b>bold</b>", "<scripted>z</scripted>",
+        "<html data-x=1 lang = 'FR'>", "<html><html lang=de>", "", "<", "<script></script><script>", "<style>a</script>b</style>c",
+    ]
+    for html in samples:
+        expected = re.sub(r"(?is)<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ", html)
+        assert language.bare(html).split() == expected.split(), html
+    assert [language.declared_in(x) for x in samples[6:8]] == ["fr", "de"]
+    began = time.perf_counter()
+    for hostile in ("<script", "<!--", "<html ", "<html lang", "<style>", "<"):
+        language.bare(hostile * 200_000)
+        language.declared_in(hostile * 200_000)
+    assert time.perf_counter() - began < 30
+
+
+def test_every_language_is_learned_from_whole_texts(spark):
+    """Forty languages, tags with regions, one text of 400 KB: none is left out."""
+    codes = [a + b for a in "abcdefgh" for b in "vwxyz"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = np.random.default_rng(4)
+    said = {c: ["".join(rng.choice(list(letters), 5)) for _ in range(30)] for c in codes}
+    rows = [(" ".join(rng.choice(said[c], 40)), c.upper() + "-XX" if i % 2 else c) for c in codes for i in range(4)]
+    rows += [(" ".join(rng.choice(["kilo", "lima", "mike"], 80_000)), "zz_Latn"), ("lost", "english"), ("lost", None), (None, "en")]
+    model = language.learn_text(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    assert model.languages == sorted([*codes, "zz"])
+    gains, size, known = model(pa.array(["kilo mike lima kilo", *(" ".join(said[c][:9]) for c in codes)]))
+    assert [model.languages[i] for i in gains.argmax(axis=1)] == ["zz", *codes] and (known > 0.9).all()
+
+
+def test_language_stage_carries_clashing_columns(spark):
+    words = {"en": "the and of to in is that it was for", "de": "der die das und ist von mit den auf ein"}
+    rows = [(i, words[c], c, "s", i, "g", "p", None) for i in range(40) for c in words] + [(None, "12 34", "en", "s", 1, "g", "p", 0.5), (7, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, gain int, host string, prior string, size double")
+    kept = language.stage(spark, docs, "")
+    assert kept.schema.names == docs.schema.names and sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()[:80]))
+    bare = language.stage(spark, docs.select("lang", "text"), "")
+    assert bare.columns == ["lang", "text"] and bare.count() == 80
+    assert language.stage(spark, docs.where("false"), "").count() == 0
 
 
 def test_language_of_odd_rows(spark):
