@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
@@ -93,10 +94,11 @@ def negative(s: np.ndarray) -> np.ndarray:
     return np.array([-x for x in s.tolist()], dtype=np.float64) if s.dtype == object else -s
 
 
-def against_all(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], score_type: str, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: ``cell`` answers a block of queries (id, vec) against a block of candidates."""
+def in_blocks(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """What ``cell`` makes of each block of queries (id and others) and each block of candidates (id and others)."""
     n_queries, n_candidates = queries.count(), candidates.count()
     qs, cs = max(1, -(-n_queries // QUERY_BLOCK)), max(1, -(-n_candidates // CANDIDATE_BLOCK))
+    fields = T._parse_datatype_string(schema)
 
     def dealt(df: DataFrame, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
         group = F.pmod(F.monotonically_increasing_id(), F.lit(n_mine)) if n_mine > 1 else F.lit(0).cast("long")
@@ -104,12 +106,22 @@ def against_all(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Ta
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64() if score_type == "long" else pa.float64())})
+            kinds = {"long": pa.int64(), "bigint": pa.int64(), "double": pa.float64()}
+            return pa.table({f.name: pa.array([], kinds[f.dataType.simpleString()]) for f in fields})
         return cell(left, right)
 
     left = dealt(queries, "qg", qs, "cg", cs).groupBy("qg", "cg")
     right = dealt(candidates, "cg", cs, "qg", qs).groupBy("qg", "cg")
-    parts = left.cogroup(right).applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
-    merged = parts.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return left.cogroup(right).applyInArrow(run, schema)
+
+
+def ranked(scored: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's ``k`` highest scores, a pair with its best one, ties to the smaller id."""
+    merged = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def against_all(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], score_type: str, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: ``cell`` answers a block of queries against a block of candidates."""
+    return ranked(in_blocks(queries, candidates, cell, f"query_id long, vec_id long, score {score_type}"), k)
