@@ -3,8 +3,9 @@
 A vector is cut into 1, 4, then 16 segments; a segment is told by its mean and deviation. With l the
 segment's length, the squared distance of two vectors is at least the sum over segments of
 l * ((difference of means)^2 + (difference of deviations)^2), and by |q|^2 + |x|^2 - 2 q.x that bounds
-their inner product from above. Bounds go coarse to fine; only pairs whose bound reaches the query's
-k-th best so far go on, and the survivors' inner products are computed in whole numbers.
+their inner product from above. Bounds go coarse to fine. At each resolution a query's few most promising
+rows are multiplied, which raises its k-th best so far, and only pairs whose bound reaches that go on: pair by
+pair, not by rows and columns. The survivors of the finest are multiplied, in whole numbers.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do rows
 with a null id; an empty vector is a vector of zeros, and the shorter of two vectors ends in zeros; ties
@@ -23,9 +24,10 @@ from leksika.llm.vectors import Distinct, against_all, best, matrix, usable, wid
 
 SCALE, QUERIES_AT, K = 256.0, 50, 5
 SEGMENTS = (1, 4, 16)
-#: Candidates that are bounded at once.
-STEP = 1024
-
+#: Queries that are bounded against a block at once; rows that each multiplies at a resolution to learn its reach.
+STEP, PROMISING = 64, 24
+#: Above this share of pairs left, a whole matrix is computed faster than single pairs.
+DENSE = 0.5
 
 def statistics(rows: np.ndarray, segments: int) -> np.ndarray:
     """Means and deviations times the root of the segment's length: their inner products are upper bounds."""
@@ -40,42 +42,43 @@ def lower_bounds(q: np.ndarray, x: np.ndarray, q_square: np.ndarray, x_square: n
     return q_square[:, None] + x_square[None, :] - 2 * (q @ x.T)
 
 
-def whole_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers."""
+def whole_products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact inner products of the pairs of rows ``i`` of ``q`` and ``j`` of ``x``, of whole numbers."""
+    out = np.empty(len(i), np.int64)
     if q.shape[1] * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) < 2.0**53:
-        return (q @ x.T).astype(np.int64)
-    to_int = np.vectorize(int, otypes=[object])
-    exact = to_int(q).dot(to_int(x).T) if q.shape[1] else np.zeros((len(q), len(x)), object)
-    return np.vectorize(lambda v: max(-(1 << 63), min((1 << 63) - 1, v)), otypes=[np.int64])(exact)
+        for at in range(0, len(i), 1 << 16):
+            out[at : at + (1 << 16)] = np.einsum("nd,nd->n", q[i[at : at + (1 << 16)]], x[j[at : at + (1 << 16)]])
+        return out
+    for n, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        out[n] = max(-(1 << 63), min((1 << 63) - 1, sum(int(v) * int(w) for v, w in zip(q[a].tolist(), x[b].tolist(), strict=True))))
+    return out
+
 
+def search_block(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Pairs (query, distinct row, score) that hold each query's ``k`` best besides its own id, and how many pairs were multiplied."""
+    found = [search_group(query_ids[at : at + STEP], q[at : at + STEP], have, k) for at in range(0, len(q), STEP)]
+    pairs = [(i + STEP * n, j, s) for n, (i, j, s, _) in enumerate(found)]
+    i, j, s = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    return i, j, s, sum(products for *_, products in found)
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (query, distinct row, score) that hold each query's ``k`` best besides its own id."""
+
+def search_group(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     x = have.rows
-    levels = [s for s in SEGMENTS if s < x.shape[1]]
+    n, rows = len(q), len(x)
     with np.errstate(over="ignore", invalid="ignore"):
-        q_stats, x_stats = [statistics(q, s) for s in levels], [statistics(x, s) for s in levels]
         q_square, x_square = (q * q).sum(axis=1), (x * x).sum(axis=1)
+        slack = 1e-6 + 1e-9 * (q_square[:, None] + x_square[None, :])
+    alive, done = np.ones((n, rows), bool), np.zeros((n, rows), bool)
+    reach = np.full(n, -np.inf)  # the k-th best of others so far
     kept = [np.empty(0, np.int64)] * 3
-    reach = np.full(len(q), -np.inf)  # the k-th best of others so far
-    for at in range(0, len(x), STEP):
-        stop = min(at + STEP, len(x))
-        rows, cols = np.arange(len(q)), np.arange(at, stop)
-        alive = np.ones((len(q), stop - at), bool)
-        slack = 1e-6 + 1e-9 * (q_square[:, None] + x_square[None, at:stop])
-        for a, b in zip(q_stats, x_stats, strict=True):
-            low = lower_bounds(a[rows], b[cols], q_square[rows], x_square[cols])
-            bound = (q_square[rows, None] + x_square[None, cols] - low) / 2 + slack[np.ix_(rows, cols - at)]
-            alive &= ~(bound < reach[rows, None])  # a bound that overflows prunes nothing
-            r, c = alive.any(axis=1), alive.any(axis=0)
-            rows, cols, alive = rows[r], cols[c], alive[np.ix_(r, c)]
-            if not len(rows):
-                break
-        if not len(rows):
-            continue
-        scores = whole_products(q[rows], x[cols])
-        i, j = np.nonzero(alive & (scores >= reach[rows, None]))
-        kept = [np.concatenate((o, n)) for o, n in zip(kept, (rows[i], cols[j], scores[i, j]), strict=True)]
+    products = 0
+
+    def multiply(i: np.ndarray, j: np.ndarray) -> None:
+        """Multiply pairs, keep each query's best and raise its reach."""
+        nonlocal kept, products
+        done[i, j] = True
+        products += len(i)
+        kept = [np.concatenate(c) for c in zip(kept, (i, j, whole_products(q, x, i, j)), strict=True)]
         order = np.lexsort((have.least[kept[1]], -kept[2], kept[0]))
         kept = [a[order] for a in kept]
         place = np.arange(len(order)) - np.searchsorted(kept[0], kept[0])
@@ -84,24 +87,78 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -
         mine, values = kept[0][other], kept[2][other]
         place = np.arange(len(mine)) - np.searchsorted(mine, mine)
         reach[mine[place == k - 1]] = values[place == k - 1]
-    return kept[0], kept[1], kept[2]
+
+    for segments in (s for s in SEGMENTS if s < x.shape[1]):
+        with np.errstate(over="ignore", invalid="ignore"):
+            a, b = statistics(q, segments), statistics(x, segments)
+            if alive.sum() > DENSE * alive.size:
+                bound = (q_square[:, None] + x_square[None, :] - lower_bounds(a, b, q_square, x_square)) / 2 + slack
+            else:
+                i, j = np.nonzero(alive)
+                bound = np.full((n, rows), -np.inf)
+                for at in range(0, len(i), 1 << 16):
+                    r, c = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                    bound[r, c] = np.einsum("nd,nd->n", a[r], b[c]) + slack[r, c]
+        bound[np.isnan(bound)] = np.inf  # a bound that overflows prunes nothing
+        bound[~alive | done] = -np.inf
+        most = min(PROMISING, rows)
+        first = np.argpartition(bound, rows - most, axis=1)[:, rows - most :]
+        i, j = np.repeat(np.arange(n), most), first.ravel()
+        worth = bound[i, j] > -np.inf
+        multiply(i[worth], j[worth])
+        alive &= ~(bound < reach[:, None])
+    i, j = np.nonzero(alive & ~done)
+    if len(i) > DENSE * alive.size and x.shape[1] * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) < 2.0**53:
+        # Few pairs were pruned: one matrix product, then the pairs that can still count.
+        scores = q @ x.T
+        products += n * rows - int(done.sum())
+        if rows > k + 1:
+            reach = np.maximum(reach, np.partition(scores, rows - k - 2, axis=1)[:, rows - k - 2])
+        i, j = np.nonzero((scores >= reach[:, None]) & ~done)
+        kept = [np.concatenate(c) for c in zip(kept, (i, j, scores[i, j].astype(np.int64)), strict=True)]
+    else:
+        for at in range(0, len(i), 1 << 20):
+            multiply(i[at : at + (1 << 20)], j[at : at + (1 << 20)])
+    return kept[0], kept[1], kept[2], products
+
+
+#: A floor that two bytes hold; vectors of such floors travel as two-byte numbers.
+SMALL = 1 << 15
+
+
+def floors(df: DataFrame, scale: float) -> DataFrame:
+    """id, small (two-byte floors, or null), vec (doubles where a floor is larger, else null)."""
+    floor = F.transform("vec", lambda v: F.floor(v * scale))
+    fits = F.forall("vec", lambda v: (v * scale >= -SMALL) & (v * scale < SMALL))
+    return df.select("id", F.when(fits, floor.cast("array<smallint>")).alias("small"), F.when(~fits, F.col("vec")).alias("vec"))
+
+
+def whole_rows(table: pa.Table, scale: float) -> np.ndarray:
+    """The floors of each row."""
+    small, large = (table.column(c).combine_chunks() for c in ("small", "vec"))
+    is_small = small.is_valid().to_numpy(zero_copy_only=False)
+    a, b = matrix(small.drop_null()), np.floor(scale * matrix(large.drop_null()))
+    out = np.zeros((len(is_small), max(a.shape[1], b.shape[1], 1)))
+    out[np.flatnonzero(is_small), : a.shape[1]] = a
+    out[np.flatnonzero(~is_small), : b.shape[1]] = b
+    return out
 
 
 def top_k(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, scale: float = SCALE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` largest inner products of floor(scale * component)."""
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        q, x = (np.floor(scale * matrix(t.column("vec"))) for t in (left, right))
-        width = max(q.shape[1], x.shape[1], 1)
+        q, x = (whole_rows(t, scale) for t in (left, right))
+        width = max(q.shape[1], x.shape[1])
         q, x = widen(q, width), widen(x, width)
         have = Distinct(right.column("id").to_numpy(), x, k + 1)
         asked = np.array(sorted({(i, v.tobytes()): k for k, (i, v) in enumerate(zip(left.column("id").to_pylist(), q, strict=True))}.values()))
         query_ids = left.column("id").to_numpy()[asked]
-        return best(query_ids, *search_block(query_ids, q[asked], have, k), have, k)
+        return best(query_ids, *search_block(query_ids, q[asked], have, k)[:3], have, k)
 
     candidates = usable(vectors, id_col, vec_col)
     asked = usable(queries if queries is not None else vectors.where(F.col(id_col) % QUERIES_AT == 0), id_col, vec_col)
-    return against_all(asked, candidates, cell, "long", k)
+    return against_all(floors(asked, scale), floors(candidates, scale), cell, "long", k)
 
 
 SQL = f"""

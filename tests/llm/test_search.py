@@ -5,10 +5,12 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 
 from leksika.llm import additive, topk
 from leksika.llm.common import table
+from leksika.llm.vectors import Distinct, best
 
 
 def brute(rows, every, k, score):
@@ -59,7 +61,9 @@ def frame(spark, rows):
 def test_top_k_is_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr("leksika.llm.vectors.CANDIDATE_BLOCK", 64)
     monkeypatch.setattr("leksika.llm.vectors.QUERY_BLOCK", 3)
-    monkeypatch.setattr("leksika.llm.topk.STEP", 16)
+    monkeypatch.setattr("leksika.llm.topk.STEP", 2)
+    monkeypatch.setattr("leksika.llm.topk.PROMISING", 2 + seed)
+    monkeypatch.setattr("leksika.llm.topk.DENSE", seed - 1.5)  # a matrix for all, and pairs only
     rows = random_rows(seed)
     assert answers(topk.top_k(frame(spark, rows))) == brute(usable(rows), 50, 5, whole)
 
@@ -82,6 +86,26 @@ def test_bounds_hold():
         last = low.mean()
 
 
+@pytest.mark.parametrize("dense", [0.5, 2.0])
+def test_bounds_save_products(monkeypatch, dense):
+    """On clustered rows less than a fifth of the pairs is multiplied, and the result is that of all."""
+    monkeypatch.setattr("leksika.llm.topk.DENSE", dense)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(64, 64))
+    x = np.floor(256 * (centres[rng.integers(0, 64, 6000)] + 0.15 * rng.normal(size=(6000, 64))))
+    q, ids = x[::50], np.arange(0, 6000, 50)
+    have = Distinct(np.arange(6000), x, 6)
+    i, j, s, products = topk.search_block(ids, q, have, 5)
+    assert products < 0.2 * len(q) * len(x)
+    found = best(ids, i, j, s, have, 5)
+    exact = q @ x.T
+    exact[np.arange(len(q)), ids] = -np.inf
+    for n, query in enumerate(ids):
+        mine = found.filter(pc.equal(found.column("query_id"), int(query)))
+        order = np.lexsort((np.arange(6000), -exact[n]))[:5]
+        assert mine.column("vec_id").to_pylist() == order.tolist() and mine.column("score").to_pylist() == exact[n][order].astype(int).tolist()
+
+
 def test_empty_tables(spark):
     assert topk.top_k(frame(spark, [])).count() == 0
     assert additive.nearest(frame(spark, [])).count() == 0
@@ -109,7 +133,7 @@ def test_recall(spark, sf, monkeypatch):
 
     vectors = usable_rows(table(spark, sf, "embeddings"), "vec_id", "embedding", zero=False)
     books = additive.train(vectors)
-    found = answers(additive.search(vectors.where(F.col("id") % 20 == 0), additive.index(vectors, books), books, rerank=60))
+    found = answers(additive.search(vectors.where(F.col("id") % 20 == 0), vectors, additive.index(vectors, books), books, rerank=60))
     hits = []
     for q in ids[ids % 20 == 0]:
         s = x @ x[ids == q][0]
