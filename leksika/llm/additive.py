@@ -4,9 +4,7 @@ A vector is coded as a scale times the sum of one full-dimensional codeword from
 codebooks. Codebooks start as k-means of residuals over a bounded sample of distinct vectors and are
 then refitted together by least squares on beam-searched codes. Every row is encoded by beam search; its
 code and scale, the stored norm, are its index entry. A query's inner products with all codewords make
-a lookup table; the table scores every indexed row, and the best of each block are reranked exactly. Blocks
-hold index entries only, some forty bytes a row: the vectors of a shortlist are fetched by id. Rows of
-equal vectors are one entry with its smallest ids.
+a lookup table; the table scores every indexed row, and the best of each block are reranked exactly.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component take no part, nor
 do rows with a null id; the shorter of two vectors ends in zeros, and codebooks are as wide as the widest
@@ -21,17 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leksika.llm.common import among_least, materialise
-from leksika.llm.vectors import Distinct, in_blocks, matrix, ranked, usable, widen
+from leksika.llm.vectors import Distinct, against_all, best, matrix, usable, widen
 
 #: Distinct vectors that codebooks are fitted on at most: those with the smallest hashes.
 SAMPLE = 8192
 BOOKS, WORDS, BEAM, ROUNDS = 16, 256, 4, 6
-#: Entries of a block that are reranked for each query.
+#: Entries of a block of 16,384 that are reranked for each query.
 QUERIES_AT, K, RERANK = 20, 20, 256
 
 
@@ -120,7 +117,7 @@ def train(vectors: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
 
 
 def index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
-    """id, digest, code, scale of every row of ``vectors`` (id, vec); the digest tells vectors apart."""
+    """id, vec (packed), code, scale of every row of ``vectors`` (id, vec)."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,23 +132,38 @@ def index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
                 codes = encode(d, c)
                 y = decode(codes, c)
                 scale = norms * (d * y).sum(axis=1) / np.maximum((y * y).sum(axis=1), 1e-12)
-                digests = [xxhash.xxh64_intdigest(np.trim_zeros(row, "b").tobytes()) - (1 << 63) for row in x + 0.0]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(digests, pa.int64()), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(scale.astype(np.float64))], ["id", "digest", "code", "scale"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), packed(x), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(scale.astype(np.float64))], ["id", "vec", "code", "scale"])
 
-    return vectors.mapInArrow(run, "id long, digest long, code binary, scale double")
+    return vectors.mapInArrow(run, "id long, vec binary, code binary, scale double")
 
 
-def search(queries: DataFrame, vectors: DataFrame, indexed: DataFrame, books: np.ndarray, k: int = K, rerank: int = RERANK) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` largest inner products found for each query (id, vec) among ``vectors`` (id, vec) by their index."""
+def packed(x: np.ndarray) -> pa.Array:
+    """Rows of doubles as bytes, without the zeros they end in: in 32 bits a component where that is exact, told by the first byte."""
+    short = x.astype(np.float32)
+    exact = (short == x).all(axis=1)
+    return pa.array([b"4" + np.trim_zeros(s, "b").tobytes() if e else b"8" + np.trim_zeros(v, "b").tobytes() for s, v, e in zip(short, x, exact, strict=True)], pa.binary())
+
+
+def unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of doubles as wide as the widest."""
+    rows = [np.frombuffer(r, "<f4" if r[:1] == b"4" else "<f8", offset=1) for r in column.to_pylist()]
+    out = np.zeros((len(rows), max(map(len, rows), default=0)))
+    for row, values in zip(out, rows, strict=True):
+        row[: len(values)] = values
+    return out
+
+
+def search(queries: DataFrame, indexed: DataFrame, books: np.ndarray, k: int = K, rerank: int = RERANK) -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` largest inner products found for each query (id, vec)."""
     shared = queries.sparkSession.sparkContext.broadcast(books)
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         c = shared.value
         m, words, dim = c.shape
-        q = matrix(left.column("vec"))
-        q = widen(q, dim) if q.shape[1] <= dim else q[:, :dim]
-        digests = right.column("digest").to_numpy()
-        have = Distinct(right.column("id").to_numpy(), digests[:, None], k + 1)
+        q, x = matrix(left.column("vec")), unpacked(right.column("vec"))
+        width = max(q.shape[1], x.shape[1], dim)
+        q, x = widen(q, width), widen(x, width)
+        have = Distinct(right.column("id").to_numpy(), x, k + 1)
         taken = have.order[have.first]
         codes = np.frombuffer(b"".join(right.column("code").to_pylist()), np.uint8).reshape(-1, m)[taken].astype(np.int64)
         scale = right.column("scale").to_numpy()[taken].astype(np.float32)
@@ -160,31 +172,18 @@ def search(queries: DataFrame, vectors: DataFrame, indexed: DataFrame, books: np
         pairs = []
         for at in range(0, len(q), 64):
             mine = q[at : at + 64]
-            tables = np.einsum("qd,mwd->mqw", mine.astype(np.float32), c, optimize=True)
+            tables = np.einsum("qd,mwd->mqw", mine[:, :dim].astype(np.float32), c, optimize=True)
             scores = np.zeros((len(mine), len(taken)), np.float32)
             for book in range(m):
                 scores += np.take(tables[book], codes[:, book], axis=1)
             scores *= scale
             near = np.argpartition(scores, len(taken) - most, axis=1)[:, len(taken) - most :]
-            pairs.append((np.repeat(np.arange(at, at + len(mine)), most), near.ravel()))
-        a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
-        return shortlist(ids, a, b, have)
-
-    pairs = in_blocks(queries, indexed, cell, "query_id long, vec_id long").distinct()
-    asked, rows = queries.select(F.col("id").alias("query_id"), F.col("vec").alias("q")), vectors.select(F.col("id").alias("vec_id"), "vec")
-    # Both sides of an inner product end in zeros where the other is longer.
-    product = F.aggregate(F.zip_with("q", "vec", lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
-    scored = pairs.join(rows, "vec_id").join(asked, "query_id").select("query_id", "vec_id", product.alias("score"))
-    return ranked(scored, k)
-
+            exact = (mine[:, None, :] * have.rows[near]).sum(axis=2)
+            pairs.append((np.repeat(np.arange(at, at + len(mine)), most), near.ravel(), exact.ravel()))
+        a, b, s = (np.concatenate(p) for p in zip(*pairs, strict=True))
+        return best(ids, a, b, s, have, k)
 
-def shortlist(query_ids: np.ndarray, queries: np.ndarray, found: np.ndarray, have: Distinct) -> pa.Table:
-    """query_id, vec_id of pairs of a query and a distinct entry, by number: the entry's smallest ids but the query's own."""
-    copies = have.at[found + 1] - have.at[found]
-    q = query_ids[np.repeat(queries, copies)]
-    ids = have.ids[np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies) + np.repeat(have.at[found], copies)]
-    other = q != ids
-    return pa.table({"query_id": pa.array(q[other], pa.int64()), "vec_id": pa.array(ids[other], pa.int64())})
+    return against_all(queries, indexed, cell, "double", k)
 
 
 def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", every: int = QUERIES_AT) -> DataFrame:
@@ -194,4 +193,4 @@ def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str
     if books is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     indexed = materialise(index(rows, books), "index")
-    return search(rows.where(F.col("id") % every == 0), rows, indexed, books, k)
+    return search(rows.where(F.col("id") % every == 0), indexed, books, k)
