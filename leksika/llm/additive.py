@@ -139,7 +139,8 @@ def index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
 
 def packed(x: np.ndarray) -> pa.Array:
     """Rows of doubles as bytes, without the zeros they end in: in 32 bits a component where that is exact, told by the first byte."""
-    short = x.astype(np.float32)
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
     exact = (short == x).all(axis=1)
     return pa.array([b"4" + np.trim_zeros(s, "b").tobytes() if e else b"8" + np.trim_zeros(v, "b").tobytes() for s, v, e in zip(short, x, exact, strict=True)], pa.binary())
 

@@ -63,6 +63,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than one in so many rows is joined by broadcast; there are fewer such keys than this.
+HOT = 1000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with the ``value`` of ``table``, which has each ``key`` once; null where it hasn't.
+
+    Keys of more than one in ``HOT`` rows, of which there are fewer than ``HOT``, are met by broadcast; the rows of
+    these, and those without a key, are dealt to all tasks of the join of the others.
+    """
+    counts = rows.groupBy(key).count()
+    many = rows.count() // HOT
+    hot = materialise(table.select(key, value).join(F.broadcast(counts.where((F.col("count") > many) & F.col(key).isNotNull()).select(key)), key), "hot")
+    met = rows.join(F.broadcast(hot.withColumnRenamed(value, "__hot").withColumn("__is", F.lit(True))), key, "left")
+    alone = F.col(key).isNotNull() & F.col("__is").isNull()
+    met = met.withColumn("__key", F.when(alone, F.col(key))).withColumn("__deal", F.when(alone, F.lit(0)).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096))))
+    others = table.select(F.col(key).alias("__key"), F.lit(0).cast("long").alias("__deal"), F.col(value).alias("__other"))
+    return met.join(others, ["__key", "__deal"], "left").withColumn(value, F.coalesce("__hot", "__other")).drop("__key", "__deal", "__is", "__hot", "__other")
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application materialised; call it once the results are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/leksika-{spark.sparkContext.applicationId}")

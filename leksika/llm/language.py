@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leksika.llm.common import Words, least_share, materialise, pieces, sums_between
+from leksika.llm.common import Words, least_share, materialise, pieces, spread_join, sums_between
 
 #: Distinct texts of a language that its model learns from at most, by hash.
 TRAIN_ROWS = 400
@@ -45,8 +45,6 @@ LEAN, EVEN = 20.0, 1.0
 #: Below this posterior the language is undetermined.
 LEAST = 0.5
 
-#: A key with more than this share of the rows is joined by broadcast; there are at most as many as its inverse.
-HOT = 1000
 #: Characters of the longest address that names may have.
 HOST = 253
 
@@ -217,22 +215,6 @@ def counted(rows: DataFrame, key: str, languages: list[str]) -> DataFrame:
     return rows.where(F.col(key).isNotNull() & F.col("best").isNotNull()).groupBy(key).agg(*sums).select(key, F.array(*[f"n{i}" for i in range(len(languages))]).alias("n"))
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
-    """``rows`` with the ``value`` of ``table``, which has each ``key`` once; null where it hasn't.
-
-    Keys of more than one in ``HOT`` rows, of which there are fewer than ``HOT``, are met by broadcast; the rows of these, and those
-    without a key, go to all tasks of the join of the others.
-    """
-    counts = rows.groupBy(key).count()
-    many = rows.count() // HOT
-    hot = materialise(table.join(F.broadcast(counts.where((F.col("count") > many) & F.col(key).isNotNull()).select(key)), key), "hot")
-    met = rows.join(F.broadcast(hot.withColumnRenamed(value, "__hot")), key, "left")
-    apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(4096)).cast("string"))
-    met = met.withColumn("__key", F.when(F.col(key).isNotNull() & F.col("__hot").isNull(), F.col(key)).otherwise(apart))
-    others = table.select(F.col(key).alias("__key"), F.col(value).alias("__other"))
-    return met.join(others, "__key", "left").withColumn(value, F.coalesce("__hot", "__other")).drop("__key", "__hot", "__other")
-
-
 def fuse(rows: DataFrame, languages: list[str], least: float = LEAST) -> DataFrame:
     """``rows`` (declared, host, gain, size and others) -> the others, size, lang, posterior."""
     n = len(languages)

@@ -6,7 +6,7 @@ shared key has 31 to 33 bits, so chance meetings stay rare for any corpus that f
 fingerprints are one class before any join. A bucket is compared in blocks of at most ``block`` rows;
 a larger bucket is cut into blocks and every pair of blocks is a task of its own, so no task holds an
 unbounded group and no close pair is lost. A task reports the links it verified as a star for each
-connected class, never as all pairs.
+connected class, never as all pairs. Fingerprints and classes that hold a large share of the rows are joined apart.
 
 Defined results: a null text counts as empty, an empty text has fingerprint zero and links like any
 other; texts of any length are read whole; repeated rows and ties are equal fingerprints; a row with a
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.common import as_bytes, materialise, pieces
+from leksika.llm.common import as_bytes, materialise, pieces, spread_join
 
 BLOCKS = (11, 11, 11, 11, 10, 10)
 MAX_BITS = 3
@@ -60,15 +60,20 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (signed 64-bit) of every row."""
+    """doc_id, h (hash of the text, null for null), fp (signed 64-bit) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
             fps = [fingerprint(t, words) for t in as_bytes(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(fps, pa.int64())], ["doc_id", "h", "fp"])
 
+    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, h long, fp long")
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, h (hash of the text, null for null)."""
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    return picked.withColumn("h", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
 
 
 def close(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -183,12 +188,9 @@ def connect(edges: DataFrame, name: str = "links") -> DataFrame:
     node is an aggregate joined back, so no node's neighbours are gathered in one place.
     """
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
-
-    def digest(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.hash("v", "u").cast("long") % 65521)).first())
-
-    before = digest(edges)
-    while before[0]:
+    count = edges.count()
+    while count:
+        last, before = edges, count
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = both.join(low, both.u == low.w).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -197,43 +199,69 @@ def connect(edges: DataFrame, name: str = "links") -> DataFrame:
         met = large.join(low, large.u == low.w)
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v")
         edges = materialise(small.distinct(), name)
-        after = digest(edges)
-        if after == before:
+        count = edges.count()
+        # Done when nothing changed: as many edges, and each was there before.
+        if count == before and edges.join(last, ["u", "v"], "left_anti").isEmpty():
             break
-        before = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the class that links reach)."""
+    found = classified(docs, words, max_bits, id_col, text_col)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def classified(docs: DataFrame, words: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, h (hash of the text), fp, root, component_id of every row."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"three of six blocks find pairs of up to {MAX_BITS} differing bits")
     fps = materialise(fingerprints(docs, words, id_col, text_col), "fingerprints")
     classes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    roots = connect(links(classes, max_bits))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labelled = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return with_components(fps, classes, connect(links(classes.select("fp"), max_bits)), "fp")
+
+
+def with_components(rows: DataFrame, classes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """``rows`` (doc_id, h, ``key``) with root and component_id, the smallest doc_id of all rows of the root.
+
+    ``classes`` have each key with its smallest doc_id, ``roots`` (node, root) the keys that are not their own root. Keys
+    and roots that hold a large share of the rows are joined apart.
+    """
+    rooted = materialise(classes.join(roots.withColumnRenamed("node", key), key, "left").select(key, "rep", F.coalesce("root", key).alias("root")), "rooted")
+    least = materialise(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
+    labelled = materialise(spread_join(rooted, least, "root", "component_id").select(key, F.struct("root", "component_id").alias("of")), "labelled")
+    return spread_join(rows, labelled, key, "of").select(*rows.columns, "of.root", "of.component_id")
 
 
-def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one document, that of the smallest doc_id, of each class; rows without an id stay.
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each class: that of the smallest doc_id, then of the smallest hash of its text; rows without an id stay.
 
-    ``found`` has doc_id, component_id. Rows that share a doc_id are taken for copies, and one of them stays.
+    ``found`` has doc_id, h (xxhash64 of the text as a string, null for null) and root of each row. A row is told by its
+    id and text, so rows that share an id and differ in text are judged each for itself; of rows alike in both one stays.
     """
-    by_id = found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count("*").alias("rows"))
-    by_id = materialise(by_id.where("not kept or rows > 1"), "found")
-    lost, again = (by_id.where(c).select("doc_id") for c in ("not kept", "kept"))
+    place = F.struct(F.col("doc_id").alias("i"), F.col("h").isNull().alias("m"), F.col("h").alias("h"))
+    rows = found.where("doc_id is not null").select("root", place.alias("place"))
+    first = materialise(rows.groupBy("root").agg(F.min("place").alias("first")), "first")
+    placed = rows.groupBy("root", "place").agg(F.count("*").alias("rows"))
+    judged = materialise(spread_join(placed, first, "root", "first").withColumn("stays", F.col("place") == F.col("first")).where("not stays or rows > 1"), "found")
     # Texts are dealt out once, by merge at every size: which side fits a broadcast would change with it.
-    gone = lost.unionAll(again).select(F.col("doc_id").alias("__gone")).hint("merge")
-    kept = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    names = docs.columns
+    carried = [f"c{i}" for i in range(len(names))]
+    of = dict(zip(names, carried, strict=True))
+    text = F.col(of[text_col]).cast("string")
+    digest = F.when(text.isNotNull(), F.xxhash64(text))
+    rows = docs.toDF(*carried)
+    mine = F.struct(F.col(of[id_col]).cast("long").alias("i"), digest.isNull().alias("m"), digest.alias("h"))
+    gone = judged.select(F.col("place").alias("gone")).hint("merge")
+    rows = rows.withColumn("place", mine)
+    kept = rows.join(gone, rows["place"].eqNullSafe(gone["gone"]), "left_anti").select(*[F.col(c).alias(n) for n, c in of.items()])
+    again = judged.where("stays").select(F.col("place").alias("again"))
     if again.isEmpty():
         return kept
-    repeated = again.select(F.col("doc_id").alias("__again"))
-    return kept.unionByName(docs.join(repeated, docs["doc_id"] == repeated["__again"], "left_semi").dropDuplicates(["doc_id"]))
+    repeated = rows.join(again, rows["place"].eqNullSafe(again["again"]), "left_semi").dropDuplicates(["place"])
+    return kept.unionAll(repeated.select(*[F.col(c).alias(n) for n, c in of.items()]))
 
 
 def drop_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each class of ``near_duplicates``."""
-    return one_of_each(docs, near_duplicates(docs, words, max_bits))
+    return one_of_each(docs, classified(docs, words, max_bits))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from leksika.llm import language, quality, toxicity, urls
+from leksika.llm import common, language, quality, toxicity, urls
 from leksika.llm.common import labelled_sample, remainder, table
 
 BIG = "/root/testdata/sf0.1"
@@ -164,10 +164,10 @@ def test_evidence_counts_by_hand(spark):
 
 
 def test_hot_and_missing_keys_are_joined_once(spark, monkeypatch):
-    monkeypatch.setattr(language, "HOT", 10)
+    monkeypatch.setattr(common, "HOT", 10)
     rows = spark.createDataFrame([(i, None if i % 7 == 0 else "hot" if i % 2 else f"k{i % 40}") for i in range(400)], "id long, k string")
     table = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(0, 30, 2)), ("unused", 9)], "k string, v long")
-    found = {r.id: r.v for r in language.spread_join(rows, table, "k", "v").collect()}
+    found = {r.id: r.v for r in common.spread_join(rows, table, "k", "v").collect()}
     expected = {r.id: {"hot": 1, **{f"k{i}": i for i in range(0, 30, 2)}}.get(r.k) for r in rows.collect()}
     assert found == expected
 

@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 import xxhash
 
-from leksika.llm import simhash
+from pyspark.sql import functions as F
+
+from leksika.llm import similar, simhash
 
 SCHEMA = "doc_id long, text string, fp string, component_id string"
 
@@ -103,6 +105,16 @@ def test_one_of_each_class_stays(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "7", "9", "None"]
 
 
+def test_rows_of_one_id_with_other_texts_are_told_apart(spark):
+    """Two texts of one id are no copies; columns may have any name; only copies of a row go."""
+    rows = [(5, "alpha beta gamma", "g"), (5, "quite other words here", "g"), (5, "alpha beta gamma", "g"), (6, "alpha beta gamma", "h"), (8, None, "i"), (8, "", "j"), (8, None, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place string").withColumn("gone", F.lit(1)).withColumn("c0", F.lit("x")).withColumn("root", F.lit(2)).withColumn("__gone", F.lit(3))
+    for kept in (simhash.drop_duplicates(docs), similar.stage(spark, docs, "")):
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect() if r.text) == [(5, "alpha beta gamma"), (5, "quite other words here")]
+        assert kept.where("doc_id = 8").count() == 1
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0
