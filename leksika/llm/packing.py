@@ -254,7 +254,8 @@ def pack(docs: DataFrame, size: int = SEQUENCE, name: str = TOKENIZER) -> DataFr
     plan = plan_histogram({r.length: r.n for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}, size)
     runs = docs.sparkSession.sparkContext.broadcast(plan.runs())
     before = by_task.selectExpr("task", "length", "coalesce(sum(n) over (partition by length order by task rows between unbounded preceding and 1 preceding), 0) as before")
-    ranked = cutted.join(before, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("local") + F.col("before")).alias("rank"))
+    # One row for each task and length: it grows with the tasks, so it is merged, not broadcast.
+    ranked = cutted.join(before.hint("merge"), ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("local") + F.col("before")).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = runs.value
