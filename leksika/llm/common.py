@@ -60,7 +60,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_at = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete what ``materialise`` wrote, when all that was made of it is written too."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: A key with more than one in so many rows is joined by broadcast; there are fewer such keys than this.

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.common import as_bytes, materialise, pieces, spread_join
+from leksika.llm.common import as_bytes, discard, materialise, pieces, spread_join
 
 BLOCKS = (11, 11, 11, 11, 10, 10)
 MAX_BITS = 3
@@ -189,7 +189,10 @@ def connect(edges: DataFrame, name: str = "links") -> DataFrame:
     """
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     count = edges.count()
+    last = None
     while count:
+        if last is not None:
+            discard(last)
         last, before = edges, count
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
@@ -199,6 +202,7 @@ def connect(edges: DataFrame, name: str = "links") -> DataFrame:
         met = large.join(low, large.u == low.w)
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v")
         edges = materialise(small.distinct(), name)
+        discard(large)
         count = edges.count()
         # Done when nothing changed: as many edges, and each was there before.
         if count == before and edges.join(last, ["u", "v"], "left_anti").isEmpty():
