@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker holds at once, besides a single longer text.
-BATCH_BYTES = 8 << 20
+#: Bytes of text that a Python worker works on at once, besides a single longer text, and of the batches that it is sent.
+BATCH_BYTES, SENT_BYTES = 4 << 20, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,14 +45,18 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 #: Whether what a finished write had shuffled is removed; Spark's default keeps it as long as the driver remembers the plan.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's default sends batches of 64 MB, of which JVM and worker hold several at a time.
+SENT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
 
-    The plan ``df`` has shuffles of its own only, so these are removed once it is written.
+    The plan ``df`` has shuffles of its own only, so these are removed once it is written. From here on the session
+    sends texts to workers in batches of ``SENT_BYTES``.
     """
     spark = df.sparkSession
+    spark.conf.set(SENT, str(SENT_BYTES))
     path = work_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -116,6 +120,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = B
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+        pa.default_memory_pool().release_unused()
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -211,7 +216,9 @@ class Words:
         first = ends[:-1][ends[:-1] < len(data)]
         begins[first] = solid[first]  # a word ends where its text does
         at = np.flatnonzero(begins)
-        offsets = np.append((np.cumsum(solid) - 1)[at], solid.sum()).astype(np.int64)
+        before = np.cumsum(solid, dtype=np.int32 if len(solid) < 1 << 31 else np.int64)
+        offsets = np.append(before[at].astype(np.int64) - 1, solid.sum())
+        del before
         words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
         coded = words.dictionary_encode()
         self.codes, self.distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary

@@ -244,15 +244,17 @@ class Model:
         return 1 + counts // self.limit
 
     def find(self, name: str, keys: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether a table has each of the distinct sorted keys, and the values (values, keys), zeros where it hasn't."""
+        """Whether a table has each key, and the values (values, keys), zeros where it hasn't. Keys are looked up by bucket and in order."""
         usual = USUAL[name]
         out, found = np.zeros((len(usual), len(keys)), np.int64), np.zeros(len(keys), bool)
-        order = np.argsort(buckets, kind="stable")
+        order = np.argsort(buckets.astype(np.uint16) if self.bits <= 16 else buckets, kind="stable")
         of = buckets[order]
         for s, e in cuts(of):
             raw, mine = self.file(f"{name}-{of[s]}"), order[s:e]
             if not len(raw):
                 continue
+            mine = mine[np.argsort(keys[mine])]
+            wanted = keys[mine]
             sizes = raw[:24].view("<u8").astype(np.int64).tolist()
             bounds = 24 + 8 * np.cumsum([0, *sizes])
             after = bounds[3] + 8 * sizes[2] * len(usual)
@@ -260,18 +262,12 @@ class Model:
             for begin, end, have in zip(bounds, bounds[1:], values, strict=False):
                 part = raw[begin:end].view("<u8")
                 if len(part):
-                    at = np.minimum(np.searchsorted(part, keys[mine]), len(part) - 1)
-                    hit = part[at] == keys[mine]
+                    at = np.minimum(np.searchsorted(part, wanted), len(part) - 1)
+                    hit = part[at] == wanted
                     found[mine[hit]] = True
                     out[:, mine[hit]] = have[at[hit]].T
         return found, out
 
-    def grams(self, name: str, columns: list[np.ndarray], buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As ``find``, for n-grams in any order and number."""
-        keys, first, of = np.unique(key_of(columns), return_index=True, return_inverse=True)
-        found, out = self.find(name, keys, buckets[first])
-        return found[of], out[:, of]
-
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each text: tokens, known tokens, base score, score."""
         s = self.stats
@@ -291,13 +287,14 @@ class Model:
             buckets = top(mixed(ids[v], ids[w]), self.bits)
         else:
             buckets = met_at(ids[v], ids[w], splits[v], self.bits)
-        known, (c,) = self.grams("pair", [ids[v], ids[w]], buckets)
+        known, (c,) = self.find("pair", key_of([ids[v], ids[w]]), buckets)
         p = self.interpolated(c, total[v], d[1] * have[1][v] + d[2] * have[2][v] + d[3] * have[3][v], p_word[w], d)
         if self.order == 3:
             u, d = seq[place - 2], self.discounts_of("trigram")
             buckets = met_at(ids[v], ids[u], splits[v], self.bits)
-            c = self.grams("trigram", [ids[u], ids[v], ids[w]], buckets)[1][0]
-            often, context = self.grams("context", [ids[u], ids[v]], buckets)
+            before_last = key_of([ids[u], ids[v]])
+            c = self.find("trigram", key_of([before_last, ids[w]]), buckets)[1][0]
+            often, context = self.find("context", before_last, buckets)
             # A pair that was met is a context; one that is not among the frequent ones was followed once.
             met = np.full(len(seq), s["docs"] > 0)
             met[place] = known
