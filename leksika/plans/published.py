@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leksika.operators import projections as P
-from leksika.operators.retrieval import active_official
 from leksika.plans.lookups import OFFICIAL
 from leksika.plans.registry import Registry
 from leksika.sources import tables as T
@@ -13,17 +12,24 @@ from leksika.sources import tables as T
 query = Registry()
 
 
-@query(f"WITH {T.ENTRIES_SQL} SELECT id, lema, array_to_string(list_sort(variants), '|') AS variants, source_kind, sha256(definisi) AS source_hash, 'r1' AS source_release FROM entries WHERE {OFFICIAL}")
+@query(f"""WITH {T.ENTRIES_SQL}, {T.PUBLISHED_SQL} SELECT id, lema, id AS source_entry_id, canonical_content_hash, raw_content_hash, source_url, source_kind, 'r1' AS source_release,
+  array_to_string(list_sort(kelas_kata), '|') AS kelas_kata, bentuk_baku, array_to_string(list_sort(bentuk_tidak_baku), '|') AS bentuk_tidak_baku FROM hashed WHERE {OFFICIAL}""")
 def q_word_projection(spark, sf_dir):
-    """P10, T06."""
-    return P.words(T.entries(spark, sf_dir).where(active_official()), "r1").withColumn("variants", F.array_join("variants", "|"))
+    """P10, P02, P03, T06, F34."""
+    found = P.words(T.published(spark, sf_dir), "r1")
+    return found.withColumns({c: F.array_join(c, "|") for c in ("kelas_kata", "bentuk_tidak_baku")})
 
 
-@query(f"""WITH {T.ENTRIES_SQL}, x AS (SELECT v AS "from", lema AS "to", id, sha256(definisi) AS source_hash FROM entries, unnest(variants) AS u(v) WHERE {OFFICIAL} AND v <> '' AND v <> lema)
-SELECT "from", "to", 'nonstandard-to-standard' AS type, min(id) AS source_entry_id, arg_min(source_hash, id) AS source_hash, 'r1' AS source_release FROM x GROUP BY "from", "to" """)
+EDGES = f"""edges AS (
+  SELECT v AS "from", lema AS "to", id, 0 AS rank, 'bentuk_tidak_baku' AS canonical_field, canonical_content_hash AS source_hash FROM hashed, unnest(list_distinct(bentuk_tidak_baku)) AS u(v) WHERE {OFFICIAL} AND trim(v) <> ''
+  UNION ALL SELECT lema, bentuk_baku, id, 1, 'bentuk_baku', canonical_content_hash FROM hashed WHERE {OFFICIAL} AND trim(bentuk_baku) <> '')"""
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {T.PUBLISHED_SQL}, {EDGES}
+SELECT "from", "to", 'nonstandard_variant' AS type, id AS source_entry_id, canonical_field, source_hash, 'r1' AS source_release FROM edges QUALIFY row_number() OVER (PARTITION BY "from", "to" ORDER BY id, rank) = 1""")
 def q_relations_projection(spark, sf_dir):
-    """A19, T07."""
-    return P.relations(T.entries(spark, sf_dir).where(active_official()), "r1")
+    """A19, T07, P02."""
+    return P.relations(T.published(spark, sf_dir), "r1")
 
 
 @query("""SELECT d.doc_id AS doc_id, CASE WHEN l.doc_id IS NULL AND d.doc_id % 2 = 0 THEN 'unavailable' WHEN l.doc_id IS NULL OR d.doc_id % 2 = 0 THEN 'pending' WHEN l.quality = 1 THEN 'validated' ELSE 'failed' END AS status
@@ -35,9 +41,27 @@ def q_projection_status(spark, sf_dir):
     return rows.select("doc_id", P.status(F.col("quality").isNotNull(), F.col("doc_id") % 2 == 1, F.coalesce(F.col("quality") == 1, F.lit(False))).alias("status"))
 
 
-@query(f"""WITH {T.ENTRIES_SQL}, x AS (SELECT v AS f, lema AS t FROM entries, unnest(variants) AS u(v))
-SELECT CASE WHEN f = '' THEN 'from' WHEN f = t THEN 'loop' ELSE '' END AS failures, count(*) AS n FROM x GROUP BY 1""")
+@query(f"""WITH {T.ENTRIES_SQL}, x AS (SELECT v AS f, lema AS t, CAST(doc_id AS INTEGER) % 4 AS n FROM entries, unnest(variants) AS u(v))
+SELECT array_to_string(list_filter([CASE WHEN trim(f) = '' THEN 'from' END, CASE WHEN trim(t) = '' THEN 'to' END, CASE WHEN n = 1 THEN 'type' END, CASE WHEN n = 2 THEN 'canonical_field' END, CASE WHEN n = 3 THEN 'source_hash' END, CASE WHEN n = 3 THEN 'release' END], lambda e: e IS NOT NULL), ',') AS failures, count(*) AS n FROM x GROUP BY 1""")
 def q_relation_checks(spark, sf_dir):
-    """P19."""
-    rows = T.entries(spark, sf_dir).select(F.explode("variants").alias("from"), F.col("lema").alias("to"), F.sha2("definisi", 256).alias("source_hash"))
-    return rows.groupBy(F.array_join(P.relation_failures(), ",").alias("failures")).agg(F.count("*").alias("n"))
+    """Records with a wrong field each."""
+    n = F.col("doc_id") % 4
+    rows = T.entries(spark, sf_dir).select(
+        F.explode("variants").alias("from"), F.col("lema").alias("to"), F.when(n == 1, "other").otherwise(P.RELATION).alias("type"), F.col("id").alias("source_entry_id"),
+        F.when(n == 2, "lema").otherwise("bentuk_baku").alias("canonical_field"), F.when(n == 3, "short").otherwise(F.sha2("definisi", 256)).alias("source_hash"), F.when(n == 3, "r0").otherwise("r1").alias("source_release"),
+    )
+    return rows.groupBy(F.array_join(P.relation_failures("r1"), ",").alias("failures")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {T.PUBLISHED_SQL} SELECT array_to_string(list_filter([CASE WHEN trim(lema) = '' THEN 'lema' END, CASE WHEN id LIKE '%7' THEN 'raw_content_hash' END, CASE WHEN id LIKE '%3' THEN 'source_entry' END], lambda e: e IS NOT NULL), ',') AS failures, count(*) AS n FROM hashed WHERE {OFFICIAL} GROUP BY 1""")
+def q_word_checks(spark, sf_dir):
+    """Word records with a wrong hash or another entry's id."""
+    rows = P.words(T.published(spark, sf_dir), "r1")
+    rows = rows.withColumn("raw_content_hash", F.when(F.col("id").endswith("7"), "ABC").otherwise(F.col("raw_content_hash"))).withColumn("source_entry_id", F.when(F.col("id").endswith("3"), "other").otherwise(F.col("source_entry_id")))
+    return rows.groupBy(F.array_join(P.word_failures("r1"), ",").alias("failures")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {T.PUBLISHED_SQL} SELECT id AS source_entry_id, canonical_content_hash, raw_content_hash FROM hashed WHERE {OFFICIAL} ORDER BY 1""")
+def q_source_entries(spark, sf_dir):
+    """A manifest's entries, in order of id."""
+    return P.source_entries(P.of_track(T.published(spark, sf_dir), "r1", "word"))

@@ -98,6 +98,17 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``entries`` with all that a projection needs: word classes, standard forms, lineage."""
+    rows = entries(spark, sf_dir).withColumnRenamed("variants", "bentuk_tidak_baku")
+    return rows.select(
+        "id", "lema", "status", "source_kind", "bentuk_tidak_baku",
+        F.when(F.col("doc_id") % 6 == 5, F.get(F.split("definisi", " "), F.lit(5))).alias("bentuk_baku"),
+        F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("v"), F.lit("n"))).otherwise(F.array(F.lit("adv"))).alias("kelas_kata"),
+        F.concat(F.lit("https://example.org/entri/"), "id").alias("source_url"), F.sha2("definisi", 256).alias("raw_content_hash"),
+    )
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``labels`` as review decisions."""
     return read(spark, sf_dir, "labels").select(
@@ -118,5 +129,10 @@ ENTRIES_SQL = r"""entries AS (
     CASE doc_id % 10 WHEN 9 THEN 'inactive' WHEN 8 THEN 'unresolved' ELSE 'active' END AS status,
     string_split(text, ' ')[2:4] AS variants, n_chars
   FROM documents)"""
+PUBLISHED_SQL = """published AS (
+  SELECT id, lema, status, source_kind, variants AS bentuk_tidak_baku, CASE WHEN doc_id % 6 = 5 THEN string_split(definisi, ' ')[6] END AS bentuk_baku,
+    CASE WHEN doc_id % 3 = 0 THEN ['v', 'n'] ELSE ['adv'] END AS kelas_kata, 'https://example.org/entri/' || id AS source_url, sha256(definisi) AS raw_content_hash,
+  FROM entries),
+hashed AS (SELECT *, sha256(CAST(to_json({bentuk_baku: bentuk_baku, bentuk_tidak_baku: bentuk_tidak_baku, id: id, kelas_kata: kelas_kata, lema: lema, status: status}) AS VARCHAR) || chr(10)) AS canonical_content_hash FROM published)"""
 REVIEWS_SQL = """reviews AS (
   SELECT doc_id, CASE WHEN toxic = 1 THEN 'quarantined' WHEN quality = 1 THEN 'approved' ELSE 'rejected' END AS review_status FROM labels)"""

@@ -89,7 +89,8 @@ def test_import_and_release(spark, tmp_path):
 
 
 def test_publication_is_once(spark, tmp_path):
-    entries = spark.createDataFrame([("1", "Baku", ["x"], "official-live", "d")], "id string, lema string, variants array<string>, source_kind string, definisi string")
+    schema = "id string, lema string, bentuk_tidak_baku array<string>, bentuk_baku string, kelas_kata array<string>, status string, source_kind string, source_url string, raw_content_hash string"
+    entries = spark.createDataFrame([("1", "Baku", ["x"], None, ["n"], "active", "official-live", "https://h/1", "a" * 64)], schema)
     one = workflows.publish_tracks(entries, str(tmp_path), "web", "r1", "gen-1")
     two = workflows.publish_tracks(entries, str(tmp_path), "web", "r1", "gen-1")
     assert (one, two) == ({"word": True, "relations": True}, {"word": False, "relations": False})
