@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leksika.functions.text import lookup_key
+from leksika.functions.text import lookup_key, strip_space
 from leksika.functions.vectors import DISTANCES
 
 OFFICIAL = ("official-live", "official-snapshot")
@@ -24,22 +29,27 @@ def active_official(source_kind: str = "source_kind", status: str = "status") ->
 
 
 def latest(entries: DataFrame, key: str = "lema_lc", order: str = "doc_id") -> DataFrame:
-    """The last entry written for each key, by partial aggregation."""
-    return entries.groupBy(key).agg(F.max_by(F.struct(*entries.columns), order).alias("e")).select("e.*")
+    """The last entry written for each key. Only keys and order are aggregated; the rows are fetched by them."""
+    return fetched(entries, entries.groupBy(key).agg(F.max(order).alias(order)), key, order)
+
+
+def fetched(entries: DataFrame, places: DataFrame, key: str, order: str) -> DataFrame:
+    """One entry for each key and place of ``places``."""
+    return entries.join(places, [key, order] if key in entries.columns else order).dropDuplicates([key])
 
 
 def exact(queries: DataFrame, entries: DataFrame) -> DataFrame:
-    """Query -> the active official entry of that word; an equi-join on the stored key."""
+    """Query -> the active official entry of that word; an equi-join on the stored key. Entries that nobody asks for are dropped before the last of each key is sought."""
     asked = queries.select("query", lookup_key(F.col("query")).alias("lema_lc")).distinct()
-    return asked.join(latest(entries), "lema_lc").where(active_official())
+    return asked.join(latest(entries.join(asked.select("lema_lc").distinct(), "lema_lc", "left_semi")), "lema_lc").where(active_official())
 
 
 def nonstandard(queries: DataFrame, entries: DataFrame, order: str = "doc_id") -> DataFrame:
     """Query -> the first active official entry that lists the word as a variant."""
     asked = queries.select("query", lookup_key(F.col("query")).alias("variant")).distinct()
-    listed = entries.where(active_official()).select("*", F.explode(F.array_distinct(F.transform("variants", F.lower))).alias("variant"))
-    first = listed.groupBy("variant").agg(F.min_by(F.struct(*entries.columns), order).alias("e"))
-    return asked.join(first, "variant").select("query", "e.*")
+    official = entries.where(active_official())
+    listed = official.select(order, F.explode(F.array_distinct(F.transform("variants", F.lower))).alias("variant")).join(asked.select("variant").distinct(), "variant", "left_semi")
+    return asked.join(fetched(official, listed.groupBy("variant").agg(F.min(order).alias(order)), "variant", order), "variant").select("query", *entries.columns)
 
 
 def relation(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -55,13 +65,22 @@ def prefix(entries: DataFrame, word: str, limit: int = 20) -> DataFrame:
 
 
 def prefix_join(queries: DataFrame, entries: DataFrame, limit: int = 20, shortest: int = 3) -> DataFrame:
-    """J05 for many words: an equi-join on the first letters, then the whole prefix."""
+    """J05 for many words: an equi-join on a whole prefix of each length asked for, so a common beginning meets only those who ask for it; id and order alone are ranked, and the rows of the winners fetched.
+
+    A prefix that is asked for collects at most ``limit`` entries of each task before they are ranked.
+    """
     asked = queries.select("query", lookup_key(F.col("query")).alias("key")).where(F.length("key") >= shortest).distinct()
-    asked = asked.withColumn("head", F.substring("key", 1, shortest))
-    kept = entries.where(active_official()).withColumn("head", F.substring("lema_lc", 1, shortest))
-    met = asked.join(kept, "head").where(F.col("lema_lc").startswith(F.col("key")))
-    order = Window.partitionBy("query").orderBy("lema_lc", "id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= cap(limit)).drop("head", "key")
+    lengths = [r[0] for r in asked.select(F.length("key")).distinct().orderBy(F.length("key")).collect()]  # word lengths: few, whatever the number of queries
+    if not lengths:
+        return entries.where("false").select(F.lit("").alias("query"), "*", F.lit(0).alias("rank"))
+    official = entries.where(active_official()).select("lema_lc", "id")
+    heads = F.array_distinct(F.filter(F.array(*[F.when(F.length("lema_lc") >= n, F.substring("lema_lc", 1, n)) for n in lengths]), lambda x: x.isNotNull()))
+    # A key's row in each of 64 parts keeps its first few, so a beginning that a third of all entries have is ranked in parts.
+    met = official.withColumn("key", F.explode(heads)).join(asked.select("key").distinct(), "key", "left_semi").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64)))
+    few = met.withColumn("rank", F.row_number().over(Window.partitionBy("key", "part").orderBy("lema_lc", "id"))).where(F.col("rank") <= cap(limit))
+    first = few.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("lema_lc", "id"))).where(F.col("rank") <= cap(limit)).select("key", "id", "rank")
+    won = asked.join(first, "key").select("query", "id", "rank")
+    return won.join(entries, "id").where(active_official()).select("query", *entries.columns, "rank")
 
 
 def nearest(vectors: DataFrame, query: Column, k: int = 10, measure: str = "DOT_PRODUCT", keep: Column | None = None, max_distance: float | None = None) -> DataFrame:
@@ -73,12 +92,52 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, measure: str = "DOT_
     return scored.orderBy("distance", "vec_id").limit(cap(k))
 
 
-def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: str = "DOT_PRODUCT") -> DataFrame:
-    """J06 for any number of queries: each query's ``k`` nearest others. Pairs of partitions of both sides, or a broadcast where Catalyst finds one side small."""
-    met = vectors.join(queries, F.col("vec_id") != F.col("query_id"))
-    scored = met.withColumn("distance", DISTANCES[measure](F.col("embedding"), F.col("query")))
+#: Queries and vectors of a block, each pair of which is one task.
+QUERY_BLOCK, VECTOR_BLOCK = 1024, 16384
+
+
+def distances(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
+    """F32 for all pairs of rows."""
+    products = q @ x.T
+    if measure == "DOT_PRODUCT":
+        return 1.0 - products
+    if measure == "COSINE":
+        norms = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))[None, :]
+        return np.where(norms == 0, 1.0, 1.0 - products / np.where(norms == 0, 1.0, norms))
+    return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2 * products, 0.0))
+
+
+def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: str = "DOT_PRODUCT", max_distance: float | None = None, others: bool = True) -> DataFrame:
+    """J06 for any number of queries (query_id, query): each query's ``k`` nearest vectors (vec_id, embedding), its own id left out if ``others``.
+
+    Both sides are dealt into blocks of bounded size by row; each pair of blocks is one task, which returns its ``k`` of each query.
+    Vectors of one length only; rows without an id or a vector take no part.
+    """
+    asked = queries.where("query_id is not null and query is not null").select("query_id", F.col("query").cast("array<double>").alias("v"))
+    rows = vectors.where("vec_id is not null and embedding is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    qs, vs = (max(1, -(-df.count() // n)) for df, n in ((asked, QUERY_BLOCK), (rows, VECTOR_BLOCK)))
+    out = T.StructType([T.StructField("query_id", asked.schema["query_id"].dataType), T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("distance", T.DoubleType())])
+
+    def dealt(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(mine, F.pmod(F.monotonically_increasing_id(), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, vec_ids = (t.column(c).combine_chunks() for t, c in ((left, "query_id"), (right, "vec_id")))
+        if not len(ids) or not len(vec_ids):
+            return pa.table({"query_id": ids[:0], "vec_id": vec_ids[:0], "distance": pa.array([], pa.float64())})
+        q, x = (np.array(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1) for t in (left, right))
+        d = distances(q, x, measure)
+        if others:
+            d[np.array(ids)[:, None] == np.array(vec_ids)[None, :]] = np.inf
+        most = np.full(len(q), np.inf) if max_distance is None else np.full(len(q), np.nextafter(max_distance, np.inf))
+        if len(x) > k:
+            most = np.minimum(most, np.nextafter(np.partition(d, k - 1, axis=1)[:, k - 1], np.inf))
+        i, j = np.nonzero(d < most[:, None])  # ties of the last one stay
+        return pa.table({"query_id": ids.take(pa.array(i)), "vec_id": vec_ids.take(pa.array(j)), "distance": pa.array(d[i, j])})
+
+    met = dealt(asked, "qb", qs, "vb", vs).cogroup(dealt(rows, "vb", vs, "qb", qs)).applyInArrow(cell, out)
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
+    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
 
 
 def adapted(hits: DataFrame, threshold: float) -> DataFrame:
@@ -92,11 +151,48 @@ def hydrate(hits: DataFrame, entries: DataFrame, min_similarity: float = 0.7) ->
     return scored.join(entries, scored.vec_id == entries.doc_id).where(active_official())
 
 
-def cascade(queries: DataFrame, entries: DataFrame, limit: int = 20) -> DataFrame:
-    """Exact, else prefix (three letters or more); the first tier that answers a query wins."""
-    first = exact(queries, entries).select("query", "id", "lema", F.lit("exact").alias("tier"), F.lit(0).alias("rank"))
-    second = prefix_join(queries, entries, limit).select("query", "id", "lema", F.lit("prefix").alias("tier"), F.lit(1).alias("rank"))
-    return first.unionAll(second.join(first.select("query"), "query", "left_anti")).drop("rank")
+def hydrated(hits: DataFrame, entries: DataFrame) -> DataFrame:
+    """Hits (doc_id, lema) with their entry: by word, else by what stands before the first ``_`` of the id, else by the whole id; hits without one are left out.
+
+    Each way is an equi-join with the entries that are asked for; the first that is met wins.
+    """
+    numbered = hits.withColumnsRenamed({"doc_id": "hit_id", "lema": "hit_lema"})
+    ways = (("lema_lc", lookup_key(F.col("hit_lema"))), ("id", F.substring_index("hit_id", "_", 1)), ("id", F.col("hit_id")))
+    found = None
+    for rank, (key, value) in enumerate(ways):
+        asked = numbered.withColumn("__key", value).where("__key <> ''").withColumn("__rank", F.lit(rank))
+        wanted = entries.join(asked.select(F.col("__key").alias(key)).distinct(), key, "left_semi")
+        rows = latest(wanted, key) if key == "lema_lc" else wanted
+        met = asked.join(rows.withColumn("__key", F.col(key)), "__key").drop("__key")
+        found = met if found is None else found.unionByName(met)
+    order = Window.partitionBy(*numbered.columns).orderBy("__rank", F.desc("doc_id"))
+    return found.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n", "__rank")
+
+
+def semantic(queries: DataFrame, entries: DataFrame, vectors: DataFrame, embed: Callable[[Column], Column], limit: int = 10, threshold: float = 0.7) -> DataFrame:
+    """The third tier: each query is embedded, its nearest vectors (vec_id, doc_id, lema, embedding) are fetched, hydrated, and what may be read is kept, most similar first.
+
+    The top ``limit`` comes before the filters, so there may be fewer. Blank queries, and an embedding that is null, find nothing.
+    """
+    asked = queries.select("query").where(strip_space(F.col("query")) != "").distinct().withColumn("vector", embed(strip_space(F.col("query"))))
+    near = nearest_batch(asked.select(F.col("query").alias("query_id"), F.col("vector").alias("query")), vectors, cap(limit), max_distance=1 - threshold, others=False)
+    near = near.withColumn("similarity", 1 - F.col("distance")).where(F.col("similarity") >= threshold)
+    named = near.join(vectors.select("vec_id", "doc_id", "lema"), "vec_id").select(F.col("query_id").alias("query"), "similarity", "vec_id", "doc_id", "lema")
+    kept = hydrated(named, entries).where(active_official())
+    order = Window.partitionBy("query").orderBy(F.desc("similarity"), "vec_id")
+    return kept.withColumn("rank", F.row_number().over(order))
+
+
+def cascade(queries: DataFrame, entries: DataFrame, limit: int = 20, vectors: DataFrame | None = None, embed: Callable[[Column], Column] | None = None, threshold: float = 0.7, semantic_limit: int = 10) -> DataFrame:
+    """Exact, else prefix (three letters or more), else, with ``vectors`` and ``embed``, semantic; the first tier that answers a query wins. Queries go on only while none has."""
+    first = exact(queries, entries).select("query", "id", "lema", F.lit("exact").alias("tier"))
+    left = queries.join(first.select("query"), "query", "left_anti")
+    second = prefix_join(left, entries, limit).select("query", "id", "lema", F.lit("prefix").alias("tier"))
+    if vectors is None or embed is None:
+        return first.unionAll(second)
+    left = left.join(second.select("query"), "query", "left_anti")
+    third = semantic(left, entries, vectors, embed, semantic_limit, threshold).select("query", "id", "lema", F.lit("semantic").alias("tier"))
+    return first.unionAll(second).unionAll(third)
 
 
 def citation(release: str | None = None, generation: str | None = None) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leksika.functions.hashing import pseudo_vector
 from leksika.operators import retrieval as R
 from leksika.plans.registry import Registry
 from leksika.sources import tables as T
@@ -68,12 +69,29 @@ def q_prefix_join(spark, sf_dir):
     return R.prefix_join(asked(spark, sf_dir), T.entries(spark, sf_dir)).select("query", "id", "lema", "rank")
 
 
-@query(f"""WITH {T.ENTRIES_SQL}, {ASKED}, {LATEST}, {PREFIXED}, exact AS (SELECT query, id, lema FROM asked JOIN latest ON query = lema_lc WHERE {OFFICIAL})
-SELECT query, id, lema, 'exact' AS tier FROM exact
-UNION ALL SELECT query, id, lema, 'prefix' FROM met WHERE rank <= 20 AND query NOT IN (SELECT query FROM exact)""")
+UNIT = """list_transform(range(64), lambda i: (CAST('0x' || substr(d, CAST(i % 32 * 2 + 1 AS INTEGER), 2) AS INTEGER) / 127.5 - 1.0) * 0.1 + (i % 7) * 0.001)"""
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {ASKED}, {LATEST}, {PREFIXED}, exact AS (SELECT query, id, lema FROM asked JOIN latest ON query = lema_lc WHERE {OFFICIAL}),
+prefixed AS (SELECT query, id, lema FROM met WHERE rank <= 20 AND query NOT IN (SELECT query FROM exact)),
+unanswered AS (SELECT query FROM asked WHERE trim(query) <> '' AND query NOT IN (SELECT query FROM exact) AND query NOT IN (SELECT query FROM prefixed)),
+raw AS (SELECT query, {UNIT} AS v FROM (SELECT query, sha256(query) AS d FROM unanswered)),
+near AS (SELECT query, vec_id, list_dot_product(v, CAST(embedding AS DOUBLE[])) / sqrt(list_dot_product(v, v)) AS s FROM raw, embeddings QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, vec_id) <= 10),
+semantic AS (SELECT query, id, lema FROM near JOIN entries ON vec_id = doc_id WHERE s >= 0.1 AND {OFFICIAL})
+SELECT query, id, lema, 'exact' AS tier FROM exact UNION ALL SELECT query, id, lema, 'prefix' FROM prefixed UNION ALL SELECT query, id, lema, 'semantic' FROM semantic""")
 def q_cascade(spark, sf_dir):
-    """J35."""
-    return R.cascade(asked(spark, sf_dir), T.entries(spark, sf_dir))
+    """All three tiers; ids of the test vectors are those of documents."""
+    vectors = T.vectors(spark, sf_dir).select("vec_id", F.concat(F.col("vec_id").cast("string"), F.lit("_r1")).alias("doc_id"), F.lit("").alias("lema"), "embedding")
+    return R.cascade(asked(spark, sf_dir), T.entries(spark, sf_dir), 20, vectors, lambda text: pseudo_vector(text, 64), 0.1)
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {LATEST}, hits AS (SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN lema ELSE 'no such word' END AS word, CASE WHEN vec_id % 3 = 1 THEN CAST(vec_id AS VARCHAR) END AS before FROM embeddings JOIN entries ON vec_id = doc_id)
+SELECT vec_id, coalesce(l.id, e.id) AS id, coalesce(l.lema, e.lema) AS lema FROM hits LEFT JOIN latest l ON lower(word) = l.lema_lc LEFT JOIN entries e ON before = e.id WHERE coalesce(l.id, e.id) IS NOT NULL""")
+def q_hydration(spark, sf_dir):
+    """By word, by what stands before the underscore, or not at all."""
+    rows = T.vectors(spark, sf_dir).join(T.entries(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "lema"), "vec_id")
+    hits = rows.select("vec_id", F.when(F.col("vec_id") % 3 == 0, F.concat(F.lit(" "), "lema")).otherwise("no such word").alias("lema"), F.when(F.col("vec_id") % 3 == 1, F.concat(F.col("vec_id").cast("string"), F.lit("_r1"))).otherwise("-").alias("doc_id"))
+    return R.hydrated(hits, T.entries(spark, sf_dir)).select("vec_id", "id", "lema")
 
 
 V_SQL = "v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings), q AS (SELECT e AS qe FROM v WHERE vec_id = 0)"
@@ -116,11 +134,11 @@ def q_knn_hydrate(spark, sf_dir):
 
 
 @query(f"""WITH {V_SQL}, d AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, 1 - list_dot_product(a.e, b.e) AS distance FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id < 20
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, 1 - list_dot_product(a.e, b.e) AS distance FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) + 0.0 AS distance FROM r WHERE rank <= 3""")
 def q_knn_batch(spark, sf_dir):
-    """J06 for 20 queries."""
+    """Every row whose id is divisible by 50 against all rows."""
     rows = T.vectors(spark, sf_dir)
-    asked_vectors = rows.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    asked_vectors = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     return R.nearest_batch(asked_vectors, rows, 3).withColumn("distance", F.round("distance", 6) + 0.0)

@@ -95,13 +95,13 @@ def q_times(spark, sf_dir):
     return T.read(spark, sf_dir, "events").select("event_id", X.iso_z(F.col("ts")).alias("iso"), X.backoff(F.col("event_id") % 7).alias("wait"))
 
 
-@query("""SELECT doc_id, 'raw/' || source || '/2024-01-01/' || sha256(text) || '.html' AS path, printf('run-%04d-%02d', CAST(doc_id AS INTEGER), CAST(doc_id % 3 AS INTEGER)) AS attempt_id,
+@query("""SELECT doc_id, 'raw/' || source || '/2024-01-01/' || sha256(text) || '.html' AS path, printf('run-%04d-%02d', doc_id, doc_id % 3) AS attempt_id,
   'review-' || substr(sha256(source || '|' || CAST(doc_id AS VARCHAR)), 1, 32) AS review_id FROM documents""")
 def q_identities(spark, sf_dir):
     """F11, F13."""
     return T.read(spark, sf_dir, "documents").select(
         "doc_id", H.raw_path(F.col("source"), F.lit("2024-01-01").cast("timestamp"), H.sha256(F.col("text"))).alias("path"),
-        H.attempt_id(F.lit("run"), F.col("doc_id").cast("int"), (F.col("doc_id") % 3).cast("int")).alias("attempt_id"),
+        H.attempt_id(F.lit("run"), F.col("doc_id").cast("long"), (F.col("doc_id") % 3).cast("long")).alias("attempt_id"),
         H.identity(F.col("source"), F.col("doc_id").cast("string"), prefix="review").alias("review_id"),
     )
 
