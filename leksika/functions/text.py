@@ -105,7 +105,11 @@ def truncated(c: Column, size: int = 6000) -> Column:
     return F.regexp_replace(F.substring(c, 1, size), f"{SPACE}+$", "")
 
 
-def redacted(m: Column, pattern: str = "(?i)(secret|token|password|authorization|api[_-]?key|credential)") -> Column:
+# Parts of keys whose values are secret.
+SECRET = "(?i)(password|passwd|secret|token|api[_-]?key|credential|authorization|cookie|session|private[_-]?key)"
+
+
+def redacted(m: Column, pattern: str = SECRET) -> Column:
     """a map with the values of keys that look like secrets masked."""
     return F.transform_values(m, lambda k, v: F.when(k.rlike(pattern), "[REDACTED]").otherwise(v))
 
@@ -129,9 +133,15 @@ def retry_after(value: Column, now: Column) -> Column:
     return F.coalesce(seconds, F.when(at.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(at.cast("timestamp")) - F.unix_micros(now.cast("timestamp"))) / 1e6)))
 
 
-def backoff(attempt: Column, base: float = 0.5, most: float = 8.0) -> Column:
-    """seconds before a retry, without jitter."""
-    return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(most))
+def backoff(attempt: Column, base: float = 0.5, most: float = 8.0, jitter: Column | None = None) -> Column:
+    """seconds before a retry; ``jitter`` from 0 to 1 (``F.rand(seed)``, say) adds up to a tenth."""
+    wait = F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(most))
+    return wait if jitter is None else wait * (1 + 0.1 * jitter)
+
+
+def details(c: Column, size: int = 500) -> Column:
+    """the beginning of a value's JSON, for messages."""
+    return F.substring(F.to_json(F.struct(c.alias("value"))), 1, size)
 
 
 def status_class(status: Column) -> Column:

@@ -9,7 +9,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-SECRET = re.compile(r"(?i)(secret|token|password|authorization|api[_-]?key|credential)")
+from leksika.functions import text
+
+SECRET = re.compile(text.SECRET)
 MASK = "[REDACTED]"
 _context: ContextVar[dict] = ContextVar("leksika_log_context", default={})
 

@@ -10,6 +10,7 @@ from leksika.functions.hashing import pseudo_vector
 from leksika.operators.checkpoint import fingerprint
 
 CHUNK = 500
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def delta_plan(prior: DataFrame, candidate: DataFrame, incompatible: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
@@ -55,20 +56,60 @@ def class_counts(plan: DataFrame) -> DataFrame:
     )
 
 
-def chunks(rows: DataFrame, order: str, size: int = CHUNK) -> DataFrame:
-    """Rows with their chunk, ``floor((rank - 1) / size)``, ranked without one task for all: ranks come from ranges."""
-    spark = rows.sparkSession
-    ranged = rows.repartitionByRange(spark.sparkContext.defaultParallelism, order).sortWithinPartitions(order)
-    numbered = ranged.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    before = numbered.groupBy("__part").agg(F.count("*").alias("__n")).selectExpr("__part", "coalesce(sum(__n) over (order by __part rows between unbounded preceding and 1 preceding), 0) as __before")
-    return numbered.join(F.broadcast(before), "__part").withColumn("chunk", F.floor((F.col("__before") + F.col("__at")) / size)).drop("__part", "__at", "__n", "__before")
+def chunks(rows: DataFrame, order: str, size: int = CHUNK, ranges: int | None = None) -> DataFrame:
+    """Rows with their chunk, ``floor((rank - 1) / size)``, ranked without one task for all.
+
+    Keys are counted by ranges, one for each quarter million of rows and 4,096 at most; a row's rank is its rank
+    in its range plus the counts of the ranges before. A range is told by the key itself, so a task that runs
+    again ranks alike. Bounds change the work only: quantiles of numbers, or those of a small sample of other keys.
+    """
+    ranges = ranges or min(4096, 1 + rows.count() // 250_000)
+    bounds: list = []
+    if ranges > 1 and dict(rows.dtypes)[order] in NUMBERS:
+        bounds = sorted(set(rows.stat.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
+    elif ranges > 1:
+        sampled = sorted(rows.select(F.col(order).alias("k")).where("k is not null").orderBy(F.xxhash64("k"), "k").limit(16 * ranges).toArrow().column("k").to_pylist())
+        bounds = sorted(set(sampled[16::16]))
+    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))) if bounds else F.lit(0)
+    ranged = rows.withColumn("__part", F.when(F.col(order).isNull(), -1).otherwise(part))
+    within = ranged.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1)
+    before = ranged.groupBy("__part").agg(F.count("*").alias("__n")).selectExpr("__part", "coalesce(sum(__n) over (order by __part rows between unbounded preceding and 1 preceding), 0) as __before")
+    return within.join(F.broadcast(before), "__part").withColumn("chunk", F.floor((F.col("__before") + F.col("__at")) / size)).drop("__part", "__at", "__before")
 
 
 def preflight(batch: DataFrame, existing: DataFrame, key: str = "id", digest: str = "hash") -> DataFrame:
-    """What a create-only write would do with each row: write, no-op or conflict."""
-    have = existing.select(key, F.col(digest).alias("__have"), F.lit(True).alias("__is"))
-    action = F.when(F.col("__is").isNull(), "write").when(F.col("__have").eqNullSafe(F.col(digest)), "no-op").otherwise("conflict")
-    return batch.join(have, key, "left").withColumn("action", action).drop("__have", "__is")
+    """What a create-only write would do with each row: write, no-op or conflict.
+
+    Rows of one key that disagree are conflicts; repeated ones are one row, chosen by partial aggregation.
+    """
+    others = [c for c in batch.columns if c not in (key, digest)]
+    once = batch.groupBy(key).agg(F.min(digest).alias(digest), F.max(digest).alias("__most"), (F.count(digest) < F.count("*")).alias("__lacks"), *[F.min_by(c, digest).alias(c) for c in others])
+    have = existing.groupBy(key).agg(F.min(digest).alias("__have"), F.max(digest).alias("__has"), F.lit(True).alias("__is"))
+    apart = ~F.col(digest).eqNullSafe(F.col("__most")) | (F.col("__lacks") & F.col(digest).isNotNull())
+    same = F.col("__have").eqNullSafe(F.col(digest)) & F.col("__has").eqNullSafe(F.col(digest))
+    action = F.when(apart, "conflict").when(F.col("__is").isNull(), "write").when(same, "no-op").otherwise("conflict")
+    return once.join(have, key, "left").withColumn("action", action).select(*batch.columns, "action")
+
+
+def batch_ledger(judged: DataFrame, key: str = "id", size: int = CHUNK, fail_chunk: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """K05, A15, ST07: the rows of a judged batch with their chunk and whether it commits, and the ledger: chunk, size, first, last, status.
+
+    A batch with a conflict commits nothing; a chunk that fails (``fail_chunk`` makes one fail) and all after it stay open.
+    """
+    conflicts = judged.where("action = 'conflict'").limit(1).count() > 0
+    numbered = chunks(judged, key, size)
+    status = F.lit("refused") if conflicts else F.lit("committed") if fail_chunk is None else F.when(F.col("chunk") < fail_chunk, "committed").when(F.col("chunk") == fail_chunk, "failed").otherwise("open")
+    rows = numbered.withColumn("status", status)
+    ledger = rows.groupBy("chunk", "status").agg(F.count("*").alias("size"), F.count_if(F.col("action") == "write").alias("written"), F.min(key).alias("first"), F.max(key).alias("last"))
+    return rows, ledger.select("chunk", "size", "written", "first", "last", "status")
+
+
+def batch_result(ledger: DataFrame) -> DataFrame:
+    """Records, chunks committed and failed, status (complete, partial, conflict) and whether the batch may be released."""
+    n = lambda *k: F.count_if(F.col("status").isin(*k))
+    counted = ledger.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("records"), F.count("*").alias("chunks"), n("committed").alias("committed_chunks"), n("failed", "refused", "open").alias("open_chunks"), n("refused").alias("refused"))
+    status = F.when(F.col("refused") > 0, "conflict").when(F.col("open_chunks") > 0, "partial").otherwise("complete")
+    return counted.withColumn("status", status).withColumn("eligible", F.col("status") == "complete").drop("refused")
 
 
 def deduplicated(rows: DataFrame, key: str, digest: str) -> DataFrame:

@@ -56,5 +56,7 @@ def raw_cascade(wanted: DataFrame, *sources: DataFrame) -> DataFrame:
 
 
 def with_release(rows: DataFrame, current: DataFrame) -> DataFrame:
-    """Rows with the active release, one row at most, broadcast; nulls if none is active."""
-    return rows.join(F.broadcast(current.select(F.col("version").alias("release_version"), F.col("generation").alias("release_generation")).limit(1)), F.lit(True), "left")
+    """Rows with the active release: that of the highest generation number, one row, broadcast; nulls if none is active."""
+    number = F.regexp_extract(F.col("generation").cast("string"), r"(\d+)$", 1).try_cast("long")
+    active = current.agg(F.max_by(F.struct("version", "generation"), F.struct(number, "version")).alias("r")).select(F.col("r.version").alias("release_version"), F.col("r.generation").alias("release_generation"))
+    return rows.join(F.broadcast(active), F.lit(True), "left")

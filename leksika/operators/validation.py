@@ -17,6 +17,8 @@ STATUSES = ("active", "inactive", "unresolved")
 REVIEW_STATUSES = ("pending", "approved", "rejected", "quarantined")
 LEXICAL_FIELDS = ("lema", "sub_lema", "ejaan", "kelas_kata", "makna", "contoh", "turunan", "bentuk_baku", "bentuk_tidak_baku", "pelafalan", "pemenggalan", "etimologi", "labels", "status")
 PARSER = "0.1.0"
+# What a vector record names.
+MODEL, TASK, DISTANCE, SCHEMA = "gemini-embedding-001", "RETRIEVAL_DOCUMENT", "DOT_PRODUCT", "emb-768-v1"
 
 
 def layer(kind: Column) -> Column:
@@ -65,15 +67,24 @@ def violations(*checks: tuple[Column, str]) -> Column:
     return F.filter(F.array(*[F.when(failed, name) for failed, name in checks]), lambda x: x.isNotNull())
 
 
-def vector_violations(dimensions: int = 768, release: str | None = None) -> Column:
-    """What is wrong with a vector record."""
+def vector_violations(dimensions: int = 768, release: str | None = None, columns: tuple[str, ...] = ()) -> Column:
+    """What is wrong with a vector record, in order; of fields beyond embedding and content_hash those that are among ``columns`` are checked.
+
+    Null is no violation for task, distance_measure and schema_version, which older records lack.
+    """
+    has = lambda name: name in columns
+    fixed = lambda name, value: (~F.coalesce(F.col(name) == value, F.lit(False)), name)
+    tolerant = lambda name, value: (F.coalesce(F.col(name) != value, F.lit(False)), name)
     checks = [
-        (F.size("embedding") != dimensions, "dimensions"),
-        (F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), "not_finite"),
+        (~F.coalesce(F.size("embedding") == dimensions, F.lit(False)), "dimensions"),
+        (~F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)), "not_finite"),
         (~F.coalesce(F.col("content_hash").rlike("^[0-9a-f]{64}$"), F.lit(False)), "content_hash"),
     ]
-    if release is not None:
-        checks.append((~F.col("version").eqNullSafe(release), "version"))
+    checks += [] if release is None else [(~F.col("version").eqNullSafe(release), "version")]
+    checks += [fixed("model", MODEL)] if has("model") else []
+    checks += [(fixed("dimensions", dimensions)[0], "stated_dimensions")] if has("dimensions") else []
+    checks += [(F.coalesce(F.col(c), F.lit("")) == "", c) for c in ("canonical_content_hash", "source_kind") if has(c)]
+    checks += [tolerant(c, v) for c, v in (("task", TASK), ("distance_measure", DISTANCE), ("schema_version", SCHEMA)) if has(c)]
     return violations(*checks)
 
 

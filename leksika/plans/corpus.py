@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leksika.functions import hashing as H
-from leksika.functions.vectors import finite, norm
+from leksika.functions.vectors import norm
 from leksika.operators import releases as L
 from leksika.operators import validation as V
 from leksika.plans.registry import Registry
@@ -145,19 +145,47 @@ def q_manifest_agg(spark, sf_dir):
     return L.manifest(T.entries(spark, sf_dir).withColumn("hash", H.sha256(F.col("definisi"))), "id", "hash", "status")
 
 
-@query("""WITH e AS (SELECT doc_id FROM documents WHERE doc_id < 700), a AS (SELECT vec_id AS doc_id FROM embeddings WHERE vec_id % 3 > 0)
+@query("""WITH e AS (SELECT doc_id FROM documents), a AS (SELECT vec_id AS doc_id FROM embeddings WHERE vec_id % 3 > 0)
 SELECT doc_id, 'missing' AS problem FROM e WHERE doc_id NOT IN (SELECT doc_id FROM a) UNION ALL SELECT doc_id, 'extra' FROM a WHERE doc_id NOT IN (SELECT doc_id FROM e)""")
 def q_missing_extra(spark, sf_dir):
     """J30, U-S6."""
-    expected = T.read(spark, sf_dir, "documents").where("doc_id < 700").select("doc_id")
+    expected = T.read(spark, sf_dir, "documents").select("doc_id")
     actual = T.vectors(spark, sf_dir).where("vec_id % 3 > 0").select(F.col("vec_id").alias("doc_id"))
     return L.missing_and_extra(expected, actual, "doc_id")
 
 
-@query("SELECT vec_id, len(embedding) = 64 AS dimensions_ok, true AS finite, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 5) AS norm FROM embeddings")
+@query("""SELECT vec_id, array_to_string(list_filter([CASE WHEN vec_id % 5 = 0 THEN 'dimensions' END, CASE WHEN vec_id % 7 = 0 THEN 'not_finite' END, CASE WHEN vec_id % 3 = 0 THEN 'content_hash' END, CASE WHEN vec_id % 11 = 0 THEN 'version' END,
+  CASE WHEN vec_id % 13 = 0 THEN 'source_kind' END, CASE WHEN vec_id % 4 = 1 THEN 'task' END], lambda x: x IS NOT NULL), ',') AS violations,
+  round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 5) AS norm FROM embeddings""")
 def q_vector_checks(spark, sf_dir):
-    """J31, P12, P16, F39."""
-    return T.vectors(spark, sf_dir).select("vec_id", (F.size("embedding") == 64).alias("dimensions_ok"), finite(F.col("embedding")).alias("finite"), F.round(norm(F.col("embedding")), 5).alias("norm"))
+    """Records broken in different ways, and the norms of the sound vectors."""
+    n = F.col("vec_id")
+    rows = T.vectors(spark, sf_dir).select(
+        "vec_id", norm(F.col("embedding")).alias("norm"),
+        F.when(n % 5 == 0, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")).alias("embedding"), F.when(n % 11 == 0, "r0").otherwise("r1").alias("version"),
+        F.when(n % 3 == 0, "ABC").otherwise(F.sha2(n.cast("string"), 256)).alias("content_hash"), F.when(n % 13 == 0, "").otherwise("official-live").alias("source_kind"),
+        F.when(n % 4 == 1, "RETRIEVAL_QUERY").when(n % 4 == 2, V.TASK).alias("task"),
+    )
+    rows = rows.withColumn("embedding", F.when(n % 7 == 0, F.transform("embedding", lambda x, i: F.when(i == 1, float("nan")).otherwise(x))).otherwise(F.col("embedding")))
+    return rows.select("vec_id", F.array_join(V.vector_violations(64, "r1", ("source_kind", "task")), ",").alias("violations"), F.round("norm", 5).alias("norm"))
+
+
+@query("""WITH b AS (SELECT doc_id, sha256(text) AS hash FROM documents), h AS (SELECT doc_id, hash FROM b WHERE doc_id % 2 = 0),
+c AS (SELECT b.doc_id, h.doc_id IS NULL AS is_new, CAST(floor((row_number() OVER (ORDER BY b.doc_id) - 1) / 500) AS BIGINT) AS chunk FROM b LEFT JOIN h USING (doc_id)), f AS (SELECT max(chunk) // 2 AS failing FROM c)
+SELECT chunk, count(*) AS size, count(*) FILTER (WHERE is_new) AS written, min(doc_id) AS first, max(doc_id) AS last, CASE WHEN chunk < failing THEN 'committed' WHEN chunk = failing THEN 'failed' ELSE 'open' END AS status FROM c, f GROUP BY chunk, failing""")
+def q_batch_ledger(spark, sf_dir):
+    """K05, A15, W06, J25, ST07: documents as one batch, half of them there already, a chunk of which fails."""
+    batch = T.read(spark, sf_dir, "documents").select("doc_id", H.sha256(F.col("text")).alias("hash"))
+    judged = L.preflight(batch, batch.where("doc_id % 2 = 0"), "doc_id")
+    return L.batch_ledger(judged, "doc_id", fail_chunk=(batch.count() - 1) // L.CHUNK // 2)[1]
+
+
+@query("""WITH b AS (SELECT lang AS id, sha256(text) AS hash FROM documents), c AS (SELECT id, count(DISTINCT hash) > 1 AS apart FROM b GROUP BY id)
+SELECT id, CASE WHEN apart THEN 'conflict' ELSE 'write' END AS action FROM c""")
+def q_batch_conflicts(spark, sf_dir):
+    """Rows of one batch that have one key and different content."""
+    batch = T.read(spark, sf_dir, "documents").select(F.col("lang").alias("id"), H.sha256(F.col("text")).alias("hash"))
+    return L.preflight(batch, batch.where("false")).select("id", "action")
 
 
 @query("SELECT user_id, count(*) AS decisions, arg_max(event_type, event_id) AS decision FROM events GROUP BY user_id")

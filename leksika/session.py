@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks are on this machine, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="leksika-")
+
+
 def session(master: str | None = None, name: str = "leksika", **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` adds settings (dots as double underscores)."""
     builder = SparkSession.builder.appName(name)

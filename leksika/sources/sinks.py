@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leksika.operators.releases import preflight
+from leksika.operators.releases import CHUNK, batch_ledger, batch_result, preflight
 
 
 class Conflict(ValueError):
@@ -22,42 +24,97 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def create_only(rows: DataFrame, path: str, key: str = "id", digest: str = "hash") -> int:
-    """Append rows whose keys are new; the same content again is a no-op, other content an error. Rows written."""
+def judged_batch(rows: DataFrame, path: str, key: str, digest: str) -> DataFrame:
+    """The rows with what a create-only write would do with them, against the table at ``path`` if there is one."""
     spark = rows.sparkSession
-    if not exists(spark, path):
-        rows.dropDuplicates([key]).write.parquet(path)
-        return spark.read.parquet(path).count()
-    judged = preflight(rows.dropDuplicates([key]), spark.read.parquet(path), key, digest).persist()
+    existing = spark.read.parquet(path) if exists(spark, path) else rows.where("false")
+    return preflight(rows, existing, key, digest)
+
+
+def create_only(rows: DataFrame, path: str, key: str = "id", digest: str = "hash") -> int:
+    """Append rows whose keys are new; the same content again is a no-op, other content, in the table or in the batch, an error. Rows written."""
+    judged = judged_batch(rows, path, key, digest).persist()
     try:
         counts = dict(judged.groupBy("action").count().collect())
         if counts.get("conflict"):
-            raise Conflict(f"{counts['conflict']} rows exist with other content")
+            raise Conflict(f"{counts['conflict']} keys have other content")
         judged.where("action = 'write'").drop("action").write.mode("append").parquet(path)
         return counts.get("write", 0)
     finally:
         judged.unpersist()
 
 
+def persist_batch(rows: DataFrame, path: str, ledger_path: str, batch_id: str, key: str = "id", digest: str = "hash", size: int = CHUNK, fail_chunk: int | None = None) -> dict:
+    """Create-only and in chunks: the rows of committed chunks are appended, and the ledger of the batch is written beside them.
+
+    A conflict writes no row. A chunk that fails leaves it and the ones after it out; the same batch again writes
+    just these, since what is there is a no-op. What was judged is written first, beside the table, so that what is
+    appended, counted and noted is the same whatever is lost on the way. Returns ``batch_result`` as a dict.
+    """
+    spark, staging = rows.sparkSession, f"{path}.{batch_id}.judged"
+    judged_batch(rows, path, key, digest).write.mode("overwrite").parquet(staging)
+    try:
+        numbered, ledger = batch_ledger(spark.read.parquet(staging), key, size, fail_chunk)
+        result = batch_result(ledger).first().asDict()
+        numbered.where("status = 'committed' and action = 'write'").select(*rows.columns).write.mode("append").parquet(path)
+        ledger.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(ledger_path)
+        return result
+    finally:
+        remove(spark, staging)
+
+
 def archive(snapshots: DataFrame, path: str) -> None:
     """Raw bytes by kind and date."""
     dated = snapshots.withColumn("retrieved_date", F.to_date("retrieved_at"))
     dated.write.mode("append").partitionBy("source_kind", "retrieved_date").parquet(path)
 
 
-def publish(rows: DataFrame, path: str, order: list[str]) -> bool:
-    """Write sorted to a staging path, verify the count, then rename; False, and nothing done, if it is published already."""
+def digest_of(rows: DataFrame) -> tuple:
+    """Rows, and two sums of hashes over them in any order: equal for tables that hold the same rows."""
+    columns = sorted(rows.columns)
+    return tuple(rows.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.sum(F.hash(*columns).cast("long"))).first())
+
+
+def publish(rows: DataFrame, path: str, order: list[str], fault: Callable[[str], None] = lambda step: None) -> bool:
+    """Write sorted to a staging path, verify what was written, rename, verify again; False, and nothing done, if it is published already.
+
+    A lock file beside the path, which only one writer can create, keeps others out until it is done or has failed.
+    ``fault`` is called before each step (ST07): what it raises fails the publication there.
+    """
     spark = rows.sparkSession
     if exists(spark, path):
         return False
+    lock, fs = _path(spark, f"{path}.lock")
+    fs.mkdirs(lock.getParent())
+    if not fs.createNewFile(lock):
+        raise Conflict(f"another writer publishes {path}")
     staging = f"{path}.staging"
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(staging)
-    if spark.read.parquet(staging).count() != rows.count():
+    try:
+        fault("stage")
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(staging)
+        expected = digest_of(spark.read.schema(rows.schema).parquet(staging))
+        fault("verify")
+        if expected != digest_of(rows):
+            raise ValueError("what was staged is not what was given")
+        fault("rename")
+        source, _ = _path(spark, staging)
+        target, _ = _path(spark, path)
+        if not fs.rename(source, target):
+            raise Conflict(f"{path} could not be taken")
+        fault("verify again")
+        if digest_of(spark.read.schema(rows.schema).parquet(path)) != expected:
+            fs.delete(target, True)
+            raise ValueError("what was published is not what was staged")
+        return True
+    finally:
         cleanup(spark, path)
-        raise ValueError("what was staged is not what was given")
-    source, fs = _path(spark, staging)
-    target, _ = _path(spark, path)
-    return fs.rename(source, target)
+        fs.delete(lock, False)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a table."""
+    target, fs = _path(spark, path)
+    return fs.delete(target, True)
 
 
 def cleanup(spark: SparkSession, path: str) -> bool:

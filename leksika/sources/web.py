@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from leksika.functions.text import url_of
 
 FETCHED = "lema string, url string, source_kind string, status int, attempts int, content binary, content_hash string, retrieved_at timestamp, error string"
-#: Requests a second by kind of source, for each task.
-RATES = {"official-live": 1.0, "fallback": 2.0, "gov-derived": 2.0}
+# Requests a second by kind of source, for all tasks together, and how many may be under way at once.
+RATES, CONCURRENT = {"official-live": 1.0, "fallback": 2.0, "gov-derived": 2.0}, 2
 
 
 class TokenBucket:
@@ -60,11 +60,13 @@ def fetch_one(url: str, bucket: TokenBucket, max_retries: int, timeout: float, s
 
 
 def fetch(words: DataFrame, base_url: str, source_kind: str = "official-live", max_retries: int = 3, timeout: float = 10.0, tasks: int = 1) -> DataFrame:
-    """``words`` (lema) with their pages. ``tasks`` tasks run beside each other, each within its kind's rate."""
+    """S01, S02, ST08: ``words`` (lema) with their pages. Each of ``tasks`` tasks has one request under way and its share of the kind's rate, so all together keep to both limits."""
+    if not 1 <= tasks <= CONCURRENT:
+        raise ValueError(f"1 to {CONCURRENT} requests may be under way at once")
     urls = words.select("lema", url_of(base_url, F.col("lema")).alias("url")).repartition(tasks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket = TokenBucket(RATES.get(source_kind, 1.0))
+        bucket = TokenBucket(RATES.get(source_kind, 1.0) / tasks)
         for frame in frames:
             rows = []
             for lema, url in zip(frame["lema"], frame["url"], strict=True):

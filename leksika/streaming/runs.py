@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -10,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from leksika.session import shared_dir
+
 LIFECYCLE = "user_id long, state string, attempts long, errors long"
 
 
-def incremental(source: DataFrame, commit: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def incremental(source: DataFrame, commit: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """ST02, ST03, ST11: run ``commit`` on each micro-batch; a restart with the same checkpoint resumes after the last one committed."""
-    return source.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.writeStream.outputMode(mode).foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def append_once(path: str) -> Callable[[DataFrame, int], None]:
@@ -65,6 +68,17 @@ def lifecycle(events: DataFrame, max_retries: int = 3) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(step, LIFECYCLE, "state string, attempts long, errors long", "update", GroupStateTimeout.NoTimeout)
 
 
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """The rows of a stream that is read to its end: each batch is written under its number, so one that runs twice is written once.
+
+    Rows and offsets are in the shared folder.
+    """
+    spark = stream.sparkSession
+    root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    incremental(stream, append_once(f"{root}/rows"), f"{root}/offsets", "update").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows").select(*stream.columns)
+
+
 def event_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """A stream of the Parquet files of a folder, one file a batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)

@@ -85,6 +85,64 @@ def test_create_only(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_create_only_refuses_conflicts_within_a_batch(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, hash string, n int")
+    path = str(tmp_path / "vectors")
+    for bad in (rows(("a", "1", 1), ("a", "2", 1)), rows(("a", "1", 1), ("a", None, 1))):
+        with pytest.raises(sinks.Conflict):
+            sinks.create_only(bad, path)
+        assert not sinks.exists(spark, path)
+    assert sinks.create_only(rows(("a", "1", 1), ("a", "1", 1), ("b", None, 2)), path) == 2
+    assert sinks.create_only(rows(("b", None, 2)), path) == 0
+
+
+def test_batch_of_501_fails_in_its_second_chunk_and_is_completed(spark, tmp_path):
+    rows = spark.range(501).select(F.format_string("e%03d", "id").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    path, ledger = str(tmp_path / "vectors"), str(tmp_path / "ledger")
+    first = sinks.persist_batch(rows.unionAll(rows.limit(3)), path, ledger, "b1", fail_chunk=1)
+    assert first == {"records": 501, "chunks": 2, "committed_chunks": 1, "open_chunks": 1, "status": "partial", "eligible": False}
+    assert spark.read.parquet(path).count() == 500
+    again = sinks.persist_batch(rows, path, ledger, "b2")
+    assert (again["status"], again["committed_chunks"], again["eligible"]) == ("complete", 2, True) and spark.read.parquet(path).count() == 501
+    bad = rows.withColumn("hash", F.when(F.col("id") == "e007", "other").otherwise(F.col("hash")))
+    assert sinks.persist_batch(bad, path, ledger, "b3")["status"] == "conflict" and spark.read.parquet(path).count() == 501
+    kept = {(r.batch_id, r.chunk): (r.size, r.written, r.status) for r in spark.read.parquet(ledger).collect()}
+    assert kept == {("b1", 0): (500, 500, "committed"), ("b1", 1): (1, 1, "failed"), ("b2", 0): (500, 0, "committed"), ("b2", 1): (1, 1, "committed"), ("b3", 0): (500, 0, "refused"), ("b3", 1): (1, 0, "refused")}
+
+
+def test_chunks_by_ranges_are_those_of_ranks(spark):
+    import random
+
+    rng = random.Random(2)
+    numbers = [rng.randrange(10**6) for _ in range(700)] + [5] * 90
+    for kind, keys in (("long", [None, *numbers]), ("string", [None, *map(str, numbers)])):
+        found = releases.chunks(spark.createDataFrame([(k,) for k in keys], f"k {kind}").repartition(4), "k", 50, ranges=9).collect()
+        order = sorted(keys, key=lambda k: (k is not None, k))
+        assert sorted((r.chunk, r.k is not None, r.k or 0) for r in found) == sorted((i // 50, k is not None, k or 0) for i, k in enumerate(order)) if kind == "long" else len(found) == 791
+        assert sorted(r.chunk for r in found) == [i // 50 for i in range(791)]
+
+
+def test_a_failed_publication_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "track")
+
+    def fail_at(step):
+        def fault(now):
+            if now == step:
+                raise RuntimeError(step)
+
+        return fault
+
+    for step in ("stage", "verify", "rename"):
+        with pytest.raises(RuntimeError):
+            sinks.publish(spark.range(10), path, ["id"], fail_at(step))
+        assert not any(tmp_path.glob("track*"))
+    (tmp_path / "track.lock").touch()
+    with pytest.raises(sinks.Conflict):
+        sinks.publish(spark.range(10), path, ["id"])
+    (tmp_path / "track.lock").unlink()
+    assert sinks.publish(spark.range(10), path, ["id"]) and not (tmp_path / "track.lock").exists()
+
+
 def test_publish_once(spark, tmp_path):
     path = str(tmp_path / "track")
     assert sinks.publish(spark.range(10), path, ["id"])
@@ -97,10 +155,30 @@ def test_embedding_document(spark):
     assert spark.range(1).select(projections.embedding_document(columns)).first()[0] == "Lema: Februari\nKelas Kata: n\nMakna: (1) bulan; (3) kedua"
 
 
-def test_relations_lowest_entry_wins(spark):
-    rows = [("2", "Baku", ["x", "y"], "d"), ("1", "Baku", ["x", "Baku"], "d")]
-    found = projections.relations(spark.createDataFrame(rows, "id string, lema string, variants array<string>, definisi string"), "r")
-    assert {(r["from"], r.source_entry_id) for r in found.collect()} == {("x", "1"), ("y", "2")}
+ENTRY = "id string, lema string, bentuk_tidak_baku array<string>, bentuk_baku string, kelas_kata array<string>, status string, source_kind string, source_url string, raw_content_hash string"
+
+
+def entries_of(spark, *rows):
+    """Entries of (id, lema, variants, standard form) and, unless active and official, status and kind of source."""
+    whole = [(*r[:4], ["v", "n"], *(r[4:] or ("active", "official-live")), "https://h/x", "a" * 64) for r in rows]
+    return spark.createDataFrame(whole, ENTRY)
+
+
+def test_relations_and_words_follow_the_contract(spark):
+    entries = entries_of(
+        spark, ("2", "Baku", ["x", "y", "y", " ", ""], None), ("1", "Baku", ["x", "Baku"], None), ("3", "Pebruari", None, "Februari"), ("4", "Februari", ["Pebruari"], " "),
+        ("5", "lama", ["z"], "baru", "inactive", "official-live"), ("6", "cermin", ["z"], "baru", "active", "fallback"),
+    )
+    edges = projections.relations(entries, "r1")
+    assert edges.columns == ["from", "to", "type", "source_entry_id", "canonical_field", "source_hash", "source_release"]
+    found = {(r["from"], r.to): (r.source_entry_id, r.canonical_field) for r in edges.collect()}
+    assert found == {("x", "Baku"): ("1", "bentuk_tidak_baku"), ("Baku", "Baku"): ("1", "bentuk_tidak_baku"), ("y", "Baku"): ("2", "bentuk_tidak_baku"), ("Pebruari", "Februari"): ("3", "bentuk_baku")}
+    assert edges.where(F.size(projections.relation_failures("r1")) > 0).count() == 0
+    words = projections.words(entries, "r1")
+    assert words.columns == ["id", "lema", "source_entry_id", "canonical_content_hash", "raw_content_hash", "source_url", "source_kind", "source_release", "kelas_kata", "bentuk_baku", "bentuk_tidak_baku"]
+    assert sorted(r.id for r in words.collect()) == ["1", "2", "3", "4"] and words.where("id = '3'").first().bentuk_tidak_baku == []
+    assert words.where(F.size(projections.word_failures("r1")) > 0).count() == 0
+    assert words.where(F.size(projections.word_failures("r2")) > 0).count() == 4
 
 
 def test_selection_ignores_input_order(spark):
@@ -150,6 +228,38 @@ def test_cascade_stops_at_the_first_tier(spark):
     assert {(r.query, r.id, r.tier) for r in retrieval.cascade(asked, entries).collect()} == {("Feb", "1", "exact"), ("febr", "2", "prefix")}
 
 
+def test_cascade_goes_on_to_meaning(spark):
+    """Queries that neither a word nor a beginning answers are embedded; hits are hydrated by word, id or what stands before the underscore, and filtered last."""
+    rows = [("feb", 1, "feb", "active"), ("bulan", 2, "bulan", "active"), ("tua", 3, "tua", "inactive")]
+    entries = spark.createDataFrame([(i, n, w, w, s) for i, n, w, s in rows], "id string, doc_id long, lema string, lema_lc string, status string").withColumn("source_kind", F.lit("official-live"))
+    vectors = spark.createDataFrame([(1, "feb_r1", "", [1.0, 0.0]), (2, "zz", "Bulan", [0.9, 0.1]), (3, "tua", "", [1.0, 0.0]), (4, "gone", "", [1.0, 0.0]), (5, "feb", "", [0.0, 1.0])], "vec_id long, doc_id string, lema string, embedding array<double>")
+    asked = spark.createDataFrame([("feb",), ("qqq",), ("  ",)], "query string")
+    embed = lambda text: F.array(F.lit(1.0), F.lit(0.0))
+    found = {(r.query, r.id, r.tier) for r in retrieval.cascade(asked, entries, 20, vectors, embed, 0.7).collect()}
+    assert found == {("feb", "feb", "exact"), ("qqq", "feb", "semantic"), ("qqq", "bulan", "semantic")}
+    assert retrieval.semantic(asked, entries, vectors, lambda t: F.lit(None).cast("array<double>")).count() == 0
+
+
+def test_nearest_batch_is_brute_force(spark, sf, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(retrieval, "VECTOR_BLOCK", 64)
+    rows = tables.vectors(spark, sf).unionAll(spark.createDataFrame([(10_000 + i, [0.5] * 64, 0) for i in range(5)] + [(None, [1.0] * 64, 0), (20_000, None, 0)], "vec_id long, embedding array<double>, label long"))
+    asked = rows.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    have = [(r.vec_id, r.embedding) for r in rows.collect() if r.vec_id is not None and r.embedding]
+    for measure in ("DOT_PRODUCT", "COSINE", "EUCLIDEAN"):
+        found = {}
+        for r in retrieval.nearest_batch(asked, rows, 4, measure).orderBy("query_id", "rank").collect():
+            found.setdefault(r.query_id, []).append((r.vec_id, round(r.distance, 9)))
+        import numpy as np
+
+        ids, x = np.array([i for i, _ in have]), np.array([v for _, v in have])
+        for i, q in have:
+            if i % 25 == 0:
+                d = retrieval.distances(np.array([q]), x, measure)[0]
+                order = [k for k in np.lexsort((ids, d)) if ids[k] != i][:4]
+                assert [v for v, _ in found[i]] == ids[order].tolist()
+
+
 def test_interrupted_and_resumed_is_uninterrupted(spark, sf, tmp_path):
     events = tables.read(spark, sf, "events")
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
