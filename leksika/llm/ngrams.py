@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,7 +150,10 @@ class Folder:
             return self.uri
         return re.sub("^file:(//)?", "", self.uri) if scheme[1] == "file" else None
 
-    def remote(self) -> tuple[pafs.FileSystem, str]:
+    def remote(self) -> tuple:
+        """File system and path of a store that can't be mapped."""
+        import pyarrow.fs as pafs  # large, and of no use on a mounted folder
+
         return pafs.FileSystem.from_uri(re.sub(r"^([A-Za-z0-9+.-]+):/(?!/)", r"\1:///", self.uri))
 
     def write(self, name: str, data: list[np.ndarray]) -> None:
@@ -179,7 +181,7 @@ class Folder:
             name = f"{path}/{name}"
             return np.memmap(name, np.uint8, "r") if os.path.exists(name) and os.path.getsize(name) else np.empty(0, np.uint8)
         fs, path = self.remote()
-        if fs.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
+        if not fs.get_file_info(f"{path}/{name}").is_file:
             return np.empty(0, np.uint8)
         with fs.open_input_stream(f"{path}/{name}") as held:
             return np.frombuffer(held.read(), np.uint8)

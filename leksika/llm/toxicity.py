@@ -14,12 +14,13 @@ prior of a single toxic and a single clean row and an empty lexicon; extra colum
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Iterable
 from zlib import crc32
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def traits(text: str) -> tuple[list[str], list[int], int]:
     return sorted(set(WORD.findall(fold(text)))), sorted(marks), xxhash.xxh64_intdigest(text) >> 1
 
 
-def first_of_copies(marks: list[list[int]], hashes: list[int]) -> list[int]:
+def first_of_copies(marks: Iterable[list[int]], hashes: list[int]) -> list[int]:
     """Which texts stay if those go most of whose shingles an earlier one had: copies are no new evidence."""
     seen, kept, whole = set(), [], set()
     for i, (mine, text) in enumerate(zip(marks, hashes, strict=True)):
@@ -84,28 +85,36 @@ def first_of_copies(marks: list[list[int]], hashes: list[int]) -> list[int]:
     return kept
 
 
-def learn_lexicon(words_of_texts: list[list[str]], toxic: np.ndarray) -> dict[tuple[str, bool], float]:
+def learn_lexicon(words_of_texts: pa.ListArray, toxic: np.ndarray) -> dict[tuple[str, bool], float]:
     """(entry, whether it is a whole word) -> weight, from how many distinct words of toxic and of other texts have it."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    documents, words_of = Counter(), [0, 0]
-    for words, bad in zip(words_of_texts, toxic.tolist(), strict=True):
-        words_of[bad] += len(words)
-        entries = [(w, True) for w in words] + [(w[:n], False) for w in words for n in STEMS if len(w) >= n]
-        seen[bad].update(entries)
-        if bad:
-            documents.update(set(entries))
-    bad, good = seen[1], seen[0]
-    n_bad, n_good = max(1, words_of[1]), max(1, words_of[0])
+    coded = words_of_texts.flatten().dictionary_encode()
+    distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    text = np.repeat(np.arange(len(words_of_texts)), words_of_texts.value_lengths().to_numpy(zero_copy_only=False))
+    bad = toxic[text] > 0
+    n_bad, n_good = max(1, int(bad.sum())), max(1, int((~bad).sum()))
     share = n_bad / (n_bad + n_good)
     found: dict[tuple[str, bool], tuple[float, float]] = {}
-    for entry, a in bad.items():
-        b = good[entry]
-        purity = a / (a + b)
-        if documents[entry] < LEAST_DOCUMENTS or purity <= share or purity < LEAST_PURITY:
-            continue
-        g = 2 * (a * np.log(purity / share) + (b * np.log((1 - purity) / (1 - share)) if b else 0))
-        if g >= LEAST_G:
-            found[entry] = float(g), float(np.log((a + 0.5) / n_bad) - np.log((b + 0.5) / n_good))
+
+    def judge(entries: pa.Array, of: np.ndarray, whole: bool) -> None:
+        """Entries of which ``of`` says, for each word of each text, which it has (-1 for none)."""
+        size, has = len(entries), of >= 0
+        a, b = (np.bincount(of[has & side], minlength=size) for side in (bad, ~bad))
+        # Toxic texts that have the entry, each once.
+        pairs = np.unique(text[has & bad] * np.int64(max(1, size)) + of[has & bad])
+        documents = np.bincount(pairs % max(1, size), minlength=size)
+        purity = a / np.maximum(a + b, 1)
+        for i in np.flatnonzero((documents >= LEAST_DOCUMENTS) & (purity > share) & (purity >= LEAST_PURITY)).tolist():
+            g = 2 * (a[i] * np.log(purity[i] / share) + (b[i] * np.log((1 - purity[i]) / (1 - share)) if b[i] else 0))
+            if g >= LEAST_G:
+                found[entries[i].as_py(), whole] = float(g), float(np.log((a[i] + 0.5) / n_bad) - np.log((b[i] + 0.5) / n_good))
+
+    judge(distinct, codes, True)
+    for n in STEMS:
+        long = pc.greater_equal(pc.utf8_length(distinct), n).to_numpy(zero_copy_only=False)
+        stems = pc.utf8_slice_codeunits(distinct.filter(pa.array(long)), 0, n).dictionary_encode()
+        stem_of = np.full(len(distinct), -1, np.int64)
+        stem_of[long] = stems.indices.to_numpy(zero_copy_only=False)
+        judge(stems.dictionary, stem_of[codes], False)
     # The best evidence first; of its family the whole word or longest beginning that is about as good; the rest of the family goes.
     kept, left = {}, sorted(found, key=lambda e: (-found[e][0], e))
     while left:
@@ -184,10 +193,15 @@ class Toxicity:
             self._automaton = matcher(self.lexicon, self.exceptions)
         return self._automaton
 
-    def __call__(self, texts: pa.Array) -> np.ndarray:
-        x = np.array([evidence(fold(t or ""), self.automaton) for t in texts.to_pylist()]).reshape(-1, 2)
+    def evidence(self, texts: pa.Array) -> np.ndarray:
+        return np.array([evidence(fold(t or ""), self.automaton) for t in texts.to_pylist()]).reshape(-1, 2)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.curve[0] + x @ self.curve[1:])))
 
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        return self.scores(self.evidence(texts))
+
 
 def train(docs: DataFrame, labels: DataFrame) -> Toxicity:
     """Learn the lexicon from the words of a labelled sample, then the curve from what the lexicon finds in its whole texts."""
@@ -198,13 +212,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Toxicity:
         return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int64())), pa.array(hashes, pa.int64())], ["doc_id", "label", "words", "marks", "hash"])
 
     found = in_tasks(sample, traits_of, "doc_id long, label int, words array<string>, marks array<long>, hash long")
-    kept = pa.array(first_of_copies(found.column("marks").to_pylist(), found.column("hash").to_pylist()), pa.int64())
+    kept = pa.array(first_of_copies((m.as_py() for m in found.column("marks")), found.column("hash").to_pylist()), pa.int64())
     found = found.select(["doc_id", "label", "words"]).take(kept)
     y = (found.column("label").to_numpy() > 0).astype(np.int64)
-    model = Toxicity(learn_lexicon(found.column("words").to_pylist(), y), np.zeros(3))
+    model = Toxicity(learn_lexicon(found.column("words").combine_chunks(), y), np.zeros(3))
 
     def evidence_of(part: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.array([evidence(fold(t), model.automaton) for t in part.column("text").to_pylist()]).reshape(-1, 2)
+        x = model.evidence(part.column("text"))
         return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(x[:, 0]), pa.array(x[:, 1])], ["doc_id", "weight", "length"])
 
     weighed = in_tasks(sample, evidence_of, "doc_id long, weight double, length double")
@@ -220,11 +234,12 @@ def score_documents(docs: DataFrame, model: Toxicity) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Toxicity, at: float = PREDICT_AT) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``at``, all columns as they are."""
+    """The rows of ``docs`` whose text scores below ``at`` or has no match, all columns as they are: a lexicon that learned nothing rejects nothing."""
 
     def run(batches):
         for part in pieces(batches):
-            yield part.filter(pa.array(model(part.column("text").cast(pa.string())) < at))
+            x = model.evidence(part.column("text").cast(pa.string()))
+            yield part.filter(pa.array((model.scores(x) < at) | (x[:, 0] <= 0)))
 
     return docs.mapInArrow(run, docs.schema)
 

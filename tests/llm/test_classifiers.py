@@ -85,7 +85,7 @@ def test_lexicon_ignores_copies_and_finds_families():
     bad = [" ".join(rng.choice(words, 30)) + f" {w}" for w in ["moron"] * 25 + ["lowe" + s for s in words[:25]]] + [copy] * 60
     found = [toxicity.traits(t) for t in clean + bad]
     kept = toxicity.first_of_copies([m for _, m, _ in found], [h for _, _, h in found])
-    entries = set(toxicity.learn_lexicon([found[i][0] for i in kept], np.array([0] * 300 + [1] * len(bad))[kept]))
+    entries = set(toxicity.learn_lexicon(pa.array([found[i][0] for i in kept]), np.array([0] * 300 + [1] * len(bad))[kept]))
     assert ("moron", True) in entries and ("lowe", False) in entries
     assert not any(e.startswith("uniq") for e, _ in entries)
 
@@ -100,6 +100,23 @@ def test_toxic_stage_keeps_clean_rows_and_columns(spark):
     assert kept.join(labels.where("toxic = 1"), "doc_id").count() <= 0.1 * labels.where("toxic = 1").count()  # repeated lines overwrote some
 
 
+def test_toxic_stage_carries_clashing_columns(spark, tmp_path):
+    """Columns of any name, null and empty texts, a text of two megabytes, ids that repeat or lack."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklmn"), 6)) for _ in range(500)]
+    text = lambda bad: " ".join(rng.choice(words, 30)) + (" moron" if bad else "")
+    clean, bad = text(False), text(True)
+    rows = [(i, text(i % 2 == 0), 1, "s", 0.5, "w") for i in range(160)]
+    rows += [(None, bad, 1, "s", None, None), (500, None, None, None, None, None), (501, "", 1, "s", 0.5, "w"), (502, f"{clean} " * 10_000, 1, "s", 0.5, "w"), (503, clean, 1, "s", 0.5, "w"), (503, clean, 1, "s", 0.5, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, score string, weight double, words string")
+    spark.createDataFrame([(i, 1 - i % 2) for i in range(160)] + [(None, 1), (500, 0), (900, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = toxicity.stage(spark, docs, str(tmp_path))
+    assert kept.schema.names == docs.schema.names
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.where(~F.coalesce(F.col("text").contains("moron"), F.lit(False))).collect()))
+    assert toxicity.stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+    assert toxicity.stage(spark, docs.where("doc_id >= 500"), str(tmp_path)).count() == 5  # nothing learned, nothing rejected
+
+
 def test_quality_batches_do_not_matter():
     rng = np.random.default_rng(2)
     model = quality.Quality(rng.normal(size=quality.BUCKETS).astype(np.float32), 0.1)
@@ -208,6 +225,8 @@ def test_language_stage_carries_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, gain int, host string, prior string, size double")
     kept = language.stage(spark, docs, "")
     assert kept.schema.names == docs.schema.names and sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()[:80]))
+    long = spark.createDataFrame([(1, f"{words['de']} " * 30_000, "de", "s", 1, "g", "p", 0.1)], docs.schema)
+    assert language.stage(spark, docs.unionAll(long), "").count() == 81
     bare = language.stage(spark, docs.select("lang", "text"), "")
     assert bare.columns == ["lang", "text"] and bare.count() == 80
     assert language.stage(spark, docs.where("false"), "").count() == 0

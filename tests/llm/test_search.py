@@ -142,6 +142,16 @@ def test_recall(spark, sf, monkeypatch):
     assert np.mean(hits) >= 0.9
 
 
+def test_a_vector_wider_than_the_others(spark):
+    """Components beyond the codebooks' width count in the reranking; wide rows and narrow ones meet on zeros."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(60)] + [(60, rng.normal(size=5000).tolist()), (61, [0.0] * 4000 + [1.0])]
+    found = answers(additive.nearest(frame(spark, rows)))
+    expected = brute(usable(rows, zero=False), 20, 20, lambda q, x: sum(a * b for a, b in zip(q, x, strict=False)))
+    for q, best in expected.items():
+        assert [i for i, _ in found[q]] == [i for i, _ in best] and [s for _, s in found[q]] == pytest.approx([s for _, s in best])
+
+
 def test_packed_rows_are_exact():
     x = np.array([[0.5, -0.0, 0.0], [0.1, 2.0, 0.0], [0.0, 0.0, 0.0], [1e300, 1.0, 3.0], [np.float64(np.float32(0.1)), 0.0, 1e-40]])
     back = additive.unpacked(additive.packed(x))
