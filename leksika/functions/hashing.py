@@ -23,6 +23,16 @@ def canonical_json(fields: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
 
 
+def canonical_bytes(fields: dict[str, Column]) -> Column:
+    """The UTF-8 bytes of the canonical JSON and a newline."""
+    return F.encode(F.concat(canonical_json(fields), F.lit("\n")), "UTF-8")
+
+
+def hash_valid(c: Column) -> Column:
+    """Whether a text is a lower-case hex SHA-256."""
+    return F.coalesce(c.rlike("^[0-9a-f]{64}$"), F.lit(False))
+
+
 def lexical_hash(fields: dict[str, Column]) -> Column:
     """hash of lexical content; does not change with where or when an entry was read."""
     return sha256(canonical_json({k: v for k, v in fields.items() if k in LEXICAL_FIELDS}))

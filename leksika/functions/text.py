@@ -126,6 +126,16 @@ def iso_z(ts: Column) -> Column:
     return F.concat(whole, F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(""), F.lit("Z"))
 
 
+def iso_now() -> Column:
+    """The time of the query, as ``iso_z`` writes it."""
+    return iso_z(F.current_timestamp())
+
+
+def release_tag(ts: Column, number: int = 1) -> Column:
+    """``2024-05-01.1``."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit(f".{number}"))
+
+
 def retry_after(value: Column, now: Column) -> Column:
     """seconds to wait by a Retry-After header: seconds, or an HTTP date; null if invalid or negative, 0 if past."""
     seconds = F.when(value.rlike(r"^\s*\d+(\.\d+)?\s*$"), F.trim(value).cast("double"))

@@ -27,6 +27,10 @@ class Refused(ValueError):
         super().__init__(message)
         self.kind, self.status = kind, CODES[kind]
 
+    def to_dict(self) -> dict:
+        """What an answer says."""
+        return {"error": self.kind, "status": self.status, "message": str(self)}
+
 
 class Log:
     """Numbered JSON records in a folder of any file system that Spark reaches."""

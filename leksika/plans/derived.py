@@ -255,3 +255,23 @@ def q_field_diff(spark, sf_dir):
     n, same = F.col("doc_id"), {"lema": F.col("lang"), "makna": F.array("source"), "labels": F.lit(None).cast("array<string>"), "status": F.lit(None).cast("string")}
     other = same | {"lema": F.when(n % 2 == 0, "x").otherwise(F.col("lang")), "makna": F.when(n % 3 == 0, F.array(F.lit("x"), F.lit("y"))).otherwise(F.array("source")), "labels": F.when(n % 5 == 0, F.array(F.lit("x")))}
     return T.read(spark, sf_dir, "documents").select("doc_id", F.array_join(validation.differing(same, other), ",").alias("differs"))
+
+
+@query("""SELECT CASE doc_id % 6 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'lema' WHEN 2 THEN 'makna' WHEN 3 THEN 'not_public' ELSE 'entry' END AS reason, count(*) AS n FROM documents GROUP BY 1""")
+def q_foreign(spark, sf_dir):
+    """Documents of another store, read as entries; what is none is left out with its reason."""
+    n = F.col("doc_id") % 6
+    kind, word, senses = F.when(n == 3, "fallback").otherwise("official-live"), F.when(n == 1, " ").otherwise(F.col("lang")), F.when(n == 2, "[]").otherwise('[{"definisi": "x"}]')
+    text = F.format_string('{"id": "%d", "lema": "%s", "makna": %s, "status": "active", "source": {"source_kind": "%s"}}', "doc_id", word, senses, kind)
+    rows = T.read(spark, sf_dir, "documents").select(F.when(n == 0, F.concat(F.lit("{"), "lang")).otherwise(text).alias("json"))
+    good, bad = T.foreign_entries(rows)
+    return good.select(F.lit("entry").alias("reason")).unionAll(bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT doc_id, strftime(TIMESTAMP '2024-05-01' + to_days(CAST(doc_id % 300 AS INTEGER)), '%Y-%m-%d') || '.1' AS tag, doc_id % 2 = 0 AS valid, sha256('{"lang":"' || lang || '","source":null}' || chr(10)) AS bytes FROM documents""")
+def q_hash_forms(spark, sf_dir):
+    """Release tags, the form of hashes, canonical bytes."""
+    n, digest = F.col("doc_id"), F.sha2("lang", 256)
+    at = F.timestamp_seconds(F.lit(1714521600) + (n % 300) * 86400)
+    fields = {"source": F.lit(None).cast("string"), "lang": F.col("lang")}
+    return T.read(spark, sf_dir, "documents").select("doc_id", X.release_tag(at).alias("tag"), H.hash_valid(F.when(n % 2 == 0, digest).otherwise(F.concat(F.lit("A"), F.substring(digest, 2, 63)))).alias("valid"), F.sha2(H.canonical_bytes(fields), 256).alias("bytes"))

@@ -69,6 +69,19 @@ def archive(snapshots: DataFrame, path: str) -> None:
     dated.write.mode("append").partitionBy("source_kind", "retrieved_date").parquet(path)
 
 
+def quarantine(rows: DataFrame, path: str) -> None:
+    """Append to the quarantine: rows with their reasons and when they came."""
+    rows.withColumn("quarantined_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def quarantined(spark: SparkSession, path: str, reason: str | None = None) -> DataFrame | None:
+    """The quarantine, or what is there for a reason; None if nothing ever was."""
+    if not exists(spark, path):
+        return None
+    rows = spark.read.parquet(path)
+    return rows if reason is None else rows.where(F.col("reason") == reason)
+
+
 def digest_of(rows: DataFrame) -> tuple:
     """Rows, and two sums of hashes over them in any order: equal for tables that hold the same rows."""
     columns = sorted(rows.columns)

@@ -29,6 +29,21 @@ def canonical_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENTRY_SCHEMA).option("mode", "DROPMALFORMED").option("multiLine", True).json(path)
 
 
+def foreign_entries(documents: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:
+    """``documents`` with the entry that a JSON column holds, and those that hold none, with the reason.
+
+    A document that can't be read, lacks id, word or senses, or is not an active official entry (P01) is dropped from the first.
+    """
+    read = documents.withColumn("entry", F.from_json(column, f"{ENTRY_SCHEMA}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    reason = (
+        F.when(F.col("entry").isNull() | F.col("entry._corrupt").isNotNull(), "unreadable").when(blank(F.col("entry.id")), "id").when(blank(F.col("entry.lema")), "lema")
+        .when(F.coalesce(F.size("entry.makna"), F.lit(0)) <= 0, "makna").when(~F.coalesce((F.col("entry.status") == "active") & F.col("entry.source.source_kind").startswith("official-"), F.lit(False)), "not_public")
+    )
+    judged = read.withColumn("reason", reason)
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null").drop("entry")
+
+
 def release_entries(spark: SparkSession, root: str, release: str) -> DataFrame:
     """A release's canonical entries, else its candidate snapshot."""
     paths = spark._jvm.org.apache.hadoop.fs.Path

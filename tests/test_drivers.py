@@ -6,7 +6,7 @@ from leksika.functions import text as X
 from leksika.logs import masked
 from leksika.operators import drivers as D
 from leksika.operators.pointers import Refused
-from leksika.sources import web
+from leksika.sources import sinks, web
 from leksika.streaming import runs
 
 RUN = "checkpoint-" + "0a" * 10
@@ -148,3 +148,18 @@ def test_requests_share_their_rate(spark, monkeypatch):
         web.fetch(words, "http://h", tasks=web.CONCURRENT + 1)
     assert X.backoff(F.lit(2), jitter=F.lit(1.0)) is not None
     assert spark.range(1).select(X.backoff(F.lit(2), jitter=F.lit(1.0)).alias("b")).first().b == pytest.approx(2.2)
+
+
+def test_quarantine_is_appended_read_and_cleared(spark, tmp_path):
+    path = str(tmp_path / "quarantine")
+    assert sinks.quarantined(spark, path) is None
+    rows = spark.createDataFrame([("1", "empty_makna"), ("2", "hash_mismatch")], "id string, reason string")
+    sinks.quarantine(rows, path)
+    sinks.quarantine(rows.limit(1), path)
+    assert sinks.quarantined(spark, path).count() == 3 and sinks.quarantined(spark, path, "hash_mismatch").first().id == "2"
+    assert sinks.remove(spark, path) and sinks.quarantined(spark, path) is None
+
+
+def test_refusals_and_times(spark):
+    assert Refused("conflict", "no").to_dict() == {"error": "conflict", "status": 409, "message": "no"}
+    assert spark.range(1).select(X.iso_now().alias("t")).first().t.endswith("Z")
