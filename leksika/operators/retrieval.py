@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from leksika.functions.text import lookup_key, strip_space
 from leksika.functions.vectors import DISTANCES
+from leksika.session import written
 
 OFFICIAL = ("official-live", "official-snapshot")
 MOST = 50
@@ -154,19 +155,19 @@ def hydrate(hits: DataFrame, entries: DataFrame, min_similarity: float = 0.7) ->
 def hydrated(hits: DataFrame, entries: DataFrame) -> DataFrame:
     """Hits (doc_id, lema) with their entry: by word, else by what stands before the first ``_`` of the id, else by the whole id; hits without one are left out.
 
-    Each way is an equi-join with the entries that are asked for; the first that is met wins.
+    The ways of all hits meet keys and ids of entries in one join; the last entry of a key is its place, and the
+    rows of the places are fetched at the end.
     """
     numbered = hits.withColumnsRenamed({"doc_id": "hit_id", "lema": "hit_lema"})
-    ways = (("lema_lc", lookup_key(F.col("hit_lema"))), ("id", F.substring_index("hit_id", "_", 1)), ("id", F.col("hit_id")))
-    found = None
-    for rank, (key, value) in enumerate(ways):
-        asked = numbered.withColumn("__key", value).where("__key <> ''").withColumn("__rank", F.lit(rank))
-        wanted = entries.join(asked.select(F.col("__key").alias(key)).distinct(), key, "left_semi")
-        rows = latest(wanted, key) if key == "lema_lc" else wanted
-        met = asked.join(rows.withColumn("__key", F.col(key)), "__key").drop("__key")
-        found = met if found is None else found.unionByName(met)
-    order = Window.partitionBy(*numbered.columns).orderBy("__rank", F.desc("doc_id"))
-    return found.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n", "__rank")
+    way = lambda rank, kind, key: F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), key.alias("key"))
+    ways = F.array(way(0, "lema", lookup_key(F.col("hit_lema"))), way(1, "id", F.substring_index("hit_id", "_", 1)), way(2, "id", F.col("hit_id")))
+    asked = numbered.withColumn("__way", F.explode(ways)).where("__way.key <> ''").select(*numbered.columns, "__way.rank", "__way.kind", "__way.key")
+    named = lambda kind, key: F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key"))
+    keys = entries.select("doc_id", F.explode(F.array(named("lema", "lema_lc"), named("id", "id"))).alias("of")).select("doc_id", "of.kind", "of.key")
+    places = keys.join(asked.select("kind", "key").distinct(), ["kind", "key"], "left_semi").groupBy("kind", "key").agg(F.max("doc_id").alias("doc_id"))
+    order = Window.partitionBy(*numbered.columns).orderBy("rank")
+    first = asked.join(places, ["kind", "key"]).withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*numbered.columns, "doc_id")
+    return first.join(entries, "doc_id")
 
 
 def semantic(queries: DataFrame, entries: DataFrame, vectors: DataFrame, embed: Callable[[Column], Column], limit: int = 10, threshold: float = 0.7) -> DataFrame:
@@ -178,16 +179,17 @@ def semantic(queries: DataFrame, entries: DataFrame, vectors: DataFrame, embed:
     near = nearest_batch(asked.select(F.col("query").alias("query_id"), F.col("vector").alias("query")), vectors, cap(limit), max_distance=1 - threshold, others=False)
     near = near.withColumn("similarity", 1 - F.col("distance")).where(F.col("similarity") >= threshold)
     named = near.join(vectors.select("vec_id", "doc_id", "lema"), "vec_id").select(F.col("query_id").alias("query"), "similarity", "vec_id", "doc_id", "lema")
-    kept = hydrated(named, entries).where(active_official())
+    kept = hydrated(written(named, "hits"), entries).where(active_official())
     order = Window.partitionBy("query").orderBy(F.desc("similarity"), "vec_id")
     return kept.withColumn("rank", F.row_number().over(order))
 
 
 def cascade(queries: DataFrame, entries: DataFrame, limit: int = 20, vectors: DataFrame | None = None, embed: Callable[[Column], Column] | None = None, threshold: float = 0.7, semantic_limit: int = 10) -> DataFrame:
     """Exact, else prefix (three letters or more), else, with ``vectors`` and ``embed``, semantic; the first tier that answers a query wins. Queries go on only while none has."""
-    first = exact(queries, entries).select("query", "id", "lema", F.lit("exact").alias("tier"))
+    queries = written(queries.select("query").distinct(), "queries")
+    first = written(exact(queries, entries).select("query", "id", "lema", F.lit("exact").alias("tier")), "exact")
     left = queries.join(first.select("query"), "query", "left_anti")
-    second = prefix_join(left, entries, limit).select("query", "id", "lema", F.lit("prefix").alias("tier"))
+    second = written(prefix_join(left, entries, limit).select("query", "id", "lema", F.lit("prefix").alias("tier")), "prefix")
     if vectors is None or embed is None:
         return first.unionAll(second)
     left = left.join(second.select("query"), "query", "left_anti")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,6 +18,13 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="leksika-")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: for what is used more than once, so that it is computed once and a lost executor costs nothing."""
+    path = f"{shared_dir(df.sparkSession)}/leksika-{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def session(master: str | None = None, name: str = "leksika", **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` adds settings (dots as double underscores)."""
     builder = SparkSession.builder.appName(name)
