@@ -199,10 +199,11 @@ class Words:
     """The ASCII-white-space words of a batch of texts, each distinct word once.
 
     ``codes`` numbers the words of all texts in order, ``ends`` and ``starts`` bound each text in
-    ``codes``, and ``distinct`` holds the words as an Arrow binary array.
+    ``codes``, and ``distinct`` holds the words as an Arrow binary array. ``inside``: the bytes that words
+    are made of, if not all but white space.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, inside: np.ndarray = ~WHITE):
         texts = pc.fill_null(column.cast(pa.large_string()), "")
         ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         held = texts.buffers()[2]
@@ -210,7 +211,7 @@ class Words:
         ends = ends - ends[0]
         if lower:
             data = LOWER[data]
-        solid = ~WHITE[data]
+        solid = inside[data]
         begins = solid.copy()
         begins[1:] &= ~solid[:-1]
         first = ends[:-1][ends[:-1] < len(data)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leksika.llm import additive, language, ngrams, packing, quality, simhash, topk, toxicity, urls
+from leksika.llm import additive, language, leaderboard, ngrams, packing, private, quality, ranked, simhash, topk, toxicity, urls
 from leksika.llm import pieces as sentencepieces
 from leksika.llm.common import table
 
@@ -53,13 +53,26 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.perplexities(table(spark, sf_dir, "documents"))
 
 
+def op11_leaderboard_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaderboard.sale_boards(spark, sf_dir)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_benchmark(spark, sf_dir)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_top_k, op2_url_filter, op3_best_fit_packing, op4_quality_classifier, op5_language_id,
         op6_sentencepiece, op7_simhash_near_dedup, op8_toxicity, op9_additive_quantisation, op10_lm_scoring,
+        op11_leaderboard_feed, op12_ranked_search, op13_pii,
     )
 }
 
 #: The others learn models, hash in ways that DuckDB lacks or use a tokenizer; tests hold them against brute force.
-SQL: dict[str, str] = {"op1_exact_top_k": topk.SQL}
+SQL: dict[str, str] = {"op1_exact_top_k": topk.SQL, "op11_leaderboard_feed": leaderboard.SQL, "op12_ranked_search": ranked.SQL}
