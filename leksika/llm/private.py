@@ -252,7 +252,11 @@ def listed(spans: Column) -> Column:
 def digests(docs: DataFrame) -> DataFrame:
     """The contract's columns: counts and digest of the base spans, and all spans."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}") for kind in BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE]
     return find(docs).select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
