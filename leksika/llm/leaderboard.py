@@ -3,7 +3,7 @@
 A board is the ``SIZE`` items of highest positive revenue of one owner (a nation), ties to the smaller item, after each
 day. Lines come in batches; each batch is one start of a stateful streaming query on one checkpoint.
 
-*State.* A shard is some of the items of one owner. Its map state ``bands`` maps bands of revenue (eight to a doubling)
+*State.* A shard is some of the items of one owner. Its map state ``bands`` maps bands of revenue (two to a doubling)
 to sets of items, beside a map state ``revenues`` with each item's running revenue in pages. A day's amounts move their
 items from band to band; then the highest occupied bands are scanned until ``SIZE`` items are collected. An owner has
 one shard for each ``LINES`` lines, so an owner with a third of all rows is as many tasks as its rows need. Amounts of one
@@ -38,7 +38,7 @@ from leksika.llm.common import table, work_path
 #: Items on a board; days that a line may be older than the newest day of all earlier batches.
 SIZE, LATE = 10, 3
 #: Lines of one shard, shards that are merged in one group, pages of an item's revenue in a shard.
-LINES, FAN, PAGES = 1 << 15, 64, 16
+LINES, FAN, PAGES = 1 << 15, 64, 8
 #: Groups of an item and day that a map task holds before it hands them on.
 HELD = 1 << 20
 #: Owners up to which the number of their shards is broadcast; beyond, it is joined.
@@ -52,6 +52,7 @@ FEED = "nation_id int, arrival_day long, item_id long, batch int, change string,
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store, however small, takes 4 MB of disk
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
@@ -60,9 +61,9 @@ STATE = {
 
 
 def bands_of(cents: np.ndarray) -> np.ndarray:
-    """The band of each revenue, eight to a doubling, higher for more; 0 for none or less."""
+    """The band of each revenue, two to a doubling, higher for more; 0 for none or less."""
     part, power = np.frexp(np.maximum(cents, 1).astype(np.float64))
-    return np.where(cents > 0, power * 8 + (part * 16).astype(np.int64) - 7, 0)
+    return np.where(cents > 0, power * 2 + (part >= 0.75), 0)
 
 
 def first_of(items: list[int], cents: list[int], size: int = SIZE) -> list[tuple[int, int]]:
@@ -97,74 +98,82 @@ class Ladder(StatefulProcessor):
         first = np.flatnonzero(np.append(True, (day[1:] != day[:-1]) | (item[1:] != item[:-1])))
         day, item, cents = day[first], item[first], np.add.reduceat(cents, first)
 
-        self.known, self.pages, self.sets, self.dirty = {}, set(), {}, set()
-        self.occupied = {k[0] for k in self.bands.keys()}  # at most a few hundred, whatever the number of items
-        touched = sorted(set((item % PAGES).tolist()))
-        for page in touched:
-            self.load(page)
-        known, out, board = self.known, [], self.board()
-        at = np.flatnonzero(np.append(True, day[1:] != day[:-1]))
-        for start, end in zip(at.tolist(), [*at[1:].tolist(), len(day)], strict=True):
-            ids = item[start:end].tolist()
-            before = np.fromiter((known.get(i, 0) for i in ids), np.int64, end - start)
-            after = before + cents[start:end]
-            known.update(zip(ids, after.tolist(), strict=True))
-            old, new = bands_of(before), bands_of(after)
-            for k in np.flatnonzero(old != new).tolist():
-                self.move(ids[k], int(old[k]), int(new[k]))
+        # The revenues of the pages that are touched, in order of items, and the items that come, in their order.
+        touched, at = np.unique(item, return_inverse=True)
+        pages = np.unique(touched % PAGES).tolist()
+        ids, self.now = (np.concatenate(x) for x in zip(*map(self.page, pages), strict=True))
+        new = touched[~np.isin(touched, ids)]
+        ids, self.now = np.append(ids, new), np.append(self.now, np.zeros(len(new), np.int64))
+        order = np.argsort(ids)
+        self.ids, self.now = ids[order], self.now[order]
+        self.touched, self.places, self.elsewhere = touched, np.searchsorted(self.ids, touched), {}
+        self.stored = {k[0] for k in self.bands.keys()}  # at most 130, whatever the number of items
+        self.sets: dict[int, set[int]] = {}
+        before = bands_of(self.now[self.places])
+
+        out, board = [], self.board()
+        starts = np.flatnonzero(np.append(True, day[1:] != day[:-1]))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(day)], strict=True):
+            places = self.places[at[start:end]]
+            old = bands_of(self.now[places])
+            self.now[places] += cents[start:end]
+            self.move(item[start:end], old, bands_of(self.now[places]))
             board, was = self.board(), board
             if board != was:
-                out.append(board_row(key[1], int(day[start]), was, board, known))
-
-        pages: dict[int, list[int]] = {page: [] for page in touched}
-        for i in known:
-            if (page := i % PAGES) in pages:
-                pages[page].append(i)
-        for page, ids in pages.items():
-            ids.sort()
-            self.revenues.updateValue((page,), (np.array(ids, np.int64).tobytes(), np.array([known[i] for i in ids], np.int64).tobytes()))
-        for band in self.dirty:
-            if band in self.occupied:
-                self.bands.updateValue((band,), (np.sort(np.fromiter(self.sets[band], np.int64, len(self.sets[band]))).tobytes(),))
-            elif self.bands.containsKey((band,)):
-                self.bands.removeKey((band,))
+                revenue = dict(zip(gone := [i for i, _ in was], self.revenue(gone), strict=True))
+                out.append(board_row(key[1], int(day[start]), was, board, revenue))
+
+        for page in pages:
+            own = self.ids % PAGES == page
+            self.revenues.updateValue((page,), (self.ids[own].tobytes(), self.now[own].tobytes()))
+        after = bands_of(self.now[self.places])
+        moved = before != after
+        for band in np.unique(np.append(before[moved], after[moved])).tolist():
+            if band:
+                held = np.union1d(np.setdiff1d(self.kept(band), touched[moved & (before == band)], assume_unique=True), touched[moved & (after == band)])
+                if len(held):
+                    self.bands.updateValue((band,), (held.tobytes(),))
+                elif band in self.stored:
+                    self.bands.removeKey((band,))
         if out:
             yield frame(key[0], out)
 
-    def load(self, page: int) -> None:
-        if page not in self.pages:
-            self.pages.add(page)
-            if self.revenues.containsKey((page,)):
-                ids, cents = self.revenues.getValue((page,))
-                self.known.update(zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(cents, np.int64).tolist(), strict=True))
+    def page(self, page: int) -> tuple[np.ndarray, np.ndarray]:
+        held = self.revenues.getValue((page,)) or (b"", b"")
+        return np.frombuffer(held[0], np.int64), np.frombuffer(held[1], np.int64)
+
+    def kept(self, band: int) -> np.ndarray:
+        """The items of a band as the batch found it."""
+        return np.frombuffer(self.bands.getValue((band,))[0] if band in self.stored else b"", np.int64)
+
+    def move(self, items: np.ndarray, old: np.ndarray, new: np.ndarray) -> None:
+        """Move a day's items between the bands that have been scanned; the others are read when they are."""
+        for band, held in self.sets.items():
+            held.difference_update(items[(old == band) & (new != band)].tolist())
+            held.update(items[(new == band) & (old != band)].tolist())
 
     def items(self, band: int) -> set[int]:
+        """The items of a band now: those that stayed out of the batch, and those of the batch whose revenue is in it."""
         if band not in self.sets:
-            self.sets[band] = set(np.frombuffer(self.bands.getValue((band,))[0], np.int64).tolist()) if band in self.occupied else set()
+            own = self.touched[bands_of(self.now[self.places]) == band]
+            self.sets[band] = {*np.setdiff1d(self.kept(band), self.touched, assume_unique=True).tolist(), *own.tolist()}
         return self.sets[band]
 
-    def move(self, item: int, old: int, new: int) -> None:
-        if old:
-            self.dirty.add(old)
-            held = self.items(old)
-            held.discard(item)
-            if not held:
-                self.occupied.discard(old)
-        if new:
-            self.dirty.add(new)
-            self.items(new).add(item)
-            self.occupied.add(new)
+    def revenue(self, items: list[int]) -> list[int]:
+        wanted = np.array(items, np.int64)
+        at = np.minimum(np.searchsorted(self.ids, wanted), len(self.ids) - 1)
+        for page in set((wanted[self.ids[at] != wanted] % PAGES).tolist()) - self.elsewhere.keys():
+            self.elsewhere[page] = dict(zip(*(x.tolist() for x in self.page(page)), strict=True))
+        return [int(self.now[j]) if self.ids[j] == i else self.elsewhere[i % PAGES][i] for i, j in zip(items, at.tolist(), strict=True)]
 
     def board(self) -> list[tuple[int, int]]:
         """The highest occupied bands until ``SIZE`` items are collected."""
         found: list[int] = []
-        for band in sorted(self.occupied, reverse=True):
+        for band in sorted(self.stored.union(bands_of(self.now[self.places]).tolist()) - {0}, reverse=True):
             found += self.items(band)
             if len(found) >= SIZE:
                 break
-        for i in found:
-            self.load(i % PAGES)
-        return first_of(found, [self.known[i] for i in found])
+        return first_of(found, self.revenue(found))
 
     def close(self) -> None:
         pass
@@ -290,13 +299,14 @@ def hashed(lines: DataFrame) -> DataFrame:
 def priced(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataFrame:
     """owner, item_id, day, cents, line_day, batch of the lines whose vendor has a nation and whose item is known.
 
-    Both sides of the joins grow; Spark splits what one vendor or item has too much of (``skewJoin``).
+    Vendors and items grow with the lines and have no bound, so they are never broadcast; Spark splits what one of them
+    has too much of (``skewJoin``).
     """
     cents = lambda c: F.floor(100 * F.col(c) + F.lit(0.5))
     owners = vendors.where("vendor_id is not null and nation_id is not null").groupBy("vendor_id").agg(F.min("nation_id").cast("int").alias("owner"))
     prices = items.where("item_id is not null").groupBy("item_id").agg(F.max("price").alias("price"))
     own = lines.select("vendor_id", "item_id", "day", "line_day", "batch", cents("amount").alias("own"), F.when(F.col("amount").isNull(), F.col("quantity")).alias("quantity"), F.when(F.col("flag") == "swapped", -1).otherwise(1).alias("sign"))
-    met = own.join(owners, "vendor_id").drop("vendor_id").join(prices, "item_id")
+    met = own.join(owners.hint("merge"), "vendor_id").drop("vendor_id").join(prices.hint("merge"), "item_id")
     return met.select("owner", "item_id", "day", (F.col("sign") * F.coalesce("own", F.col("quantity") * cents("price"), F.lit(0))).cast("long").alias("cents"), "line_day", "batch")
 
 
