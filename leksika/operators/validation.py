@@ -31,7 +31,7 @@ def canonical_writer(kind: Column) -> Column:
     return kind.isin(*OFFICIAL)
 
 
-def first_failure(*checks: tuple[Column, str]) -> Column:
+def first_failure(*checks: tuple[Column, str | Column]) -> Column:
     """The reason of the first check that holds; a check that is null doesn't. Null if none holds."""
     reason = F.lit(None).cast("string")
     for failed, name in reversed(checks):

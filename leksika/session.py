@@ -9,13 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks are on this machine, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; one of our own for the application only where that is unset and all tasks are on this machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
-    return tempfile.mkdtemp(prefix="leksika-")
+    context = spark.sparkContext._jsc.sc()
+    if context.getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="leksika-"))
+    return context.getCheckpointDir().get().rstrip("/")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has ``written``; call it once the results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/leksika-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
