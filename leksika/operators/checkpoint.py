@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leksika.functions.text import backoff, status_class
+from leksika.operators.ordered import tree_digest
 from leksika.operators.validation import first_failure
 
 # Classes of outcomes.
@@ -89,15 +90,8 @@ def conservation(selected: DataFrame, outcomes: DataFrame, key: str) -> DataFram
 
 
 def fingerprint(records: DataFrame, key: str, record: Column) -> DataFrame:
-    """One hash over records by key, whatever order they came in.
-
-    Records are hashed where they are; the hashes are joined in order of key within 4,096 parts by the key's
-    own hash, and the parts' hashes in order of part, so no task gathers the hashes of all records.
-    """
-    rows = records.select(F.substring(F.sha2(F.col(key), 256), 1, 3).alias("part"), F.struct(F.col(key).alias("k"), F.sha2(record, 256).alias("h")).alias("p"))
-    parts = rows.groupBy("part").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["h"]), "\n"), 256).alias("h"))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "h"))), lambda p: p["h"]), "\n")
-    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sha2(whole, 256).alias("fingerprint"))
+    """N, fingerprint: one hash over records by key, whatever order they came in; a tree of hashes in order of key."""
+    return tree_digest(records, key, record)
 
 
 def with_reviews(outcomes: DataFrame, reviews: DataFrame, key: str, review: str) -> DataFrame:

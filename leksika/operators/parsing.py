@@ -40,19 +40,39 @@ JSON_KEYS = {
 }
 
 
+#: Tags and classes that matter for what stands within them.
+AROUND = frozenset((*SENSE, *OUTSIDE, "ol", "ul", "li"))
+
+
 class Node:
     """An element: its tag, classes, children and texts in order."""
 
     def __init__(self, tag: str, classes: tuple[str, ...], parent: Node | None):
-        self.tag, self.classes, self.parent, self.parts = tag, classes, parent, []
+        self.tag, self.classes, self.parent, self.parts, self.said = tag, classes, parent, [], None
+        #: Which of ``AROUND`` the elements around it are.
+        self.around: frozenset[str] = parent.around if parent else frozenset()
+        if parent and (new := AROUND.intersection((parent.tag, *parent.classes)) - self.around):
+            self.around |= new
 
     def walk(self) -> Iterator[Node]:
-        for part in self.parts:
-            if isinstance(part, Node):
-                yield part
-                yield from part.walk()
+        """All elements below, in order; markup may be nested as deep as it likes."""
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            if node is not self:
+                yield node
+            stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
 
     def text(self) -> str:
+        """The cleaned text of an element; a short one is put together once."""
+        if self.said is not None:
+            return self.said
+        text = self.gathered()
+        if len(text) <= 1000:
+            self.said = text
+        return text
+
+    def gathered(self) -> str:
         pieces: list[str] = []
         stack: list[Node | str] = [self]
         while stack:
@@ -64,12 +84,8 @@ class Node:
         return clean(" ".join(p for p in pieces if p))
 
     def inside(self, *names: str) -> bool:
-        node = self.parent
-        while node is not None:
-            if node.tag in names or any(c in names for c in node.classes):
-                return True
-            node = node.parent
-        return False
+        """Whether an element around it has one of these tags or classes of ``AROUND``."""
+        return not self.around.isdisjoint(names)
 
 
 class Tree(HTMLParser):
@@ -138,7 +154,7 @@ def of_tag(*names: str) -> Callable[[Node], bool]:
 def word_in(url: str) -> str:
     """the word that a page's address ends in; capitalised if it has lower-case letters only."""
     word = clean(unquote(url.rstrip("/").rsplit("/", 1)[-1]))
-    return word.replace(word[0], word[0].upper(), 1) if word.islower() else word
+    return word[0].upper() + word[1:] if word.islower() else word
 
 
 def headword(nodes: list[Node], url: str) -> str:

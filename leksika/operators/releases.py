@@ -8,9 +8,9 @@ from pyspark.sql.window import Window
 
 from leksika.functions.hashing import pseudo_vector
 from leksika.operators.checkpoint import fingerprint
+from leksika.operators.ordered import ranked
 
 CHUNK = 500
-NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def delta_plan(prior: DataFrame, candidate: DataFrame, incompatible: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
@@ -57,33 +57,18 @@ def class_counts(plan: DataFrame) -> DataFrame:
 
 
 def chunks(rows: DataFrame, order: str, size: int = CHUNK, ranges: int | None = None) -> DataFrame:
-    """Rows with their chunk, ``floor((rank - 1) / size)``, ranked without one task for all.
-
-    Keys are counted by ranges, one for each quarter million of rows and 4,096 at most; a row's rank is its rank
-    in its range plus the counts of the ranges before. A range is told by the key itself, so a task that runs
-    again ranks alike. Bounds change the work only: quantiles of numbers, or those of a small sample of other keys.
-    """
-    ranges = ranges or min(4096, 1 + rows.count() // 250_000)
-    bounds: list = []
-    if ranges > 1 and dict(rows.dtypes)[order] in NUMBERS:
-        bounds = sorted(set(rows.stat.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
-    elif ranges > 1:
-        sampled = sorted(rows.select(F.col(order).alias("k")).where("k is not null").orderBy(F.xxhash64("k"), "k").limit(16 * ranges).toArrow().column("k").to_pylist())
-        bounds = sorted(set(sampled[16::16]))
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))) if bounds else F.lit(0)
-    ranged = rows.withColumn("__part", F.when(F.col(order).isNull(), -1).otherwise(part))
-    within = ranged.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1)
-    before = ranged.groupBy("__part").agg(F.count("*").alias("__n")).selectExpr("__part", "coalesce(sum(__n) over (order by __part rows between unbounded preceding and 1 preceding), 0) as __before")
-    return within.join(F.broadcast(before), "__part").withColumn("chunk", F.floor((F.col("__before") + F.col("__at")) / size)).drop("__part", "__at", "__before")
+    """Rows with their chunk, ``floor(rank / size)``, ranked by ranges without one task for all."""
+    return ranked(rows, order, ranges=ranges).withColumn("chunk", F.floor(F.col("rank") / size)).drop("rank")
 
 
 def preflight(batch: DataFrame, existing: DataFrame, key: str = "id", digest: str = "hash") -> DataFrame:
     """What a create-only write would do with each row: write, no-op or conflict.
 
-    Rows of one key that disagree are conflicts; repeated ones are one row, chosen by partial aggregation.
+    Rows of one key that disagree are conflicts; repeated ones are one row, whole as it came, chosen by partial aggregation.
+    A row without a hash is one that agrees with others without.
     """
-    others = [c for c in batch.columns if c not in (key, digest)]
-    once = batch.groupBy(key).agg(F.min(digest).alias(digest), F.max(digest).alias("__most"), (F.count(digest) < F.count("*")).alias("__lacks"), *[F.min_by(c, digest).alias(c) for c in others])
+    whole = F.min_by(F.struct(*batch.columns), F.struct(F.col(digest).isNull(), F.col(digest)))
+    once = batch.groupBy(key).agg(whole.alias("__row"), F.max(digest).alias("__most"), (F.count(digest) < F.count("*")).alias("__lacks")).select("__row.*", "__most", "__lacks")
     have = existing.groupBy(key).agg(F.min(digest).alias("__have"), F.max(digest).alias("__has"), F.lit(True).alias("__is"))
     apart = ~F.col(digest).eqNullSafe(F.col("__most")) | (F.col("__lacks") & F.col(digest).isNotNull())
     same = F.col("__have").eqNullSafe(F.col(digest)) & F.col("__has").eqNullSafe(F.col(digest))

@@ -120,7 +120,7 @@ def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: s
     out = T.StructType([T.StructField("query_id", asked.schema["query_id"].dataType), T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("distance", T.DoubleType())])
 
     def dealt(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(mine, F.pmod(F.monotonically_increasing_id(), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
+        return df.withColumn(mine, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vec_ids = (t.column(c).combine_chunks() for t, c in ((left, "query_id"), (right, "vec_id")))

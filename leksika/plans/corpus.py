@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leksika.functions import hashing as H
 from leksika.functions.vectors import norm
+from leksika.operators import ordered as O
 from leksika.operators import releases as L
 from leksika.operators import validation as V
 from leksika.plans.registry import Registry
@@ -137,9 +138,8 @@ def q_preflight(spark, sf_dir):
     return L.preflight(batch, have, "doc_id").groupBy("action").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {T.ENTRIES_SQL}, p AS (SELECT substr(sha256(id), 1, 3) AS part, sha256(string_agg(sha256(id || ':' || sha256(definisi)), chr(10) ORDER BY id)) AS h FROM entries GROUP BY 1)
-SELECT count(*) AS entries, count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'inactive') AS inactive,
-  (SELECT sha256(string_agg(h, chr(10) ORDER BY part)) FROM p) AS digest FROM entries""")
+@query(f"""WITH {T.ENTRIES_SQL}, leaf AS (SELECT id AS k, sha256(id || ':' || sha256(definisi)) AS h FROM entries), {O.TREE_SQL}
+SELECT count(*) AS entries, count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'inactive') AS inactive, (SELECT fingerprint FROM tree) AS digest FROM entries""")
 def q_manifest_agg(spark, sf_dir):
     """A07, A09."""
     return L.manifest(T.entries(spark, sf_dir).withColumn("hash", H.sha256(F.col("definisi"))), "id", "hash", "status")

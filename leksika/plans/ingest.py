@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leksika.functions import hashing as H
 from leksika.operators import checkpoint as C
+from leksika.operators import ordered as O
 from leksika.operators import validation as V
 from leksika.plans.registry import Registry
 from leksika.sources import tables as T
@@ -109,21 +110,26 @@ def q_conservation(spark, sf_dir):
     return C.conservation(T.read(spark, sf_dir, "documents").where("doc_id % 3 = 0").select("doc_id"), T.read(spark, sf_dir, "labels").select("doc_id"), "doc_id")
 
 
-@query("""WITH p AS (SELECT substr(sha256(CAST(doc_id AS VARCHAR)), 1, 3) AS part, count(*) AS n, sha256(string_agg(sha256(source || '|' || lang), chr(10) ORDER BY CAST(doc_id AS VARCHAR))) AS h FROM documents GROUP BY 1)
-SELECT CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(h, chr(10) ORDER BY part)) AS fingerprint FROM p""")
+@query(f"""WITH leaf AS (SELECT CAST(doc_id AS VARCHAR) AS k, sha256(source || '|' || lang) AS h FROM documents), {O.TREE_SQL} SELECT n, fingerprint FROM tree""")
 def q_catalog_fingerprint(spark, sf_dir):
     """A10, A11, P06."""
     rows = T.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("k"), "source", "lang")
     return C.fingerprint(rows, "k", F.concat_ws("|", "source", "lang"))
 
 
-@query("""WITH p AS (SELECT substr(sha256(CAST(doc_id AS VARCHAR)), 1, 3) AS part, count(*) AS n, sha256(string_agg(sha256(text), chr(10) ORDER BY CAST(doc_id AS VARCHAR))) AS h FROM documents GROUP BY 1)
-SELECT CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(h, chr(10) ORDER BY part)) AS fingerprint FROM p""")
+@query(f"""WITH leaf AS (SELECT CAST(doc_id AS VARCHAR) AS k, sha256(text) AS h FROM documents), {O.TREE_SQL} SELECT n, fingerprint FROM tree""")
 def q_corpus_digest(spark, sf_dir):
     """A08."""
     return C.fingerprint(T.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("k"), "text"), "k", F.col("text"))
 
 
+@query("""SELECT count(*) AS n, sha256(string_agg('{"id":' || CAST(to_json(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ',"lang":' || CAST(to_json(lang) AS VARCHAR) || '}', chr(10) ORDER BY CAST(doc_id AS VARCHAR))) AS digest FROM documents""")
+def q_line_digest(spark, sf_dir):
+    """The digest of all canonical lines in order of id."""
+    rows = T.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
+    return O.line_digest(rows, "id", line=H.canonical_json({"id": F.col("id"), "lang": F.col("lang")}))
+
+
 @query("""WITH r AS (SELECT doc_id, string_agg(s, ',' ORDER BY s) AS reviews, bool_or(s = 'open') AS blocked FROM (
   SELECT doc_id, CASE WHEN toxic = 1 THEN 'open' ELSE 'resolved' END AS s FROM labels UNION ALL SELECT doc_id, CASE WHEN quality = 0 THEN 'open' ELSE 'resolved' END FROM labels) GROUP BY doc_id)
 SELECT doc_id, coalesce(reviews, '') AS reviews, coalesce(blocked, false) AS blocked FROM documents LEFT JOIN r USING (doc_id)""")

@@ -288,3 +288,48 @@ def test_lifecycle_stream(spark, sf, tmp_path):
             run = "completed" if r.event_type == "purchase" else "failed" if errors > 3 else "interrupted" if errors else "running"
         expected[r.user_id] = (run, errors)
     assert found == {u: s for u, (s, _) in expected.items()}
+
+
+def test_deep_markup_is_parsed(spark):
+    """Nesting that a recursive walk can't follow; elements of many classes around each other."""
+    page = "<b>" * 100_000 + "deep" + "<div class=makna><ol><li>satu dua tiga</li></ol></div>"
+    many = "".join(f"<div class=c{i}>" for i in range(5_000)) + "<h1>kata</h1><nav><ol><li>menu utama</li></ol></nav><ol><li>arti kata</li></ol>"
+    rows = spark.createDataFrame([("1", page.encode(), "https://x/entri/lema"), ("2", many.encode(), "https://x/entri/lain")], "raw_snapshot_id string, content binary, url string")
+    found = {r.raw_snapshot_id: (r.lema, r.makna) for r in parsing.parse(rows).collect()}
+    assert found == {"1": ("Lema", ["satu dua tiga"]), "2": ("kata", ["arti kata"])}
+
+
+def test_preflight_keeps_whole_rows(spark):
+    """Rows without a hash keep their columns, repeated ones are not mixed, and what disagrees is a conflict."""
+    batch = spark.createDataFrame([("a", None, "x", 1), ("b", "h", "y", 2), ("b", "h", "z", 3), ("c", "h", "y", 1), ("c", None, "y", 1), ("d", "h", None, None)], "id string, hash string, payload string, n int")
+    have = spark.createDataFrame([("d", "other")], "id string, hash string")
+    found = {r.id: tuple(r)[1:] for r in releases.preflight(batch, have).collect()}
+    assert found.pop("b") in (("h", "y", 2, "write"), ("h", "z", 3, "write"))
+    assert found == {"a": (None, "x", 1, "write"), "c": ("h", "y", 1, "conflict"), "d": ("h", None, None, "conflict")}
+
+
+def test_digests_in_order(spark, monkeypatch):
+    """The tree of hashes by its rule, and the digest of all lines as hashlib makes it, from any partitions."""
+    import hashlib
+
+    from leksika.operators import ordered
+
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    monkeypatch.setattr(ordered, "NODE", 7)
+    for n in (0, 1, 7, 8, 60, 350):
+        lines = [(f"k{i:04}", f"line {i} é") for i in range(n)] + [("k0000", "again")] * bool(n)
+        level = [sha(v) for _, _, v in sorted((k, sha(v), v) for k, v in lines)]
+        while len(level) > 1 or len(lines) == len(level) == 1:
+            level = [sha("\n".join(level[i : i + 7])) for i in range(0, len(level), 7)]
+            if len(level) == 1:
+                break
+        rows = spark.createDataFrame(lines, "k string, v string").repartition(5)
+        assert tuple(ordered.tree_digest(rows, "k", F.col("v")).first()) == (len(lines), level[0] if level else sha(""))
+        assert tuple(ordered.line_digest(rows, "k", line=F.col("v")).first()) == (len(lines), sha("\n".join(v for _, v in sorted(lines))))
+
+
+def test_ranks_over_many_small_partitions(spark):
+    from leksika.operators import ordered
+
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k")).repartition(60)
+    assert sorted((r.k, r["rank"]) for r in ordered.ranked(rows, "k", ranges=40).collect()) == [(k, i) for i, k in enumerate(sorted(i * 7919 % 3001 for i in range(3000)))]
