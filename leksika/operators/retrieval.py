@@ -108,11 +108,41 @@ def distances(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
     return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2 * products, 0.0))
 
 
+def group_of(n: int) -> Column:
+    """One of ``n`` groups for each row, about equally many rows in each, however rows lie in partitions."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+
+
+def padded(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as rows of one width, zeros added, and their lengths."""
+    array = vectors.combine_chunks()
+    lengths = np.diff(np.array(array.offsets)).astype(np.int64)
+    out = np.zeros((len(lengths), max(1, lengths.max(initial=0))))
+    out[np.arange(out.shape[1]) < lengths[:, None]] = np.array(array.flatten())
+    return out, lengths
+
+
+def paired(q: np.ndarray, long_q: np.ndarray, x: np.ndarray, long_x: np.ndarray, measure: str) -> np.ndarray:
+    """``distances`` of padded vectors, of whose components those are paired that both have."""
+    width = max(q.shape[1], x.shape[1])
+    q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
+    if measure != "EUCLIDEAN" or len(lengths := np.union1d(long_q, long_x)) == 1:
+        return distances(q, x, measure)  # added zeros are in no product and no norm
+    out = np.empty((len(q), len(x)))
+    for a in np.unique(long_q):
+        for b in np.intersect1d(lengths, long_x):
+            rows, columns, both = np.flatnonzero(long_q == a), np.flatnonzero(long_x == b), min(a, b)
+            out[np.ix_(rows, columns)] = distances(q[rows, :both], x[columns, :both], measure)
+    return out
+
+
 def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: str = "DOT_PRODUCT", max_distance: float | None = None, others: bool = True) -> DataFrame:
     """J06 for any number of queries (query_id, query): each query's ``k`` nearest vectors (vec_id, embedding), its own id left out if ``others``.
 
     Both sides are dealt into blocks of bounded size by row; each pair of blocks is one task, which returns its ``k`` of each query.
-    Vectors of one length only; rows without an id or a vector take no part.
+    Of two lengths the shorter counts, as far as components are paired; norms are of whole vectors. Ties go by smaller
+    vec_id, in a block as in the end, so a vector with many copies is ``k`` rows of a block. Rows without an id or a vector
+    take no part.
     """
     asked = queries.where("query_id is not null and query is not null").select("query_id", F.col("query").cast("array<double>").alias("v"))
     rows = vectors.where("vec_id is not null and embedding is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
@@ -120,20 +150,24 @@ def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: s
     out = T.StructType([T.StructField("query_id", asked.schema["query_id"].dataType), T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("distance", T.DoubleType())])
 
     def dealt(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(mine, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
+        return df.withColumn(mine, group_of(n)).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vec_ids = (t.column(c).combine_chunks() for t, c in ((left, "query_id"), (right, "vec_id")))
         if not len(ids) or not len(vec_ids):
             return pa.table({"query_id": ids[:0], "vec_id": vec_ids[:0], "distance": pa.array([], pa.float64())})
-        q, x = (np.array(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1) for t in (left, right))
-        d = distances(q, x, measure)
+        order = np.argsort(np.array(vec_ids), kind="stable")
+        vec_ids = vec_ids.take(pa.array(order))
+        (q, long_q), (x, long_x) = padded(left.column("v")), padded(right.column("v"))
+        d = paired(q, long_q, x[order], long_x[order], measure)
         if others:
             d[np.array(ids)[:, None] == np.array(vec_ids)[None, :]] = np.inf
-        most = np.full(len(q), np.inf) if max_distance is None else np.full(len(q), np.nextafter(max_distance, np.inf))
-        if len(x) > k:
-            most = np.minimum(most, np.nextafter(np.partition(d, k - 1, axis=1)[:, k - 1], np.inf))
-        i, j = np.nonzero(d < most[:, None])  # ties of the last one stay
+        first = d < np.inf if max_distance is None else d <= max_distance
+        if len(order) > k:
+            last = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+            nearer, tied = d < last, d == last
+            first &= nearer | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= k - nearer.sum(axis=1, keepdims=True)))
+        i, j = np.nonzero(first)
         return pa.table({"query_id": ids.take(pa.array(i)), "vec_id": vec_ids.take(pa.array(j)), "distance": pa.array(d[i, j])})
 
     met = dealt(asked, "qb", qs, "vb", vs).cogroup(dealt(rows, "vb", vs, "qb", qs)).applyInArrow(cell, out)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +36,23 @@ def judged_batch(rows: DataFrame, path: str, key: str, digest: str) -> DataFrame
 
 
 def create_only(rows: DataFrame, path: str, key: str = "id", digest: str = "hash") -> int:
-    """Append rows whose keys are new; the same content again is a no-op, other content, in the table or in the batch, an error. Rows written."""
-    judged = judged_batch(rows, path, key, digest).persist()
-    try:
-        counts = dict(judged.groupBy("action").count().collect())
-        if counts.get("conflict"):
-            raise Conflict(f"{counts['conflict']} keys have other content")
-        judged.where("action = 'write'").drop("action").write.mode("append").parquet(path)
-        return counts.get("write", 0)
-    finally:
-        judged.unpersist()
+    """Append rows whose keys are new; the same content again is a no-op, other content, in the table or in the batch, an error. Rows written.
+
+    What is judged is written first, so what is counted is what is appended whatever is lost on the way; a lock keeps
+    other writers out between the judgement and the append.
+    """
+    spark, staging = rows.sparkSession, f"{path}.judged-{uuid.uuid4().hex}"
+    with locked(spark, path):
+        try:
+            judged_batch(rows, path, key, digest).write.parquet(staging)
+            judged = spark.read.parquet(staging)
+            counts = dict(judged.groupBy("action").count().collect())
+            if counts.get("conflict"):
+                raise Conflict(f"{counts['conflict']} keys have other content")
+            judged.where("action = 'write'").drop("action").write.mode("append").parquet(path)
+            return counts.get("write", 0)
+        finally:
+            remove(spark, staging)
 
 
 def persist_batch(rows: DataFrame, path: str, ledger_path: str, batch_id: str, key: str = "id", digest: str = "hash", size: int = CHUNK, fail_chunk: int | None = None) -> dict:
@@ -88,40 +99,82 @@ def digest_of(rows: DataFrame) -> tuple:
     return tuple(rows.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.sum(F.hash(*columns).cast("long"))).first())
 
 
-def publish(rows: DataFrame, path: str, order: list[str], fault: Callable[[str], None] = lambda step: None) -> bool:
-    """Write sorted to a staging path, verify what was written, rename, verify again; False, and nothing done, if it is published already.
+#: Seconds after which a lock counts as left by a writer that is dead.
+LOCK_S = 3600
 
-    A lock file beside the path, which only one writer can create, keeps others out until it is done or has failed.
-    ``fault`` is called before each step (ST07): what it raises fails the publication there.
-    """
-    spark = rows.sparkSession
-    if exists(spark, path):
-        return False
+
+@contextmanager
+def locked(spark: SparkSession, path: str, seconds: float = LOCK_S) -> Iterator[None]:
+    """A lock file beside ``path`` that one writer can create; one that is older than ``seconds`` is taken over, and only the own one is removed."""
     lock, fs = _path(spark, f"{path}.lock")
     fs.mkdirs(lock.getParent())
+    if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > seconds:
+        fs.delete(lock, False)
     if not fs.createNewFile(lock):
         raise Conflict(f"another writer publishes {path}")
-    staging = f"{path}.staging"
+    made = fs.getFileStatus(lock).getModificationTime()
     try:
-        fault("stage")
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(staging)
-        expected = digest_of(spark.read.schema(rows.schema).parquet(staging))
-        fault("verify")
-        if expected != digest_of(rows):
-            raise ValueError("what was staged is not what was given")
-        fault("rename")
-        source, _ = _path(spark, staging)
-        target, _ = _path(spark, path)
-        if not fs.rename(source, target):
-            raise Conflict(f"{path} could not be taken")
-        fault("verify again")
-        if digest_of(spark.read.schema(rows.schema).parquet(path)) != expected:
-            fs.delete(target, True)
-            raise ValueError("what was published is not what was staged")
-        return True
+        yield
     finally:
-        cleanup(spark, path)
-        fs.delete(lock, False)
+        if fs.exists(lock) and fs.getFileStatus(lock).getModificationTime() == made:
+            fs.delete(lock, False)
+
+
+def take(spark: SparkSession, staging: str, path: str) -> None:
+    """Rename a staged folder to ``path``, which must not be there: the one step that decides between writers."""
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, path)[0].toUri(), spark._jsc.hadoopConfiguration())
+    none = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = none
+    qualified = lambda p: _path(spark, p)[1].makeQualified(_path(spark, p)[0])
+    try:
+        context.rename(qualified(staging), qualified(path), options)
+    except Py4JJavaError as failed:
+        raise Conflict(f"{path} could not be taken: {failed.java_exception.getMessage()}") from None
+
+
+def publish(rows: DataFrame, path: str, order: list[str], fault: Callable[[str], None] = lambda step: None) -> bool:
+    """Write sorted to a staging path, verify what was written, rename, verify again; False, and nothing done, if these rows are published already.
+
+    Other rows under a published path are a conflict: the first publication stays. A lock keeps others out until one is
+    done or has failed; whether there is something is asked again under it, and the rename takes the path only if nothing
+    is there, so two writers leave one whole artifact. Nothing is deleted that this call did not make.
+    ``fault`` is called before each step (ST07): what it raises fails the publication there.
+    """
+    spark = rows.sparkSession
+
+    def published() -> bool:
+        if not exists(spark, path):
+            return False
+        if digest_of(spark.read.schema(rows.schema).parquet(path)) != digest_of(rows):
+            raise Conflict(f"{path} is published with other content")
+        return True
+
+    if published():
+        return False
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    with locked(spark, path):
+        try:
+            if published():
+                return False
+            fault("stage")
+            rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(staging)
+            expected = digest_of(spark.read.schema(rows.schema).parquet(staging))
+            fault("verify")
+            if expected != digest_of(rows):
+                raise ValueError("what was staged is not what was given")
+            fault("rename")
+            take(spark, staging, path)
+            try:
+                fault("verify again")
+                if digest_of(spark.read.schema(rows.schema).parquet(path)) != expected:
+                    raise ValueError("what was published is not what was staged")
+            except Exception:
+                remove(spark, path)  # made by this call
+                raise
+            return True
+        finally:
+            remove(spark, staging)
 
 
 def remove(spark: SparkSession, path: str) -> bool:
@@ -131,6 +184,9 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 
 def cleanup(spark: SparkSession, path: str) -> bool:
-    """Remove what a failed publication left."""
-    staging, fs = _path(spark, f"{path}.staging")
-    return fs.delete(staging, True)
+    """Remove what failed publications of a path left, where no writer is at work."""
+    lock, fs = _path(spark, f"{path}.lock")
+    if fs.exists(lock):
+        return False
+    left = fs.globStatus(_path(spark, f"{path}.staging-*")[0]) or []
+    return any([fs.delete(s.getPath(), True) for s in left])

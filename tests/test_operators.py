@@ -146,10 +146,58 @@ def test_a_failed_publication_leaves_nothing(spark, tmp_path):
 def test_publish_once(spark, tmp_path):
     path = str(tmp_path / "track")
     assert sinks.publish(spark.range(10), path, ["id"])
-    assert not sinks.publish(spark.range(3), path, ["id"])
+    assert not sinks.publish(spark.range(10).repartition(3), path, ["id"])
+    with pytest.raises(sinks.Conflict):  # other content for a published path fails closed
+        sinks.publish(spark.range(3), path, ["id"])
     assert spark.read.parquet(path).count() == 10
 
 
+def test_a_writer_that_comes_second_destroys_nothing(spark, tmp_path):
+    """The second writer had asked before the first had finished: it finds the first one's rows under the lock, or at the rename."""
+    path = str(tmp_path / "track")
+
+    def other_writer(now):
+        if now == "rename":  # another writer, whose lock counts as that of a dead one, takes the path meanwhile
+            (tmp_path / "track.lock").unlink()
+            assert sinks.publish(spark.range(7), path, ["id"])
+
+    with pytest.raises(sinks.Conflict):
+        sinks.publish(spark.range(10), path, ["id"], other_writer)
+    assert spark.read.parquet(path).count() == 7 and sorted(p.name for p in tmp_path.iterdir()) == ["track"]
+
+
+def test_the_lock_of_a_dead_writer_expires(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "track")
+    (tmp_path / "track.lock").touch()
+    os.utime(tmp_path / "track.lock", (1, 1))
+    (tmp_path / "track.staging-dead").mkdir()
+    assert sinks.publish(spark.range(4), path, ["id"]) and sinks.cleanup(spark, path)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["track"]
+
+
+def test_nearest_batch_of_copies_and_lengths(spark):
+    """Ties go by id in a block already; of two lengths the shorter counts."""
+    from leksika.operators import retrieval
+
+    rows = [(i, [1.0, 0.0]) for i in range(300)] + [(300, [2.0]), (301, [1.0, 0.0, 5.0]), (302, [])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    queries = spark.createDataFrame([(-1, [1.0, 1.0]), (-2, [3.0])], "query_id long, query array<double>")
+    found = lambda m: {(r.query_id, r["rank"]): (r.vec_id, round(r.distance, 6)) for r in retrieval.nearest_batch(queries, vectors, 3, m).collect()}
+    assert found("DOT_PRODUCT") == {(-1, 1): (300, -1.0), (-1, 2): (0, 0.0), (-1, 3): (1, 0.0), (-2, 1): (300, -5.0), (-2, 2): (0, -2.0), (-2, 3): (1, -2.0)}
+    assert found("EUCLIDEAN") == {(-1, 1): (302, 0.0), (-1, 2): (0, 1.0), (-1, 3): (1, 1.0), (-2, 1): (302, 0.0), (-2, 2): (300, 1.0), (-2, 3): (0, 2.0)}
+
+
+def test_blocks_are_dealt_evenly(spark):
+    """Few rows in each of many partitions: groups are about as large as each other."""
+    from leksika.operators import retrieval
+
+    rows = spark.range(4000).repartition(2000)
+    sizes = [r["count"] for r in rows.select(retrieval.group_of(4).alias("g")).groupBy("g").count().collect()]
+    assert len(sizes) == 4 and min(sizes) > 850
+
+
 def test_embedding_document(spark):
     columns = {"lema": F.lit(" <b>Februari</b> "), "ejaan": F.lit(None).cast("string"), "kelas_kata": F.array(F.lit("n")), "makna": F.array(F.lit("bulan"), F.lit(" "), F.lit("kedua")), "contoh": F.array().cast("array<string>")}
     assert spark.range(1).select(projections.embedding_document(columns)).first()[0] == "Lema: Februari\nKelas Kata: n\nMakna: (1) bulan; (3) kedua"
