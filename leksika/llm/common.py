@@ -76,6 +76,14 @@ def discard(*written: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def dealt(n: int) -> Column:
+    """One of ``n`` groups for each row, about equally many rows in each, however rows lie in partitions.
+
+    (Row ids without the hash are multiples of 2^33 plus a place in the partition, and not even where partitions are small.)
+    """
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))
+
+
 #: A key with more than one in so many rows is joined by broadcast; there are fewer such keys than this.
 HOT = 1000
 
@@ -91,7 +99,7 @@ def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str) -> Data
     hot = materialise(table.select(key, value).join(F.broadcast(counts.where((F.col("count") > many) & F.col(key).isNotNull()).select(key)), key), "hot")
     met = rows.join(F.broadcast(hot.withColumnRenamed(value, "__hot").withColumn("__is", F.lit(True))), key, "left")
     alone = F.col(key).isNotNull() & F.col("__is").isNull()
-    met = met.withColumn("__key", F.when(alone, F.col(key))).withColumn("__deal", F.when(alone, F.lit(0)).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096))))
+    met = met.withColumn("__key", F.when(alone, F.col(key))).withColumn("__deal", F.when(alone, F.lit(0)).otherwise(1 + dealt(4096)))
     others = table.select(F.col(key).alias("__key"), F.lit(0).cast("long").alias("__deal"), F.col(value).alias("__other"))
     return met.join(others, ["__key", "__deal"], "left").withColumn(value, F.coalesce("__hot", "__other")).drop("__key", "__deal", "__is", "__hot", "__other")
 

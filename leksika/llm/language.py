@@ -14,8 +14,8 @@ thousand of them, so a host that holds a third of all rows is no large group.
 Every language is learned that has rows: its code is the primary subtag of ``lang``, two or three letters. A
 language costs a megabyte of model and time in proportion.
 
-Defined results: null text, host or declaration is no evidence; an address of more than 253 characters is none
-(the length that names may have); a text without letters, or with too little evidence (posterior below
+Defined results: null text, empty host or null declaration is no evidence; hosts and sources are walked whole, however
+long they are and however many domains they name; a text without letters, or with too little evidence (posterior below
 ``least``), is ``und``; texts and markup are read whole; repeated rows are counted as often as they stand; ties
 go to the first language in order; an empty table gives an empty result; extra columns, whatever their names,
 are carried by the stage and not read by the query.
@@ -23,6 +23,7 @@ are carried by the stage and not read by the query.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leksika.llm.common import Words, least_share, materialise, pieces, spread_join, sums_between
+from leksika.llm.common import BATCH_BYTES, Words, least_share, materialise, pieces, spread_join, sums_between
 
 #: Distinct texts of a language that its model learns from at most, by hash.
 TRAIN_ROWS = 400
@@ -45,8 +46,8 @@ LEAN, EVEN = 20.0, 1.0
 #: Below this posterior the language is undetermined.
 LEAST = 0.5
 
-#: Characters of the longest address that names may have.
-HOST = 253
+#: Characters up to which a host or one of its domains is its own key; what is longer goes by a digest.
+KEY = 253
 
 LEFT_OUT = re.compile(r"(?i)<(script|style|nav|footer)\b")
 HTML, LANG = re.compile(r"(?i)<html\b"), re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})\b""")
@@ -203,10 +204,33 @@ def text_evidence(rows: DataFrame, model: TextModel, markup: bool, text: str = "
     return rows.mapInArrow(run, out)
 
 
-def parents(host: Column) -> Column:
-    """A host and its parent domains, nearest first, ending with the suffix."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def short(host: Column) -> Column:
+    """A host as a key of bounded length."""
+    return F.when(F.length(host) <= KEY, host).otherwise(F.concat(F.lit("#"), F.sha2(host, 256)))
+
+
+def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host (its key), level, domain, root for each host and parent domain, the host itself at level 0.
+
+    The key of a domain of up to ``KEY`` characters is the domain; that of a longer one is a digest of its first label and
+    the key below, so a host of any number of labels costs time and room in proportion to its length.
+    """
+    names, size = ("host", "level", "domain", "root"), 0
+    out: list[tuple] = []
+    for batch in batches:
+        for key, host in zip(batch.column("key").to_pylist(), batch.column("host").to_pylist(), strict=True):
+            labels, below, length = host.split("."), "", -1
+            for level in range(len(labels) - 1, -1, -1):
+                length += len(labels[level]) + 1
+                name = labels[level] + ("." + below if level < len(labels) - 1 else "")
+                below = name if length <= KEY else "#" + hashlib.sha256(name.encode()).hexdigest()
+                out.append((key, level, below, level == len(labels) - 1))
+                size += len(key) + len(below) + 16
+                if size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*out, strict=True), strict=True)))
+                    out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*out, strict=True), strict=True)))
 
 
 def counted(rows: DataFrame, key: str, languages: list[str]) -> DataFrame:
@@ -222,8 +246,7 @@ def fuse(rows: DataFrame, languages: list[str], least: float = LEAST) -> DataFra
     weight = F.least(F.col("size").cast("double"), F.lit(TEMPER))
     evidence = F.transform("gain", lambda g: g * weight)
     rows = rows.withColumn("text_log", evidence).withColumn("best", F.when(F.col("size") > 0, F.array_position("text_log", F.array_max("text_log")) - 1))
-    rows = rows.withColumn("host", F.when((F.col("host") != "") & (F.length("host") <= HOST), F.col("host"))).drop("gain")
-    rows = materialise(rows, "evidence")
+    rows = materialise(rows.withColumn("host", F.when(F.col("host") != "", F.col("host"))).drop("gain"), "evidence")
 
     every = rows.where("best is not null").agg(*[F.sum((F.col("best") == i).cast("double")) for i in range(n)]).first()
     total = [float(x or 0) for x in every]
@@ -241,11 +264,14 @@ def fuse(rows: DataFrame, languages: list[str], least: float = LEAST) -> DataFra
         return F.transform(both, lambda x: x / F.aggregate(both, F.lit(0.0), add))
 
     # Each host's prior from the counts of its suffix and domains, the suffix first; a domain never counted changes nothing.
-    domains = materialise(counted(rows.select("best", F.explode(parents(F.col("host"))).alias("domain")), "domain", languages), "domains")
-    hosts = rows.where("host is not null").select("host").distinct()
-    chains = materialise(hosts.select("host", F.posexplode(parents(F.col("host"))).alias("level", "domain")), "chains")
-    steps = spread_join(chains, domains, "domain", "n").where("n is not null")
-    step = F.struct((-F.col("level")).alias("near"), (F.instr("domain", ".") == 0).alias("root"), F.col("n"))
+    hosts = rows.where("host is not null").groupBy("host").agg(*[F.sum((F.col("best") == i).cast("double")).alias(f"n{i}") for i in range(n)])
+    hosts = materialise(hosts.select(short(F.col("host")).alias("key"), "host", F.array(*[F.coalesce(f"n{i}", F.lit(0.0)) for i in range(n)]).alias("n")), "hosts")
+    chains = materialise(hosts.select("key", "host").mapInArrow(chained, "host string, level long, domain string, root boolean"), "chains")
+    held = spread_join(chains, hosts.where(F.aggregate("n", F.lit(0.0), add) > 0).select(F.col("key").alias("host"), "n"), "host", "n").where("n is not null")
+    domains = held.groupBy("domain").agg(*[F.sum(F.get("n", F.lit(i))).alias(f"n{i}") for i in range(n)]).select("domain", F.array(*[f"n{i}" for i in range(n)]).alias("n"))
+    steps = spread_join(chains, materialise(domains, "domains"), "domain", "n").where("n is not null")
+    step = F.struct((-F.col("level")).alias("near"), "root", "n")
+    rows = rows.withColumn("host", short(F.col("host")))
     walked = F.aggregate(F.array_sort("steps"), numbers(overall), lambda prior, s: F.when(s["root"], rooted(s["n"])).otherwise(leaned(s["n"], prior)))
     priors = materialise(steps.groupBy("host").agg(F.collect_list(step).alias("steps")).select("host", walked.alias("prior")), "priors")
 

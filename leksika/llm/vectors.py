@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from leksika.llm.common import dealt as even
+
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
 
 
@@ -101,7 +103,7 @@ def in_blocks(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Tabl
     fields = T._parse_datatype_string(schema)
 
     def dealt(df: DataFrame, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
-        group = F.pmod(F.monotonically_increasing_id(), F.lit(n_mine)) if n_mine > 1 else F.lit(0).cast("long")
+        group = even(n_mine) if n_mine > 1 else F.lit(0).cast("long")
         return df.withColumn(mine, group).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leksika.llm import common, language, quality, toxicity, urls
-from leksika.llm.common import labelled_sample, remainder, table
+from leksika.llm.common import dealt, labelled_sample, remainder, table
 
 BIG = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, score string, label int, lang int"
@@ -145,6 +145,7 @@ def test_evidence_counts_by_hand(spark):
     rows = [
         ("a", "en", "x.uk", [0.2, -0.2], 40), ("b", "en", "x.uk", [0.1, -0.3], 30), ("c", "fr", "y.fr", [-0.4, 0.3], 50), ("d", None, "z.fr", [0.0, 0.0], 0), ("e", "fr", None, [0.1, 0.0], 2), ("f", None, None, [0.0, 0.0], 0),
         ("g", "fr", deep, [-0.1, 0.2], 9), ("h", None, "e." + deep, [0.0, 0.01], 1), ("i", "en", "w.v.uk", [0.0, 0.0], 0), ("j", None, "x" * 300, [0.1, 0.0], 5), ("k", None, "fr", [0.1, 0.0], 5),
+        ("l", None, "p." + "long." * 90 + deep, [0.3, 0.0], 8), ("m", None, "q." + "long." * 90 + deep, [0.0, 0.0], 0), ("n", None, "long." * 80 + deep, [0.0, 0.05], 2), ("o", None, "x" * 300, [0.0, 0.0], 0),
     ]
     df = spark.createDataFrame(rows, "key string, declared string, host string, gain array<double>, size long")
     got = {r.key: (r.lang, r.posterior) for r in language.fuse(df, ["en", "fr"]).collect()}
@@ -154,12 +155,12 @@ def test_evidence_counts_by_hand(spark):
     overall = [(t + language.EVEN / 2) / (sum(total) + language.EVEN) for t in total]
 
     def counts(domain):
-        keys = [k for k, _, h, _, n in rows if n and h and len(h) <= 253 and (h == domain or h.endswith("." + domain))]
+        keys = [k for k, _, h, _, n in rows if n and h and (h == domain or h.endswith("." + domain))]
         return [sum(best[k] == i for k in keys) for i in (0, 1)]
 
     for key, declared, host, _, n in rows:
         prior = overall
-        labels = host.split(".") if host and len(host) <= 253 else []
+        labels = host.split(".") if host else []
         for place in range(len(labels) - 1, -1, -1):
             found = counts(".".join(labels[place:]))
             if not sum(found):
@@ -205,6 +206,25 @@ def test_markup_is_read_in_one_pass():
     assert time.perf_counter() - began < 30
 
 
+def test_hosts_of_any_length_cost_what_they_are_long():
+    """A host of 300,000 labels is a chain of as many short keys; the domains it shares with others have the same keys."""
+    hosts = ["a." * 300_000 + "example.org", "b." * 100 + "example.org", "b." * 100 + "x.example.org", "c." + "b." * 100 + "example.org"]
+    batch = pa.RecordBatch.from_pydict({"key": ["1", "2", "3", "4"], "host": hosts})
+    began = time.process_time()
+    rows = [r for b in language.chained(iter([batch])) for r in b.to_pylist()]
+    assert time.process_time() - began < 20 and len(rows) == 300_002 + 102 + 103 + 103 and max(len(r["domain"]) for r in rows) <= language.KEY
+    keys = {k: [r["domain"] for r in rows if r["host"] == k] for k in "1234"}
+    assert all(keys[k][:2] == ["org", "example.org"] for k in keys) and [r["root"] for r in rows if r["host"] == "2"] == [True] + [False] * 101
+    assert set(keys["2"]) < set(keys["4"]) and set(keys["2"]) & set(keys["3"]) == {"example.org", "org"}
+
+
+def test_rows_are_dealt_evenly(spark):
+    """Few rows in each of many partitions: groups are about as large as each other."""
+    rows = spark.range(4000).repartition(2000)
+    sizes = [r["count"] for r in rows.select(dealt(4).alias("g")).groupBy("g").count().collect()]
+    assert len(sizes) == 4 and min(sizes) > 850
+
+
 def test_every_language_is_learned_from_whole_texts(spark):
     """Forty languages, tags with regions, one text of 400 KB: none is left out."""
     codes = [a + b for a in "abcdefgh" for b in "vwxyz"]
