@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from leksika.operators import projections as P
 from leksika.plans.lookups import OFFICIAL
 from leksika.plans.registry import Registry
+from leksika.session import new_path
+from leksika.sources import artifacts as A
 from leksika.sources import tables as T
+from leksika.sources.sinks import remove
 
 query = Registry()
 
@@ -65,3 +70,32 @@ def q_word_checks(spark, sf_dir):
 def q_source_entries(spark, sf_dir):
     """A manifest's entries, in order of id."""
     return P.source_entries(P.of_track(T.published(spark, sf_dir), "r1", "word"))
+
+
+#: What happens to the artifact of each release of ``q_projection_list``.
+TAMPERED = ("sound", "manifest_hash_mismatch", "output_hash_mismatch", "artifact_missing", "manifest_missing")
+
+
+@query(f"""WITH {T.ENTRIES_SQL}, {T.PUBLISHED_SQL}, r AS (SELECT unnest(range({len(TAMPERED)})) AS n)
+SELECT 'r' || CAST(r.n AS VARCHAR) AS release, [{", ".join(f"'{t}'" for t in TAMPERED)}][r.n + 1] AS reason, CASE WHEN r.n < 4 THEN count(h.id) END AS output_count
+FROM r LEFT JOIN hashed h ON h.source_kind IN ('official-live', 'official-snapshot') AND h.status = 'active' AND CAST(h.id AS BIGINT) % 7 <> r.n GROUP BY r.n""")
+def q_projection_list(spark, sf_dir):
+    """Releases published with their manifests, and what a listing says after some were tampered with."""
+    root = new_path(spark, "projections")
+    entries = T.published(spark, sf_dir)
+    for n, what in enumerate(TAMPERED):
+        rows = entries.where(F.col("id").cast("long") % 7 != n)
+        identity = A.Identity("web", "word", f"r{n}", "gen-1", A.SCHEMAS["word"])
+        A.publish_artifact(P.words(rows, f"r{n}"), root, identity, ["id"], n, "0" * 64)
+        path = identity.path(root)
+        if what == "manifest_hash_mismatch":
+            text = json.dumps(A.manifest_of(spark, root, identity) | {"source_count": 9}, sort_keys=True, separators=(",", ":"))
+            remove(spark, f"{path}/manifest.json")
+            A.write_text(spark, f"{path}/manifest.json", text)
+        elif what == "output_hash_mismatch":
+            P.words(rows, f"r{n}").limit(1).write.mode("append").parquet(f"{path}/data")
+        elif what == "artifact_missing":
+            remove(spark, f"{path}/data")
+        elif what == "manifest_missing":
+            remove(spark, f"{path}/manifest.json")
+    return A.artifacts(spark, root).select(F.regexp_extract("folder", "/(r[0-9]+)/", 1).alias("release"), F.coalesce("reason", F.lit("sound")).alias("reason"), "output_count")

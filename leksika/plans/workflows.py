@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leksika.functions.hashing import canonical_json, lexical_hash, sha256
-from leksika.operators import checkpoint, parsing, projections, releases, validation
-from leksika.sources import catalogs, sinks, tables
+from leksika.operators import checkpoint, ordered, parsing, projections, releases, validation
+from leksika.sources import artifacts, catalogs, tables
 
 
 def import_snapshots(snapshots: DataFrame, source_kind: str) -> tuple[DataFrame, DataFrame]:
@@ -65,11 +65,13 @@ def verify_release(manifest: DataFrame, vectors: DataFrame, dimensions: int = 76
 
 
 def publish_tracks(entries: DataFrame, root: str, consumer: str, release: str, generation: str) -> dict[str, bool]:
-    """3.2, K09: the word and relation tracks of a release, each published once."""
-    path = lambda track, schema: f"{root}/{consumer}/{track}/{release}/{generation}/{schema}"
+    """3.2, K08, K09: the word and relation tracks of a release, each published once with its manifest."""
+    made = {"word": (projections.words(entries, release), ["id"]), "relations": (projections.relations(entries, release), ["from", "to", "type", "source_entry_id"])}
+    source = projections.eligible(entries, release)
+    source_count, source_digest = ordered.tree_digest(source, "id", projections.canonical_hash(entries)).first()
     return {
-        "word": sinks.publish(projections.words(entries, release), path("word", "word-v1"), ["id"]),
-        "relations": sinks.publish(projections.relations(entries, release), path("relations", "relations-v1"), ["from", "to", "type", "source_entry_id"]),
+        track: artifacts.publish_artifact(rows, root, artifacts.Identity(consumer, track, release, generation, artifacts.SCHEMAS[track]), order, source_count, source_digest)
+        for track, (rows, order) in made.items()
     }
 
 

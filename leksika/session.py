@@ -27,9 +27,14 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, under one folder for each application."""
+    return f"{shared_dir(spark)}/leksika-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: for what is used more than once, so that it is computed once and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/leksika-{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leksika.functions.keys import normalise
 from leksika.operators import pointers
 from leksika.plans import workflows
-from leksika.sources import catalogs, web
+from leksika.sources import artifacts, catalogs, sinks, web
 
 
 def page(word, sense="definisi yang cukup panjang"):
@@ -94,7 +94,11 @@ def test_publication_is_once(spark, tmp_path):
     one = workflows.publish_tracks(entries, str(tmp_path), "web", "r1", "gen-1")
     two = workflows.publish_tracks(entries, str(tmp_path), "web", "r1", "gen-1")
     assert (one, two) == ({"word": True, "relations": True}, {"word": False, "relations": False})
-    assert spark.read.parquet(f"{tmp_path}/web/relations/r1/gen-1/relations-v1").first()["to"] == "Baku"
+    name = artifacts.Identity("web", "relations", "r1", "gen-1", "relations-v1")
+    assert artifacts.read_artifact(spark, str(tmp_path), name).first()["to"] == "Baku" and artifacts.manifest_of(spark, str(tmp_path), name)["output_count"] == 1
+    with pytest.raises(sinks.Conflict):  # another source for the same identity
+        workflows.publish_tracks(entries.withColumn("lema", F.lit("Other")), str(tmp_path), "web", "r1", "gen-1")
+    assert artifacts.read_artifact(spark, str(tmp_path), name).first()["to"] == "Baku"
 
 
 def approval(digest):
