@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leksika.functions.text import backoff, status_class
-from leksika.operators.ordered import tree_digest
+from leksika.operators.ordered import sequenced, tree_digest
 from leksika.operators.validation import first_failure
 
 # Classes of outcomes.
@@ -24,9 +24,9 @@ def selection(catalog: DataFrame, key: str = "stable_key", limit: int = 100) ->
 
 
 def ordered_bindings(bindings: DataFrame, key: str, tier: Column, *then: str) -> DataFrame:
-    """A key's bindings, officials first, with index from 0 and sequence from 1."""
-    at = F.row_number().over(Window.partitionBy(key).orderBy(tier, *then))
-    return bindings.withColumn("binding_index", at - 1).withColumn("sequence", at)
+    """A key's bindings, officials first, with index from 0 and sequence from 1; a key of any size is many tasks' work."""
+    placed = sequenced(bindings.withColumn("__tier", tier), key, "__tier", *then).drop("__tier")
+    return placed.withColumn("binding_index", F.col("sequence") - 1).select(*bindings.columns, "binding_index", "sequence")
 
 
 def first_accepted(bindings: DataFrame, key: str, accepted: Column) -> DataFrame:
@@ -36,16 +36,43 @@ def first_accepted(bindings: DataFrame, key: str, accepted: Column) -> DataFrame
 
 
 def attempts(transport: DataFrame, key: str, order: list[str], status: str, max_retries: int = 3) -> DataFrame:
-    """Each attempt's number, cumulative count, class, wait and whether retries are exhausted."""
-    window = Window.partitionBy(key).orderBy(*order)
-    numbered = transport.withColumn("attempt", F.row_number().over(window) - 1).withColumn("kind", status_class(F.col(status)))
+    """Each attempt's number, cumulative count, class, wait and whether retries are exhausted; a key of any size is many tasks' work."""
+    placed = sequenced(transport, key, *order)
+    numbered = placed.withColumn("attempt", F.col("sequence") - 1).withColumn("kind", status_class(F.col(status)))
     return (
-        numbered.withColumn("cumulative", F.count("*").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+        numbered.withColumn("cumulative", F.col("sequence").cast("long")).drop("sequence")
         .withColumn("wait", F.when(F.col("kind") == "transient", backoff(F.col("attempt"))))
         .withColumn("exhausted", (F.col("kind") == "transient") & (F.col("attempt") >= max_retries))
     )
 
 
+#: Physical rows in one list of a logical attempt.
+LIST = 1000
+
+
+def logical_attempts(physical: DataFrame, key: str, order: list[str], attempt_id: str, outcome: str, conflict: str, size: int = LIST) -> tuple[DataFrame, DataFrame]:
+    """One logical attempt for each key, and the physical rows that it owns, in order.
+
+    The first is key, attempt_count, first_attempt, last_attempt, outcome (accepted if a row is, else conflict, retryable or
+    that of the last row), conflict_id, parts. The second is key, part, source_attempts: lists of up to ``size`` rows with their
+    sequence, so a key with a million rows is a thousand lists in as many tasks. The conflict's id, the smallest that
+    a row of the key names, stands on the logical row and on each row in conflict.
+    """
+    placed = sequenced(physical, key, *order)
+    at = lambda c: F.struct(F.col("sequence"), F.col(c))
+    has = lambda value: F.bool_or(F.coalesce(F.col(outcome) == value, F.lit(False)))
+    logical = placed.groupBy(key).agg(
+        F.count("*").alias("attempt_count"), F.min(at(attempt_id))[attempt_id].alias("first_attempt"), F.max(at(attempt_id))[attempt_id].alias("last_attempt"),
+        F.when(has("accepted"), "accepted").when(has("conflict"), "conflict").when(has("retryable"), "retryable").otherwise(F.max(at(outcome))[outcome]).alias("outcome"),
+        F.min(conflict).alias("conflict_id"), F.ceil(F.count("*") / size).cast("int").alias("parts"),
+    )
+    named = placed.join(logical.select(F.col(key).alias("__key"), F.col("conflict_id").alias("__conflict")), F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+    rows = named.withColumn(conflict, F.when(F.col(outcome) == "conflict", F.col("__conflict")).otherwise(F.col(conflict))).drop("__conflict")
+    fields = F.struct("sequence", *[c for c in rows.columns if c not in (key, "sequence")])
+    nested = rows.withColumn("part", F.floor((F.col("sequence") - 1) / size).cast("int")).groupBy(key, "part").agg(F.array_sort(F.collect_list(fields)).alias("source_attempts"))
+    return logical, nested
+
+
 def observation_outcome() -> Column:
     """What becomes of an observation; its columns status, content, expected_hash, entry_failure, key_matches."""
     return F.coalesce(

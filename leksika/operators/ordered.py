@@ -36,6 +36,17 @@ def ranked(rows: DataFrame, *order: str, ranges: int | None = None) -> DataFrame
     return held.join(F.broadcast(starts), "__part").withColumn("rank", F.col("__before") + F.col("__at")).select(*rows.columns, "rank")
 
 
+def sequenced(rows: DataFrame, key: str, *order: str, ranges: int | None = None) -> DataFrame:
+    """``rows`` with ``sequence`` from 1 among those of their key, written to the shared folder.
+
+    Two levels: ranges of (key, order) over all rows, which part a key that has too many as they part any rows, then
+    the place behind the key's first rank. So no task has all rows of a key.
+    """
+    placed = ranked(rows, key, *order, ranges=ranges)
+    firsts = placed.groupBy(F.col(key).alias("__key")).agg(F.min("rank").alias("__first"))
+    return placed.join(firsts, F.col(key).eqNullSafe(F.col("__key"))).withColumn("sequence", (F.col("rank") - F.col("__first") + 1).cast("int")).select(*rows.columns, "sequence")
+
+
 def tree_digest(records: DataFrame, key: str, record: Column) -> DataFrame:
     """N, fingerprint: one hash over all records in order of key, whatever order and partitions they came in.
 

@@ -79,6 +79,23 @@ def q_retry_exhausted(spark, sf_dir):
     return tried(spark, sf_dir).groupBy("user_id").agg(F.count_if("exhausted").alias("exhausted"), F.max("attempt").alias("last_attempt"), F.count_if(F.col("kind") == "success").alias("reads"))
 
 
+@query("""WITH p AS (SELECT user_id, event_id, CASE event_type WHEN 'purchase' THEN 'accepted' WHEN 'error' THEN 'conflict' WHEN 'signup' THEN 'retryable' ELSE 'failed' END AS outcome, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sequence FROM events),
+l AS (SELECT user_id, count(*) AS attempt_count, arg_min(event_id, sequence) AS first_attempt, arg_max(event_id, sequence) AS last_attempt, CASE WHEN bool_or(outcome = 'accepted') THEN 'accepted' WHEN bool_or(outcome = 'conflict') THEN 'conflict' WHEN bool_or(outcome = 'retryable') THEN 'retryable' ELSE arg_max(outcome, sequence) END AS outcome,
+  min('c' || CAST(event_id AS VARCHAR)) FILTER (WHERE outcome = 'conflict') AS conflict_id FROM p GROUP BY user_id)
+SELECT user_id, attempt_count, first_attempt, last_attempt, l.outcome AS outcome, conflict_id, CAST((sequence - 1) // 10 AS INTEGER) AS part, string_agg(CAST(event_id AS VARCHAR) || ':' || p.outcome || ':' || CASE WHEN p.outcome = 'conflict' THEN conflict_id ELSE '' END, ',' ORDER BY sequence) AS source_attempts
+FROM p JOIN l USING (user_id) GROUP BY user_id, attempt_count, first_attempt, last_attempt, l.outcome, conflict_id, (sequence - 1) // 10""")
+def q_logical_attempts(spark, sf_dir):
+    """Each user's events as attempts of a key, ten to a list."""
+    kind, name = F.col("event_type"), F.concat(F.lit("c"), F.col("event_id").cast("string"))
+    physical = T.read(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id", F.when(kind == "purchase", "accepted").when(kind == "error", "conflict").when(kind == "signup", "retryable").otherwise("failed").alias("outcome"), F.when(kind == "error", name).alias("conflict_id"),
+    )
+    logical, nested = C.logical_attempts(physical, "user_id", ["ts", "event_id"], "event_id", "outcome", "conflict_id", 10)
+    line = lambda a: F.concat_ws(":", a["event_id"].cast("string"), a["outcome"], F.coalesce(a["conflict_id"], F.lit("")))
+    listed = nested.select("user_id", "part", F.array_join(F.transform("source_attempts", line), ",").alias("source_attempts"))
+    return logical.drop("parts").join(listed, "user_id")
+
+
 def outcome() -> Column:
     """An outcome for each kind of event."""
     return F.when(F.col("event_type") == "purchase", "accepted").when(F.col("event_type") == "error", "retryable").when(F.col("event_type") == "signup", "failed").otherwise("pending")

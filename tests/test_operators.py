@@ -381,3 +381,24 @@ def test_ranks_over_many_small_partitions(spark):
 
     rows = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k")).repartition(60)
     assert sorted((r.k, r["rank"]) for r in ordered.ranked(rows, "k", ranges=40).collect()) == [(k, i) for i, k in enumerate(sorted(i * 7919 % 3001 for i in range(3000)))]
+
+
+def test_a_hot_key_is_many_tasks(spark):
+    """A key with most of the rows is parted by ranges; its sequence and lists are those of one sort."""
+    from leksika.operators import ordered
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"), (F.col("id") * 7919 % 5003).alias("at"), F.concat(F.lit("a"), "id").alias("attempt_id")).repartition(9)
+    placed = ordered.sequenced(rows, "k", "at", ranges=16)
+    expected, seen = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r.k, r["at"])):
+        expected[(r.k, r["at"])] = seen[r.k] = seen.get(r.k, 0) + 1
+    assert {(r.k, r["at"]): r.sequence for r in placed.collect()} == expected
+    assert rows.repartitionByRange(16, "k", "at").where("k = 'hot'").select(F.spark_partition_id()).distinct().count() > 10
+    physical = rows.withColumn("outcome", F.when(F.col("at") % 100 == 3, "conflict").otherwise("failed")).withColumn("conflict_id", F.when(F.col("at") % 300 == 3, F.concat(F.lit("c"), F.lpad("at", 5, "0"))))
+    logical, nested = C.logical_attempts(physical, "k", ["at"], "attempt_id", "outcome", "conflict_id", 50)
+    hot = logical.where("k = 'hot'").first()
+    assert (hot.attempt_count, hot.parts, hot.outcome) == (4000, 80, "conflict")
+    lists = nested.where("k = 'hot'").collect()
+    assert sorted(len(r.source_attempts) for r in lists) == [50] * 80
+    assert {a.conflict_id for r in lists for a in r.source_attempts if a.outcome == "conflict"} == {hot.conflict_id}
+    assert [a.sequence for r in sorted(lists, key=lambda r: r.part) for a in r.source_attempts] == list(range(1, 4001))
