@@ -30,7 +30,7 @@ OUTCOME = (
 # Reasons by pin, the serialization of canonical records, where raw snapshots lie, statuses of reviews that block.
 PIN_REASONS = {"parser_version": "parser_pin_mismatch", "transform_version": "transform_pin_mismatch", "validation_policy": "validation_policy_mismatch"}
 SERIALIZATION = "canonical-record-v1"
-SNAPSHOT_FILE = ".aksantara/raw-snapshots/{}.bin"
+SNAPSHOT_FILE = "raw-snapshots/{}.bin"
 BLOCKING = ("pending", "quarantined", "rejected")
 #: Fields that an accepted join of the report shares with its outcome, beside those of the official observation.
 ACCEPTED = ("run_id", "stable_key", "source_key", "entry_id", "run_fingerprint", "catalog_fingerprint", "source_ref", "source_role", "authority_role", "pins", "raw_hash", "raw_content_hash", "canonical_hash", "canonical_content_hash", "raw_snapshot_id", "observation_id", "attempt_id", "canonical_reference", "parsed_reference", "eligible", "candidate_member", "official")
