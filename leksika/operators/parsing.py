@@ -10,10 +10,12 @@ from typing import NamedTuple
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.functions.text import clean_text, list_items, ordered_distinct, slug
+from leksika.functions.text import slug
+from leksika.operators import payloads
+from leksika.operators.payloads import first_of  # noqa: F401
 
 # Where the fields of an entry stand in markup, word classes, and the patterns of numbering, labels and phrases.
 HEADWORD = (".lema", ".kata", "h1", "h2", ".word", "title")
@@ -31,13 +33,8 @@ VARIANT_PHRASES = (re.compile(r"(?i)bentuk\s+tidak\s+baku\s*[:\-]\s*([a-z0-9,\s\
 LIST_MARKS, CLASS_MARKS, LAST_MARKS = re.compile("[,;]"), re.compile(r"[,;/\s]+"), re.compile("[.;:]+$")
 LEAST_ITEM, LEAST_BLOCK, LEAST_PARAGRAPH, LEAST_I, LEAST_EM = 5, 5, 10, 5, 8
 ENTRY = "id string, lema string, kelas_kata array<string>, makna array<string>, contoh array<string>, bentuk_tidak_baku array<string>, error string"
-JSON_KEYS = {
-    "lema": ("lema", "lemma", "kata", "word", "entri", "headword"),
-    "makna": ("makna", "definisi", "arti", "definitions", "senses", "definition"),
-    "kelas_kata": ("kelas_kata", "kelasKata", "kelas", "pos", "wordClass"),
-    "contoh": ("contoh", "examples", "example"),
-    "bentuk_tidak_baku": ("bentuk_tidak_baku", "bentukTidakBaku", "nonstandard", "varian", "variants"),
-}
+#: What only JSON can say of an entry.
+OPTIONAL = ("bentuk_baku", "etimologi")
 
 
 #: Tags and classes that matter for what stands within them.
@@ -268,34 +265,23 @@ def html_entries(snapshots: DataFrame, parser: Callable[[bytes, str], tuple] = p
     return snapshots.withColumn("entry", parsed("content", "url")).select("raw_snapshot_id", "url", "entry.*")
 
 
-def first_of(payload: Column, names: tuple[str, ...]) -> Column:
-    """The value of the first name that is present, exactly, else in any case."""
-    exact = [F.get_json_object(payload, f"$.{n}") for n in names]
-    lowered = F.transform_keys(F.from_json(payload, "map<string,string>"), lambda k, _: F.lower(k))
-    return F.coalesce(*exact, *[F.try_element_at(lowered, F.lit(n.lower())) for n in names])
-
-
-def text_list(value: Column) -> Column:
-    """A string, list or list of objects as a list of cleaned strings."""
-    as_list = F.from_json(F.when(value.rlike(r"^\s*\["), value), "array<string>")
-    inner = lambda x: F.when(x.rlike(r"^\s*\{"), first_of(x, ("definisi", "makna", "arti", "sense", "definition"))).otherwise(x)
-    alone = F.when(value.rlike(r"^\s*\{"), F.array(inner(value))).otherwise(F.array(value))
-    return ordered_distinct(F.transform(F.filter(F.transform(F.coalesce(as_list, alone), inner), lambda x: x.isNotNull()), clean_text))
-
-
 def json_entries(snapshots: DataFrame) -> DataFrame:
-    """``snapshots`` (raw_snapshot_id, content, url) whose content is JSON, as the fields of ENTRY; of a list its first object."""
+    """``snapshots`` (raw_snapshot_id, content, url) whose content is JSON, as the fields of ENTRY and OPTIONAL.
+
+    Of a list, the object whose word ends the address, else the first. An entry without a word gets that of its address.
+    """
     text = F.decode("content", "UTF-8")
-    payload = F.when(text.rlike(r"^\s*\["), F.get_json_object(text, "$[0]")).otherwise(text)
-    rows = snapshots.withColumn("__p", payload)
-    word = clean_text(first_of(F.col("__p"), JSON_KEYS["lema"]))
-    makna = text_list(first_of(F.col("__p"), JSON_KEYS["makna"]))
-    split = lambda name: list_items(F.array_join(text_list(first_of(F.col("__p"), JSON_KEYS[name])), ","))
-    none = F.array().cast("array<string>")
+    rows = snapshots.withColumn("__text", text).withColumn("__m", payloads.members(payloads.chosen(F.col("__text"), F.col("url"))))
+    field = {name: payloads.picked(F.col("__m"), names) for name, names in payloads.FIELDS.items()}
+    rows = rows.withColumns({f"__{name}": value for name, value in field.items()})
+    lists = {"makna": payloads.senses, "contoh": payloads.examples, "bentuk_tidak_baku": payloads.variants, "kelas_kata": payloads.word_classes}
+    rows = rows.withColumns({name: make(F.col(f"__{name}")) for name, make in lists.items()})
+    rows = rows.withColumn("lema", F.when(F.col("__m").isNotNull(), payloads.word_of(F.col("__m"), F.col("url"))))
+    empty = F.coalesce(F.col("__text").rlike(r"^\s*\[\s*\]\s*$"), F.lit(False))
+    error = F.when(empty, "JSON payload is empty list").when(F.col("__m").isNull(), "JSON list contains no object").when(F.col("lema").isNull(), "lema not found").when(F.size("makna") == 0, "makna not found")
     return rows.select(
-        "raw_snapshot_id", "url", slug(word).alias("id"), word.alias("lema"), F.coalesce(split("kelas_kata"), none).alias("kelas_kata"), F.coalesce(makna, none).alias("makna"),
-        F.coalesce(text_list(first_of(F.col("__p"), JSON_KEYS["contoh"])), none).alias("contoh"), F.coalesce(split("bentuk_tidak_baku"), none).alias("bentuk_tidak_baku"),
-        F.when(word.isNull() | (word == ""), "lema not found").when(F.coalesce(F.size(makna), F.lit(0)) <= 0, "makna not found").alias("error"),
+        "raw_snapshot_id", "url", slug(F.col("lema")).alias("id"), "lema", "kelas_kata", "makna", "contoh", "bentuk_tidak_baku", error.alias("error"),
+        *[payloads.filled(payloads.string(F.col(f"__{name}"))).alias(name) for name in OPTIONAL],
     )
 
 
@@ -303,7 +289,7 @@ def parse(snapshots: DataFrame) -> DataFrame:
     """JSON if the first character says so and it parses, else HTML."""
     text = F.decode("content", "UTF-8")
     is_json = F.coalesce(text.rlike(r"^\s*[\{\[]") & F.try_parse_json(text).isNotNull(), F.lit(False))
-    return json_entries(snapshots.where(is_json)).unionByName(html_entries(snapshots.where(~is_json)))
+    return json_entries(snapshots.where(is_json)).unionByName(html_entries(snapshots.where(~is_json)), allowMissingColumns=True)
 
 
 def replay_differences(once: DataFrame, again: DataFrame) -> DataFrame:

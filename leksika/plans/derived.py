@@ -31,6 +31,7 @@ HTML = """<html><head><title>{w1} - kamus</title></head><body><nav><ol><li>skip
 <div class="makna"><ol><li>1. {w2} {w3} contoh: {w4}</li><li>2) {w5} <i>contoh: {w6} {w2}</i></li></ol></div><p class="tidak-baku">Bentuk tidak baku: {w3}, {w4}.</p><script>var x = "<h1>no</h1>";</script></body></html>"""
 BARE = """<html><body><h1>{w2}</h1><ul><li>{w3} {w4} {w5}</li></ul><p>bentuk tidak baku {w6}</p></body></html>"""
 JSON = """{"Lema": "{w1}", "definisi": [{"makna": "{w2} {w3}"}, "{w4}"], "kelas": "n; v", "contoh": ["{w5}"], "varian": "{w6}, {w2}"}"""
+LISTED = """[{"lema": "-", "makna": "no"}, {"lemma": "no", "kata": "{w1}", "definisi": "no", "arti": {"senses": [{"no": 1, "Makna": "{w2} {w3}"}, "{w4}"]}, "pos": "n; v", "kalimat": [{"sentence": "{w5}"}], "varian": "no", "tidakBaku": "{w6}, {w2}"}]"""
 BROKEN = """{"lema": "{w1}" <h1>{w1} {w2}</h1><div class="arti">{w3} {w4} {w5} {w6}</div>"""
 KINDS = ((HTML, 0), (BARE, 1), (JSON, 2), (BROKEN, 3))
 WORDS_SQL = "words AS (SELECT doc_id, w[1] AS w1, w[2] AS w2, w[3] AS w3, w[4] AS w4, w[5] AS w5, w[6] AS w6 FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{3,}') AS w FROM documents) WHERE len(w) >= 6)"
@@ -49,10 +50,11 @@ def worded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw snapshots: markup in two forms, JSON, and JSON that is broken and so read as markup."""
+    """Raw snapshots: markup in two forms, JSON as an object or a list, with one name or two for a field, and JSON that is broken and so read as markup."""
     content = F.lit(None).cast("string")
     for template, n in KINDS:
         content = F.when(F.col("doc_id") % 4 == n, built(template)).otherwise(content)
+    content = F.when(F.col("doc_id") % 8 == 6, built(LISTED)).otherwise(content)
     rows = worded(spark, sf_dir).withColumn("text", content)
     return rows.select(
         "doc_id", F.col("doc_id").cast("string").alias("raw_snapshot_id"), F.encode("text", "UTF-8").alias("content"), F.concat(F.lit("https://example.org/entri/"), "w1").alias("url"), H.sha256(F.col("text")).alias("raw_sha256")
