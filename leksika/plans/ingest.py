@@ -10,6 +10,7 @@ from leksika.operators import checkpoint as C
 from leksika.operators import ordered as O
 from leksika.operators import validation as V
 from leksika.plans.registry import Registry
+from leksika.sources import catalogs
 from leksika.sources import tables as T
 from leksika.streaming import runs
 
@@ -218,3 +219,39 @@ def q_lifecycle(spark, sf_dir):
         F.coalesce(F.min(F.when(bought, F.col("n"))), F.lit(0)).cast("long").alias("completed_at"), F.count_if((F.col("event_type") == "error") & (F.col("previous") == "error")).alias("repeated_errors"),
         F.when(F.bool_or(bought), "completed").otherwise("running").alias("state"),
     )
+
+
+CATALOG_SQL = """kept AS (SELECT doc_id, 'kata-' || doc_id AS k, doc_id % 8 AS n, lower(coalesce(lang, 'id')) AS l, sha256(coalesce(text, '')) AS h FROM documents)"""
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog entry for each document: sources of two hosts and others, and two observations, in some entries one twice."""
+    n, key = F.col("doc_id") % 8, F.concat(F.lit("kata-"), F.col("doc_id").cast("string"))
+    host = F.when(n.isin(1, 2), "kbbi.web.id").when(n == 3, "example.org").otherwise("kbbi.kemdikbud.go.id")
+    digest = H.sha256(F.coalesce("text", F.lit("")))
+
+    def source(url: Column, kind: Column, edition: str) -> Column:
+        return F.struct(url.alias("url"), kind.alias("source_kind"), F.lit(edition).alias("edition"), digest.alias("content_hash"))
+
+    page = F.concat(F.lit("https://"), host, F.lit("/entri/"), F.when(n == 4, F.lit("lain")).otherwise(key))
+    primary = source(page, F.when(n == 2, "fallback").otherwise("official-live"), "VI")
+    transport = F.struct(F.lit("fixture").alias("adapter"), F.coalesce("text", F.lit("")).alias("content"), digest.alias("expected_raw_hash"))
+    seen = lambda place, role: F.struct(F.lit(role).alias("role"), source(F.concat(F.lit("https://kbbi.web.id/"), place, F.lit("/"), key), F.lit("fallback"), "V").alias("source_ref"))
+    first, second = F.lower(F.coalesce("lang", F.lit("id"))), F.when(n == 5, F.lower(F.coalesce("lang", F.lit("id")))).otherwise("2")
+    entry = F.struct(F.upper(key).alias("stableKey"), primary.alias("source"), transport.alias("transport"), F.array(seen(first, "official"), seen(second, "evidence")).alias("observations"))
+    return T.read(spark, sf_dir, "documents").select(F.lit("c").alias("catalog_id"), F.to_json(entry).alias("payload"))
+
+
+@query(f"""WITH {CATALOG_SQL} SELECT k AS stable_key, CASE n WHEN 1 THEN 'unofficial_host' WHEN 3 THEN 'unapproved_host' WHEN 4 THEN 'url_mismatch' WHEN 5 THEN 'repeated_observation' END AS reason FROM kept""")
+def q_catalog_records(spark, sf_dir):
+    """S06-S10, P23, U-S10: entries with the first reason against them: aliases, hosts, addresses, repeated observations."""
+    return catalogs.records(catalog(spark, sf_dir)).select("stable_key", "reason")
+
+
+@query(f"""WITH {CATALOG_SQL}, ok AS (SELECT * FROM kept WHERE n NOT IN (1, 3, 4, 5))
+SELECT k AS stable_key, 0 AS place, 'primary' AS role, 'https://' || CASE WHEN n = 2 THEN 'kbbi.web.id' ELSE 'kbbi.kemdikbud.go.id' END || '/entri/' || k AS url, h AS content_hash FROM ok
+UNION ALL SELECT k, 1, 'evidence', 'https://kbbi.web.id/2/' || k, h FROM ok UNION ALL SELECT k, 2, 'official', 'https://kbbi.web.id/' || l || '/' || k, h FROM ok""")
+def q_catalog_bindings(spark, sf_dir):
+    """The bindings of valid entries in order of their seven keys."""
+    valid = catalogs.records(catalog(spark, sf_dir)).where("reason is null")
+    return catalogs.bindings(valid).select("stable_key", "place", "role", F.col("source.url").alias("url"), F.col("source.content_hash").alias("content_hash"))

@@ -21,9 +21,9 @@ def import_snapshots(snapshots: DataFrame, source_kind: str) -> tuple[DataFrame,
     return validation.split_valid(rows, failure)
 
 
-def run_catalog(spark: SparkSession, path: str, limit: int = 100) -> dict[str, DataFrame]:
+def run_catalog(spark: SparkSession, path: str, limit: int = 100, official: tuple[str, ...] = catalogs.OFFICIAL_HOSTS) -> dict[str, DataFrame]:
     """3.1: a catalog's selection, observations, outcomes and report; inline fixtures only, as files are joined by their reader."""
-    found = catalogs.records(catalogs.entries(spark, path))
+    found = catalogs.records(catalogs.entries(spark, path), official)
     valid = found.where("reason is null")
     selected = checkpoint.selection(valid, "stable_key", limit)
     bound = catalogs.bindings(valid.join(selected.select("stable_key"), "stable_key", "left_semi"))

@@ -26,6 +26,9 @@ def entry(word, **change):
     return {k: v for k, v in (out | change).items() if v is not None}
 
 
+HOSTS = ("kamus.example",)
+
+
 def write(tmp_path, items):
     path = tmp_path / "catalog.json"
     path.write_text(json.dumps({"catalog_id": "c", "corpus_version": "1", "entries": items}))
@@ -44,18 +47,40 @@ BAD = [
 def test_catalog_reasons(spark, tmp_path):
     gone = {"transport_missing": "transport", "source_missing": "source_ref"}
     items = [{k: v for k, v in e.items() if k != gone.get(r)} for r, e in BAD]
-    found = catalogs.records(catalogs.entries(spark, write(tmp_path, items)))
+    found = catalogs.records(catalogs.entries(spark, write(tmp_path, items)), HOSTS)
     reasons = sorted((str(r.reason) for r in found.collect()))
     assert reasons == sorted(str(r) for r, _ in BAD)
 
 
+def observation(word, role="evidence", **source):
+    return {"role": role, "source_ref": entry(word, source=source)["source_ref"], "transport": entry(word)["transport"]}
+
+
+def test_hosts_and_observations_of_a_catalog(spark, tmp_path):
+    at = lambda host, word: {"url": f"https://{host}/entri/{word}"}
+    cases = [
+        ("unapproved_host", entry("a", source=at("other.example", "a"))), ("unapproved_host", entry("b", source={"url": "http://kamus.example/entri/b"})),
+        ("unofficial_host", entry("c", source=at("cermin.example", "c"))), (None, entry("d", source=at("cermin.example", "d") | {"source_kind": "fallback"})),
+        ("url_mismatch", entry("e", source=at("kamus.example", "f"))), (None, entry("Besar Sekali", source=at("kamus.example", "besar%20sekali"))),
+        ("observations_not_a_list", entry("g", observations={"0": observation("g")})), ("repeated_observation", entry("h", observations=[observation("h"), observation("h", "official", edition="V")])),
+        (None, entry("i", observations=[observation("i", "fallback"), observation("i", url="https://kamus.example/i/2"), observation("i", url="https://kamus.example/i/1", edition="V"), observation("i", url="https://kamus.example/i/1", source_kind="fallback")])),
+    ]
+    found = catalogs.records(catalogs.entries(spark, write(tmp_path, [e for _, e in cases])), HOSTS, ("cermin.example",))
+    reasons = {r.stable_key: r.reason for r in found.collect()}
+    assert reasons == {e["stable_key"].lower(): r for r, e in cases}
+    placed = catalogs.bindings(found.where("stable_key = 'i'")).orderBy("place").collect()
+    assert [(r.place, r.role, r.source.url[-3:], r.source.source_kind) for r in placed] == [
+        (0, "primary", "i/i", "official-live"), (1, "evidence", "i/1", "fallback"), (2, "evidence", "i/1", "official-live"), (3, "evidence", "i/2", "official-live"), (4, "fallback", "i/i", "official-live"),
+    ]
+
+
 def test_run_of_a_catalog(spark, tmp_path):
     words = [f"kata{i:03}" for i in range(8)]
     items = [entry(w) for w in words[:3]]
     items += [entry(words[3], transport={"status": 503}), entry(words[4], transport={"status": 404}), entry(words[5], transport={"content": page("lain")}, observations=[{"role": "evidence", "source_ref": entry(words[5])["source_ref"], "transport": entry(words[5])["transport"]}])]
     items += [entry(words[6], source={"source_kind": "fallback"}), entry("zzz", transport={"content": None, "base64": base64.b64encode(page("zzz").encode()).decode(), "expected_raw_hash": hashlib.sha256(page("zzz").encode()).hexdigest()})]
     items[-1]["transport"].pop("content")
-    results = workflows.run_catalog(spark, write(tmp_path, list(reversed(items))))
+    results = workflows.run_catalog(spark, write(tmp_path, list(reversed(items))), official=HOSTS)
     outcomes = {r.stable_key: r.outcome for r in results["outcomes"].collect()}
     assert outcomes == {words[0]: "accepted", words[1]: "accepted", words[2]: "accepted", words[3]: "retryable", words[4]: "quarantined", words[5]: "accepted", words[6]: "quarantined", "zzz": "accepted"}
     assert results["rejected"].count() == 0
