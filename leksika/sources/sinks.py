@@ -18,13 +18,13 @@ class Conflict(ValueError):
     """Rows to be created are there already, with other content."""
 
 
-def _path(spark: SparkSession, path: str):
+def path_of(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
+    p, fs = path_of(spark, path)
     return fs.exists(p)
 
 
@@ -106,7 +106,7 @@ LOCK_S = 3600
 @contextmanager
 def locked(spark: SparkSession, path: str, seconds: float = LOCK_S) -> Iterator[None]:
     """A lock file beside ``path`` that one writer can create; one that is older than ``seconds`` is taken over, and only the own one is removed."""
-    lock, fs = _path(spark, f"{path}.lock")
+    lock, fs = path_of(spark, f"{path}.lock")
     fs.mkdirs(lock.getParent())
     if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > seconds:
         fs.delete(lock, False)
@@ -122,11 +122,11 @@ def locked(spark: SparkSession, path: str, seconds: float = LOCK_S) -> Iterator[
 
 def take(spark: SparkSession, staging: str, path: str) -> None:
     """Rename a staged folder to ``path``, which must not be there: the one step that decides between writers."""
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, path)[0].toUri(), spark._jsc.hadoopConfiguration())
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path_of(spark, path)[0].toUri(), spark._jsc.hadoopConfiguration())
     none = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
     options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = none
-    qualified = lambda p: _path(spark, p)[1].makeQualified(_path(spark, p)[0])
+    qualified = lambda p: path_of(spark, p)[1].makeQualified(path_of(spark, p)[0])
     try:
         context.rename(qualified(staging), qualified(path), options)
     except Py4JJavaError as failed:
@@ -179,14 +179,14 @@ def publish(rows: DataFrame, path: str, order: list[str], fault: Callable[[str],
 
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a table."""
-    target, fs = _path(spark, path)
+    target, fs = path_of(spark, path)
     return fs.delete(target, True)
 
 
 def cleanup(spark: SparkSession, path: str) -> bool:
     """Remove what failed publications of a path left, where no writer is at work."""
-    lock, fs = _path(spark, f"{path}.lock")
+    lock, fs = path_of(spark, f"{path}.lock")
     if fs.exists(lock):
         return False
-    left = fs.globStatus(_path(spark, f"{path}.staging-*")[0]) or []
+    left = fs.globStatus(path_of(spark, f"{path}.staging-*")[0]) or []
     return any([fs.delete(s.getPath(), True) for s in left])

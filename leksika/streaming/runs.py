@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from leksika.session import shared_dir
+from leksika.sources.artifacts import write_text
+from leksika.sources.sinks import path_of
 
 LIFECYCLE = "user_id long, state string, attempts long, errors long"
 
@@ -30,6 +35,76 @@ def append_once(path: str) -> Callable[[DataFrame, int], None]:
     return commit
 
 
+class Blocked(ValueError):
+    """A run that may not go on: its input or rules have changed, or had before."""
+
+
+def run_fingerprint(**pins: object) -> str:
+    """The hash of what a run's results rest on: its input, rules and versions."""
+    return hashlib.sha256(json.dumps(pins, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def progressed(batch: DataFrame, number: int) -> DataFrame:
+    """A batch with the run's cursor (batches committed with it) and revision (2 for the first, one more for each)."""
+    return batch.withColumns({"cursor": F.lit(number + 1).cast("long"), "revision": F.lit(number + 2).cast("long")})
+
+
+def status_of(spark: SparkSession, root: str) -> dict | None:
+    """A run's fingerprint and status, null before it is created. The newest of its records, which are only ever added."""
+    folder, fs = path_of(spark, f"{root}/status")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    if not names:
+        return None
+    return json.loads(spark.read.text(f"{root}/status/{max(names)}", wholetext=True).first()[0])
+
+
+def _note(spark: SparkSession, root: str, number: int, fingerprint: str, status: str) -> dict:
+    record = {"number": number, "fingerprint": fingerprint, "status": status}
+    write_text(spark, f"{root}/status/{number:09d}.json", json.dumps(record))  # fails if another driver noted this number
+    return record
+
+
+def resume(source: DataFrame, commit: Callable[[DataFrame, int], None], root: str, fingerprint: str, limit: int | None = None) -> str:
+    """ST03, T14: run a stream to its end, or go on with a run that was interrupted; the status it ends in.
+
+    The fingerprint of the first call is kept beside the offsets in ``root``. A call with the same one goes on behind the
+    last batch committed, and does nothing to a run that is completed. A call with another one commits nothing: it
+    blocks an unfinished run for good and leaves a completed one as it is; both raise ``Blocked``. ``limit`` interrupts after
+    so many batches; a batch that fails interrupts too and raises its error.
+    """
+    spark = source.sparkSession
+    have = status_of(spark, root)
+    if have and have["status"] == "blocked":
+        raise Blocked("the run is blocked; a new run needs a new folder")
+    if have and have["fingerprint"] != fingerprint:
+        if have["status"] != "completed":
+            _note(spark, root, have["number"] + 1, have["fingerprint"], "blocked")
+        raise Blocked("input or rules differ from those of the run")
+    if have and have["status"] == "completed":
+        return "completed"
+    have = _note(spark, root, have["number"] + 1 if have else 0, fingerprint, "running")
+    done, full = 0, False
+
+    def counted(batch: DataFrame, number: int) -> None:
+        nonlocal done, full
+        if done == limit:
+            full = True
+            raise Blocked("limit")  # before anything is committed, so this batch is the first of the next call
+        commit(batch, number)
+        done += 1
+
+    status = "interrupted"
+    try:
+        incremental(source, counted, f"{root}/offsets").awaitTermination()
+        status = "completed"
+    except StreamingQueryException:
+        if not full:
+            raise
+    finally:
+        _note(spark, root, have["number"] + 1, fingerprint, status)
+    return status
+
+
 def tumbling(events: DataFrame, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts and sums for each window and kind of event; works on a stream and on a table."""
     rows = events.withWatermark("ts", late) if events.isStreaming else events
