@@ -89,3 +89,33 @@ def line_digest(records: DataFrame, *key: str, line: Column) -> DataFrame:
     by = [F.col(c).asc_nulls_first() for c in (*key, "__line")]
     folded = lines.repartitionByRange(*by).sortWithinPartitions(*by).select("__line").coalesce(1).mapInArrow(fold, "n long, digest string")
     return folded.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.coalesce(F.max("digest"), F.sha2(F.lit(""), 256)).alias("digest"))  # no task runs over no rows
+
+
+#: Rows of a key that one task walks at a time.
+STRETCH = 1 << 17
+
+
+def _over_stretches(rows: DataFrame, key: str, order: tuple[str, ...], name: str, within: Column, ending: Column, carried: Column, joined: Column, size: int) -> DataFrame:
+    """Two levels of a running value: in stretches of ranks, and from the ends of a key's earlier stretches (a row for each ``size`` rows)."""
+    placed = ranked(rows, key, *order).withColumn("__stretch", F.floor(F.col("rank") / size))
+    here = placed.withColumn("__here", within.over(Window.partitionBy(key, "__stretch").orderBy("rank")))
+    ends = placed.groupBy(F.col(key).alias("__key"), F.col("__stretch").alias("__at")).agg(ending.alias("__end"))
+    before = Window.partitionBy("__key").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = ends.select("__key", "__at", carried.over(before).alias("__carried"))
+    met = here.join(earlier, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__stretch") == F.col("__at")))
+    return met.select(*rows.columns, joined.alias(name))
+
+
+def last_known(rows: DataFrame, key: str, *order: str, value: Column, name: str, size: int = STRETCH) -> DataFrame:
+    """``rows`` with the last ``value`` that isn't null among those of their key up to them; null if there is none. A key of any size is many tasks' work.
+
+    Rows that are equal in all of ``order`` stand in any order; a null key is a key.
+    """
+    ending = F.max_by(value, F.when(value.isNotNull(), F.col("rank")))
+    return _over_stretches(rows, key, order, name, F.last(value, ignorenulls=True), ending, F.last("__end", ignorenulls=True), F.coalesce("__here", "__carried"), size)
+
+
+def running_sum(rows: DataFrame, key: str, *order: str, value: Column, name: str, size: int = STRETCH) -> DataFrame:
+    """``rows`` with the sum of ``value`` over those of their key up to them, nulls as 0, in the order of ``last_known``."""
+    summed = F.sum(F.coalesce(value, F.lit(0)))
+    return _over_stretches(rows, key, order, name, summed, summed, F.sum("__end"), F.col("__here") + F.coalesce("__carried", F.lit(0)), size)

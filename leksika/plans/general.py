@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from leksika.operators.ordered import last_known, running_sum
 from leksika.plans.registry import Registry
 from leksika.sources.tables import read
 
@@ -53,21 +54,23 @@ def q_join_full(spark, sf_dir):
 @query("""WITH s AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'signup'), p AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase')
 SELECT p.event_id AS event_id, s.event_id AS signup_id FROM p ASOF LEFT JOIN s ON p.user_id = s.user_id AND p.ts >= s.ts""")
 def q_join_asof(spark, sf_dir):
-    """Each purchase with the user's last signup before it: one window over the union of both, no pairs."""
-    events = read(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase"))
-    order = Window.partitionBy("user_id").orderBy("ts", F.when(F.col("event_type") == "signup", 0).otherwise(1), "event_id")
-    last = F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(order)
-    return events.withColumn("signup_id", last).where("event_type = 'purchase'").select("event_id", "signup_id")
+    """Each purchase with the user's last signup before it: one pass over the union of both in stretches, so that a hot user is many tasks; no pairs."""
+    events = read(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase")).withColumn("last", (F.col("event_type") != "signup").cast("int"))
+    signup = F.when(F.col("event_type") == "signup", F.col("event_id"))
+    return last_known(events.select("event_id", "user_id", "ts", "event_type", "last"), "user_id", "ts", "last", "event_id", value=signup, name="signup_id").where("event_type = 'purchase'").select("event_id", "signup_id")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'), p AS (SELECT event_id AS purchase_id, user_id, ts FROM events WHERE event_type = 'purchase')
 SELECT p.purchase_id AS purchase_id, count(*) AS errors FROM p JOIN e ON p.user_id = e.user_id AND e.ts BETWEEN p.ts - INTERVAL 6 HOURS AND p.ts GROUP BY 1""")
 def q_join_range(spark, sf_dir):
-    """Errors in the six hours before each purchase: a running count over the user's ordered events, no pairs."""
-    events = read(spark, sf_dir, "events").where(F.col("event_type").isin("error", "purchase")).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    span = Window.partitionBy("user_id").orderBy("us").rangeBetween(-6 * 3600 * 1_000_000, 0)
-    counted = events.withColumn("errors", F.count(F.when(F.col("event_type") == "error", 1)).over(span))
-    return counted.where("event_type = 'purchase' and errors > 0").select(F.col("event_id").alias("purchase_id"), "errors")
+    """Errors in the six hours before each purchase: the running count at its time less that before its span, in stretches; no pairs."""
+    events = read(spark, sf_dir, "events").where(F.col("event_type").isin("error", "purchase")).select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    # place 0: the beginning of a purchase's span, before the errors of its moment; 1: an error; 2: its end, behind them
+    purchases = events.where("event_type = 'purchase'")
+    marks = events.where("event_type = 'error'").withColumn("place", F.lit(1)).unionByName(purchases.withColumn("us", F.col("us") - 6 * 3600 * 1_000_000).withColumn("place", F.lit(0))).unionByName(purchases.withColumn("place", F.lit(2)))
+    counted = running_sum(marks, "user_id", "us", "place", "event_id", value=(F.col("place") == 1).cast("long"), name="seen").where("place <> 1")
+    spans = counted.groupBy(F.col("event_id").alias("purchase_id")).agg(F.sum(F.when(F.col("place") == 2, F.col("seen")).otherwise(-F.col("seen"))).alias("errors"))
+    return spans.where("errors > 0")
 
 
 def _sets(kind: str):
