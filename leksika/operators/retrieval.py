@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from leksika.functions.text import lookup_key, strip_space
 from leksika.functions.vectors import DISTANCES
 from leksika.session import written
+from leksika.sources.blocks import answered, first_places, write_blocks
 
 OFFICIAL = ("official-live", "official-snapshot")
 MOST = 50
@@ -93,8 +95,8 @@ def nearest(vectors: DataFrame, query: Column, k: int = 10, measure: str = "DOT_
     return scored.orderBy("distance", "vec_id").limit(cap(k))
 
 
-#: Queries and vectors of a block, each pair of which is one task.
-QUERY_BLOCK, VECTOR_BLOCK = 1024, 16384
+#: Queries of a task at most, vectors of a block, and queries that are held against a block at once.
+QUERY_BLOCK, VECTOR_BLOCK, STEP = 4096, 16384, 256
 
 
 def distances(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
@@ -108,11 +110,6 @@ def distances(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
     return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2 * products, 0.0))
 
 
-def group_of(n: int) -> Column:
-    """One of ``n`` groups for each row, about equally many rows in each, however rows lie in partitions."""
-    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
-
-
 def padded(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Vectors as rows of one width, zeros added, and their lengths."""
     array = vectors.combine_chunks()
@@ -139,38 +136,47 @@ def paired(q: np.ndarray, long_q: np.ndarray, x: np.ndarray, long_x: np.ndarray,
 def nearest_batch(queries: DataFrame, vectors: DataFrame, k: int = 3, measure: str = "DOT_PRODUCT", max_distance: float | None = None, others: bool = True) -> DataFrame:
     """J06 for any number of queries (query_id, query): each query's ``k`` nearest vectors (vec_id, embedding), its own id left out if ``others``.
 
-    Both sides are dealt into blocks of bounded size by row; each pair of blocks is one task, which returns its ``k`` of each query.
-    Of two lengths the shorter counts, as far as components are paired; norms are of whole vectors. Ties go by smaller
-    vec_id, in a block as in the end, so a vector with many copies is ``k`` rows of a block. Rows without an id or a vector
-    take no part.
+    Vectors are written once, in blocks of bounded size; queries are dealt to tasks, which go through the blocks and hold
+    the ``k`` of each query so far. Of two lengths the shorter counts, as far as components are paired; norms are of whole
+    vectors. Ties go by smaller vec_id, in a block as in the end, so a vector with many copies is ``k`` rows of a block.
+    Rows without an id or a vector take no part.
     """
     asked = queries.where("query_id is not null and query is not null").select("query_id", F.col("query").cast("array<double>").alias("v"))
     rows = vectors.where("vec_id is not null and embedding is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    qs, vs = (max(1, -(-df.count() // n)) for df, n in ((asked, QUERY_BLOCK), (rows, VECTOR_BLOCK)))
     out = T.StructType([T.StructField("query_id", asked.schema["query_id"].dataType), T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("distance", T.DoubleType())])
 
-    def dealt(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(mine, group_of(n)).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("qb", "vb")
+    def prepare(table: pa.Table) -> pa.Table:
+        return table.sort_by("vec_id")
 
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+    def near(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The first ``k`` of a block for each query."""
         ids, vec_ids = (t.column(c).combine_chunks() for t, c in ((left, "query_id"), (right, "vec_id")))
-        if not len(ids) or not len(vec_ids):
-            return pa.table({"query_id": ids[:0], "vec_id": vec_ids[:0], "distance": pa.array([], pa.float64())})
-        order = np.argsort(np.array(vec_ids), kind="stable")
-        vec_ids = vec_ids.take(pa.array(order))
         (q, long_q), (x, long_x) = padded(left.column("v")), padded(right.column("v"))
-        d = paired(q, long_q, x[order], long_x[order], measure)
+        d = paired(q, long_q, x, long_x, measure)
         if others:
             d[np.array(ids)[:, None] == np.array(vec_ids)[None, :]] = np.inf
         first = d < np.inf if max_distance is None else d <= max_distance
-        if len(order) > k:
+        if len(vec_ids) > k:
             last = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
             nearer, tied = d < last, d == last
             first &= nearer | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= k - nearer.sum(axis=1, keepdims=True)))
         i, j = np.nonzero(first)
         return pa.table({"query_id": ids.take(pa.array(i)), "vec_id": vec_ids.take(pa.array(j)), "distance": pa.array(d[i, j])})
 
-    met = dealt(asked, "qb", qs, "vb", vs).cogroup(dealt(rows, "vb", vs, "qb", qs)).applyInArrow(cell, out)
+    def answer(left: pa.Table, blocks: Iterator[pa.Table]) -> pa.Table:
+        held = None
+        for block in blocks:
+            for at in range(0, left.num_rows, STEP):
+                found = near(left.slice(at, STEP), block)
+                held = found if held is None else pa.concat_tables([held, found])
+            held = held.sort_by([("query_id", "ascending"), ("distance", "ascending"), ("vec_id", "ascending")]).combine_chunks()
+            of = held.column("query_id").combine_chunks().dictionary_encode().indices.to_numpy()
+            held = held.filter(pa.array(first_places(of) < k))
+        return held if held is not None else nothing
+
+    nothing = to_arrow_schema(out).empty_table()
+    blocks = write_blocks(rows, "vectors", VECTOR_BLOCK, prepare)
+    met = answered(asked, blocks, answer, out, QUERY_BLOCK)
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
 

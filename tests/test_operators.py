@@ -191,10 +191,10 @@ def test_nearest_batch_of_copies_and_lengths(spark):
 
 def test_blocks_are_dealt_evenly(spark):
     """Few rows in each of many partitions: groups are about as large as each other."""
-    from leksika.operators import retrieval
+    from leksika.sources.blocks import group_of
 
     rows = spark.range(4000).repartition(2000)
-    sizes = [r["count"] for r in rows.select(retrieval.group_of(4).alias("g")).groupBy("g").count().collect()]
+    sizes = [r["count"] for r in rows.select(group_of(4).alias("g")).groupBy("g").count().collect()]
     assert len(sizes) == 4 and min(sizes) > 850
 
 
