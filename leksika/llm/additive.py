@@ -22,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.common import among_least, materialise
-from leksika.llm.vectors import Distinct, against_all, best, matrix, usable, widen
+from leksika.llm.common import among_least, discard, materialise
+from leksika.llm.vectors import Best, Distinct, against_all, matrix, usable, widen
 
 #: Distinct vectors that codebooks are fitted on at most: those with the smallest hashes.
 SAMPLE = 8192
 BOOKS, WORDS, BEAM, ROUNDS = 16, 256, 4, 6
 #: Entries of a block of 16,384 that are reranked for each query.
 QUERIES_AT, K, RERANK = 20, 20, 256
+#: Queries that are scored against a block at once.
+STEP = 64
 
 
 def k_means(x: np.ndarray, words: int, rng: np.random.Generator) -> np.ndarray:
@@ -158,33 +160,36 @@ def search(queries: DataFrame, indexed: DataFrame, books: np.ndarray, k: int = K
     """query_id, rank, vec_id, score: the ``k`` largest inner products found for each query (id, vec)."""
     shared = queries.sparkSession.sparkContext.broadcast(books)
 
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        c = shared.value
-        m, words, dim = c.shape
-        q, x = matrix(left.column("vec")), unpacked(right.column("vec"))
-        width = max(q.shape[1], x.shape[1], dim)
-        q, x = widen(q, width), widen(x, width)
-        have = Distinct(right.column("id").to_numpy(), x, k + 1)
-        taken = have.order[have.first]
-        codes = np.frombuffer(b"".join(right.column("code").to_pylist()), np.uint8).reshape(-1, m)[taken].astype(np.int64)
-        scale = right.column("scale").to_numpy()[taken].astype(np.float32)
-        most = min(len(taken), max(rerank, k + 1))
-        ids = left.column("id").to_numpy()
-        pairs = []
-        for at in range(0, len(q), 64):
-            mine = q[at : at + 64]
-            tables = np.einsum("qd,mwd->mqw", mine[:, :dim].astype(np.float32), c, optimize=True)
-            scores = np.zeros((len(mine), len(taken)), np.float32)
-            for book in range(m):
-                scores += np.take(tables[book], codes[:, book], axis=1)
-            scores *= scale
-            near = np.argpartition(scores, len(taken) - most, axis=1)[:, len(taken) - most :]
-            exact = (mine[:, None, :] * have.rows[near]).sum(axis=2)
-            pairs.append((np.repeat(np.arange(at, at + len(mine)), most), near.ravel(), exact.ravel()))
-        a, b, s = (np.concatenate(p) for p in zip(*pairs, strict=True))
-        return best(ids, a, b, s, have, k)
-
-    return against_all(queries, indexed, cell, "double", k)
+    def prepare(table: pa.Table) -> pa.Table:
+        have, taken = Distinct.of(table.column("id").to_numpy(), unpacked(table.column("vec")), k + 1)
+        entries = table.select(["code", "scale"]).take(pa.array(taken)).combine_chunks()
+        made = have.table(np.float32)
+        return made.append_column("code", entries.column("code")).append_column("scale", entries.column("scale"))
+
+    def answer(left: pa.Table, blocks: Iterator[pa.Table]) -> Best:
+        c, held = shared.value, Best(k, np.float64)
+        m, _, dim = c.shape
+        asked, ids = matrix(left.column("vec")), left.column("id").to_numpy()
+        for block in blocks:
+            have = Distinct.read(block)
+            width = max(asked.shape[1], have.rows.shape[1], dim)
+            q, have.rows = widen(asked, width), widen(have.rows, width)
+            codes = np.frombuffer(b"".join(block.column("code").to_pylist()), np.uint8).reshape(-1, m).astype(np.int64)
+            scale = block.column("scale").to_numpy().astype(np.float32)
+            most = min(len(scale), max(rerank, k + 1))
+            for at in range(0, len(q), STEP):
+                mine = q[at : at + STEP]
+                tables = np.einsum("qd,mwd->mqw", mine[:, :dim].astype(np.float32), c, optimize=True)
+                scores = np.zeros((len(mine), len(scale)), np.float32)
+                for book in range(m):
+                    scores += np.take(tables[book], codes[:, book], axis=1)
+                scores *= scale
+                near = np.argpartition(scores, len(scale) - most, axis=1)[:, len(scale) - most :]
+                exact = (mine[:, None, :] * have.rows[near]).sum(axis=2)
+                held.add(ids[at : at + STEP], np.repeat(np.arange(len(mine)), most), near.ravel(), exact.ravel(), have)
+        return held
+
+    return against_all(queries, indexed, prepare, answer, "double", k)
 
 
 def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", every: int = QUERIES_AT) -> DataFrame:
@@ -194,4 +199,6 @@ def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str
     if books is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     indexed = materialise(index(rows, books), "index")
-    return search(rows.where(F.col("id") % every == 0), indexed, books, k)
+    found = search(rows.where(F.col("id") % every == 0), indexed, books, k)
+    discard(indexed)
+    return found

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leksika.llm.common import Words, materialise, pieces, remainder, sums_between, work_path
+from leksika.sources.blocks import Folder
 
 ORDER = 3
 #: Tokens that a task counts before it sends n-grams on; bytes of text for each bucket, which a task of some ten times
@@ -137,56 +138,6 @@ def classes(counts: np.ndarray) -> list[np.ndarray]:
     return [counts, counts == 1, counts == 2, counts >= 3]
 
 
-class Folder:
-    """Files in the shared folder: written whole, then renamed, so that a task that runs twice does no harm."""
-
-    def __init__(self, uri: str):
-        self.uri = uri
-
-    def local(self) -> str | None:
-        """The path, if the folder is one of the file system that workers share."""
-        scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", self.uri)
-        if scheme is None:
-            return self.uri
-        return re.sub("^file:(//)?", "", self.uri) if scheme[1] == "file" else None
-
-    def remote(self) -> tuple:
-        """File system and path of a store that can't be mapped."""
-        import pyarrow.fs as pafs  # large, and of no use on a mounted folder
-
-        return pafs.FileSystem.from_uri(re.sub(r"^([A-Za-z0-9+.-]+):/(?!/)", r"\1:///", self.uri))
-
-    def write(self, name: str, data: list[np.ndarray]) -> None:
-        path = self.local()
-        if path is not None:
-            os.makedirs(path, exist_ok=True)
-            part = f"{path}/.{name}-{uuid.uuid4().hex}"
-            with open(part, "wb") as out:
-                for a in data:
-                    out.write(np.ascontiguousarray(a).data)
-            os.replace(part, f"{path}/{name}")
-            return
-        fs, path = self.remote()
-        fs.create_dir(path, recursive=True)
-        part = f"{path}/.{name}-{uuid.uuid4().hex}"
-        with fs.open_output_stream(part) as out:
-            for a in data:
-                out.write(np.ascontiguousarray(a).tobytes())
-        fs.move(part, f"{path}/{name}")
-
-    def map(self, name: str) -> np.ndarray:
-        """The file's bytes, mapped where the store can be; none if it was never written."""
-        path = self.local()
-        if path is not None:
-            name = f"{path}/{name}"
-            return np.memmap(name, np.uint8, "r") if os.path.exists(name) and os.path.getsize(name) else np.empty(0, np.uint8)
-        fs, path = self.remote()
-        if not fs.get_file_info(f"{path}/{name}").is_file:
-            return np.empty(0, np.uint8)
-        with fs.open_input_stream(f"{path}/{name}") as held:
-            return np.frombuffer(held.read(), np.uint8)
-
-
 def write_table(folder: Folder, name: str, bucket: int, keys: np.ndarray, values: list[np.ndarray]) -> None:
     """Sorted keys with their values, in three parts: the usual values, values of a byte, values of 64 bits."""
     rows = np.stack([v.astype(np.int64) for v in values], axis=1)

@@ -15,12 +15,14 @@ scores beyond 64 bits stop at the limits; an empty table gives an empty result;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leksika.llm.vectors import Distinct, against_all, best, matrix, usable, widen
+from leksika.llm.vectors import Best, Distinct, against_all, matrix, usable, widen
 
 SCALE, QUERIES_AT, K = 256.0, 50, 5
 SEGMENTS = (1, 4, 16)
@@ -54,24 +56,27 @@ def whole_products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -
     return out
 
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Pairs (query, distinct row, score) that hold each query's ``k`` best besides its own id, and how many pairs were multiplied."""
-    found = [search_group(query_ids[at : at + STEP], q[at : at + STEP], have, k) for at in range(0, len(q), STEP)]
-    pairs = [(i + STEP * n, j, s) for n, (i, j, s, _) in enumerate(found)]
-    i, j, s = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    return i, j, s, sum(products for *_, products in found)
+def search_block(query_ids: np.ndarray, q: np.ndarray, have: Distinct, held: Best) -> int:
+    """Add to ``held`` the pairs of a block that can be among each query's best, and return how many pairs were multiplied."""
+    products = 0
+    for at in range(0, len(q), STEP):
+        mine = query_ids[at : at + STEP]
+        i, j, s, multiplied = search_group(mine, q[at : at + STEP], have, held.k, held.reach(mine))
+        held.add(mine, i, j, s, have)
+        products += multiplied
+    return products
 
 
-def search_group(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def search_group(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Pairs (query, distinct row, score) that hold each query's ``k`` best of a block besides its own id, as far as they reach its ``floor``."""
     x = have.rows
     n, rows = len(q), len(x)
     with np.errstate(over="ignore", invalid="ignore"):
         q_square, x_square = (q * q).sum(axis=1), (x * x).sum(axis=1)
         slack = 1e-6 + 1e-9 * (q_square[:, None] + x_square[None, :])
     alive, done = np.ones((n, rows), bool), np.zeros((n, rows), bool)
-    reach = np.full(n, -np.inf)  # the k-th best of others so far
-    kept = [np.empty(0, np.int64)] * 3
-    products = 0
+    reach = floor.copy()  # the k-th best of others so far
+    kept, products = [np.empty(0, np.int64)] * 3, 0
 
     def multiply(i: np.ndarray, j: np.ndarray) -> None:
         """Multiply pairs, keep each query's best and raise its reach."""
@@ -86,7 +91,7 @@ def search_group(query_ids: np.ndarray, q: np.ndarray, have: Distinct, k: int) -
         other = have.least[kept[1]] != query_ids[kept[0]]
         mine, values = kept[0][other], kept[2][other]
         place = np.arange(len(mine)) - np.searchsorted(mine, mine)
-        reach[mine[place == k - 1]] = values[place == k - 1]
+        reach[mine[place == k - 1]] = np.maximum(reach[mine[place == k - 1]], values[place == k - 1])
 
     for segments in (s for s in SEGMENTS if s < x.shape[1]):
         with np.errstate(over="ignore", invalid="ignore"):
@@ -147,18 +152,23 @@ def whole_rows(table: pa.Table, scale: float) -> np.ndarray:
 def top_k(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, scale: float = SCALE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` largest inner products of floor(scale * component)."""
 
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        q, x = (whole_rows(t, scale) for t in (left, right))
-        width = max(q.shape[1], x.shape[1])
-        q, x = widen(q, width), widen(x, width)
-        have = Distinct(right.column("id").to_numpy(), x, k + 1)
-        asked = np.array(sorted({(i, v.tobytes()): k for k, (i, v) in enumerate(zip(left.column("id").to_pylist(), q, strict=True))}.values()))
-        query_ids = left.column("id").to_numpy()[asked]
-        return best(query_ids, *search_block(query_ids, q[asked], have, k)[:3], have, k)
+    def prepare(table: pa.Table) -> pa.Table:
+        return Distinct.of(table.column("id").to_numpy(), whole_rows(table, scale), k + 1)[0].table(np.int16)
+
+    def answer(left: pa.Table, blocks: Iterator[pa.Table]) -> Best:
+        q, held = whole_rows(left, scale), Best(k, np.int64)
+        asked = np.array(sorted({(i, v.tobytes()): n for n, (i, v) in enumerate(zip(left.column("id").to_pylist(), q, strict=True))}.values()))
+        query_ids, q = left.column("id").to_numpy()[asked], q[asked]
+        for block in blocks:
+            have = Distinct.read(block)
+            width = max(q.shape[1], have.rows.shape[1])
+            have.rows = widen(have.rows, width)
+            search_block(query_ids, widen(q, width), have, held)
+        return held
 
     candidates = usable(vectors, id_col, vec_col)
     asked = usable(queries if queries is not None else vectors.where(F.col(id_col) % QUERIES_AT == 0), id_col, vec_col)
-    return against_all(floors(asked, scale), floors(candidates, scale), cell, "long", k)
+    return against_all(floors(asked, scale), floors(candidates, scale), prepare, answer, "long", k)
 
 
 SQL = f"""

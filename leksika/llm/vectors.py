@@ -1,25 +1,27 @@
 """Stated query vectors against all vectors, in blocks: what exact and approximate search share.
 
-Queries and candidates are dealt into groups of bounded size by row position, whatever their ids, so no
-id or repeated vector makes a large group; each pair of groups is one task, which returns each query's
-best few. A vector that a group holds many times is scored once and stands for its smallest ids.
+Candidates are dealt into blocks of bounded size by row position, whatever their ids, so no id or repeated
+vector makes a large group, and written once to the shared folder. Queries are dealt to tasks, which map one
+block after another and hold each query's best few so far; the worst of these is what later blocks must reach.
+A vector that a block holds many times is scored once and stands for its smallest ids. What moves grows with
+the queries, and not with the product of both sides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leksika.llm.common import dealt as even
+from leksika.sources.blocks import answered, first_places, write_blocks
 
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
+#: Queries of a task at most, and rows of a block.
+QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 16384
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, zero: bool = True) -> DataFrame:
@@ -50,71 +52,76 @@ def widen(a: np.ndarray, width: int) -> np.ndarray:
 class Distinct:
     """The distinct rows of a block, by their smallest id, with up to ``keep`` smallest ids of each."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, keep: int):
+    def __init__(self, rows: np.ndarray, at: np.ndarray, ids: np.ndarray):
+        self.rows, self.at, self.ids = rows, at, ids
+        self.least = ids[at[:-1]]
+
+    @classmethod
+    def of(cls, ids: np.ndarray, rows: np.ndarray, keep: int) -> tuple[Distinct, np.ndarray]:
+        """And for each distinct row a row of ``rows`` that is equal to it."""
         order = np.argsort(ids, kind="stable")
         ids, rows = ids[order], np.ascontiguousarray(rows[order]) + 0.0  # -0.0 and 0.0 are one
         keys = rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel() if rows.shape[1] else np.zeros(len(rows), np.int8)
         _, first, of = np.unique(keys, return_index=True, return_inverse=True)
-        rank = np.argsort(np.argsort(first))
-        of = rank[of]
-        self.first = np.sort(first)
-        self.rows = rows[self.first]
+        of = np.argsort(np.argsort(first))[of]
+        first = np.sort(first)
         pairs = np.unique(np.stack((of, ids), axis=1), axis=0)
-        starts = np.searchsorted(pairs[:, 0], np.arange(len(self.first) + 1))
-        self.least = pairs[starts[:-1], 1]
-        place = np.arange(len(pairs)) - starts[pairs[:, 0]]
-        pairs = pairs[place < keep]
-        self.at = np.searchsorted(pairs[:, 0], np.arange(len(self.first) + 1))
-        self.ids = pairs[:, 1]
-        self.order = order
-
-
-def best(query_ids: np.ndarray, queries: np.ndarray, found: np.ndarray, scores: np.ndarray, have: Distinct, k: int) -> pa.Table:
-    """query_id, vec_id, score: the first ``k`` of each query id, by score and then smaller id, without its own.
-
-    ``queries``, ``found``, ``scores``: pairs of a query and a distinct row, by number.
-    """
-    copies = have.at[found + 1] - have.at[found]
-    q = query_ids[np.repeat(queries, copies)]
-    ids = have.ids[np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies) + np.repeat(have.at[found], copies)]
-    s = np.repeat(scores, copies)
-    other = q != ids
-    q, ids, s = q[other], ids[other], s[other]
-    order = np.lexsort((ids, negative(s), q))
-    q, ids, s = q[order], ids[order], s[order]
-    # An id that stands in the list twice, by repeated rows, counts once, with its best score.
-    again = np.lexsort((negative(s), ids, q))
-    twice = np.zeros(len(q), bool)
-    twice[again[1:]] = (q[again[1:]] == q[again[:-1]]) & (ids[again[1:]] == ids[again[:-1]])
-    q, ids, s = q[~twice], ids[~twice], s[~twice]
-    place = np.arange(len(q)) - np.searchsorted(q, q)
-    top = place < k
-    return pa.table({"query_id": pa.array(q[top], pa.int64()), "vec_id": pa.array(ids[top], pa.int64()), "score": pa.array(s[top].tolist() if s.dtype == object else s[top])})
-
-
-def negative(s: np.ndarray) -> np.ndarray:
-    return np.array([-x for x in s.tolist()], dtype=np.float64) if s.dtype == object else -s
-
-
-def in_blocks(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """What ``cell`` makes of each block of queries (id and others) and each block of candidates (id and others)."""
-    n_queries, n_candidates = queries.count(), candidates.count()
-    qs, cs = max(1, -(-n_queries // QUERY_BLOCK)), max(1, -(-n_candidates // CANDIDATE_BLOCK))
-    fields = T._parse_datatype_string(schema)
-
-    def dealt(df: DataFrame, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
-        group = even(n_mine) if n_mine > 1 else F.lit(0).cast("long")
-        return df.withColumn(mine, group).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))))
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            kinds = {"long": pa.int64(), "bigint": pa.int64(), "double": pa.float64()}
-            return pa.table({f.name: pa.array([], kinds[f.dataType.simpleString()]) for f in fields})
-        return cell(left, right)
-
-    left = dealt(queries, "qg", qs, "cg", cs).groupBy("qg", "cg")
-    right = dealt(candidates, "cg", cs, "qg", qs).groupBy("qg", "cg")
-    return left.cogroup(right).applyInArrow(run, schema)
+        pairs = pairs[first_places(pairs[:, 0]) < keep]
+        return cls(rows[first], np.searchsorted(pairs[:, 0], np.arange(len(first) + 1)), pairs[:, 1]), order[first]
+
+    @classmethod
+    def read(cls, block: pa.Table) -> Distinct:
+        """From a block's ``row`` and ``ids``."""
+        ids, row = (block.column(c).combine_chunks() for c in ("ids", "row"))
+        rows = row.flatten().to_numpy(zero_copy_only=False).reshape(len(row), -1)
+        return cls(rows.astype(np.float64), np.array(ids.offsets).astype(np.int64), ids.values.to_numpy(zero_copy_only=False))
+
+    def table(self, narrow: type) -> pa.Table:
+        """``row`` and ``ids`` of a block; rows as ``narrow`` numbers where these hold them."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            small = self.rows.astype(narrow)
+        flat = (small if (small == self.rows).all() else self.rows).ravel()
+        ids = pa.ListArray.from_arrays(pa.array(self.at, pa.int32()), pa.array(self.ids, pa.int64()))
+        return pa.table({"row": pa.FixedSizeListArray.from_arrays(pa.array(flat), max(1, self.rows.shape[1])), "ids": ids})
+
+
+SCORED = ("query_id", "vec_id", "score")
+
+
+class Best:
+    """Each query id's ``k`` best so far: by score and then smaller id, without its own, each id once."""
+
+    def __init__(self, k: int, kind: type):
+        self.k, self.q, self.ids, self.s = k, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, kind)
+
+    def add(self, query_ids: np.ndarray, queries: np.ndarray, found: np.ndarray, scores: np.ndarray, have: Distinct) -> None:
+        """``queries``, ``found``, ``scores``: pairs of a query and a distinct row of a block, by number."""
+        copies = have.at[found + 1] - have.at[found]
+        q = query_ids[np.repeat(queries, copies)]
+        ids = have.ids[np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies) + np.repeat(have.at[found], copies)]
+        other = q != ids
+        q, ids = np.concatenate((self.q, q[other])), np.concatenate((self.ids, ids[other]))
+        s = np.concatenate((self.s, np.repeat(scores, copies)[other].astype(self.s.dtype)))
+        # An id that stands there twice, by repeated rows, counts once, with its best score. (~x orders whole numbers as -x, without its overflow.)
+        falling = ~s if s.dtype.kind == "i" else -s
+        order = np.lexsort((falling, ids, q))
+        q, ids, s, falling = q[order], ids[order], s[order], falling[order]
+        once = np.append(True, (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])) if len(q) else np.empty(0, bool)
+        q, ids, s, falling = q[once], ids[once], s[once], falling[once]
+        order = np.lexsort((ids, falling, q))
+        top = order[first_places(q[order]) < self.k]
+        self.q, self.ids, self.s = q[top], ids[top], s[top]
+
+    def reach(self, query_ids: np.ndarray) -> np.ndarray:
+        """The k-th best score of each query id so far, minus infinity where there are fewer."""
+        last = np.flatnonzero(first_places(self.q) == self.k - 1)
+        if not len(last):
+            return np.full(len(query_ids), -np.inf)
+        at = np.minimum(np.searchsorted(self.q[last], query_ids), len(last) - 1)
+        return np.where(self.q[last][at] == query_ids, self.s[last][at].astype(np.float64), -np.inf)
+
+    def table(self) -> pa.Table:
+        return pa.table(dict(zip(SCORED, (self.q, self.ids, self.s), strict=True)))
 
 
 def ranked(scored: DataFrame, k: int) -> DataFrame:
@@ -124,6 +131,11 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def against_all(queries: DataFrame, candidates: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], score_type: str, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: ``cell`` answers a block of queries against a block of candidates."""
-    return ranked(in_blocks(queries, candidates, cell, f"query_id long, vec_id long, score {score_type}"), k)
+def against_all(queries: DataFrame, candidates: DataFrame, prepare: Callable[[pa.Table], pa.Table], answer: Callable[[pa.Table, Iterator[pa.Table]], Best], score_type: str, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: ``answer`` holds a group of queries against what ``prepare`` made of each block of candidates."""
+    blocks = write_blocks(candidates, "vectors", CANDIDATE_BLOCK, prepare)
+
+    def run(left: pa.Table, met: Iterator[pa.Table]) -> pa.Table:
+        return answer(left, met).table()
+
+    return ranked(answered(queries, blocks, run, f"query_id long, vec_id long, score {score_type}", QUERY_BLOCK), k)

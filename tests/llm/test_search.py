@@ -10,7 +10,7 @@ import pytest
 
 from leksika.llm import additive, topk
 from leksika.llm.common import table
-from leksika.llm.vectors import Distinct, best
+from leksika.llm.vectors import Best, Distinct
 
 
 def brute(rows, every, k, score):
@@ -94,10 +94,9 @@ def test_bounds_save_products(monkeypatch, dense):
     centres = rng.normal(size=(64, 64))
     x = np.floor(256 * (centres[rng.integers(0, 64, 6000)] + 0.15 * rng.normal(size=(6000, 64))))
     q, ids = x[::50], np.arange(0, 6000, 50)
-    have = Distinct(np.arange(6000), x, 6)
-    i, j, s, products = topk.search_block(ids, q, have, 5)
-    assert products < 0.2 * len(q) * len(x)
-    found = best(ids, i, j, s, have, 5)
+    have, held = Distinct.of(np.arange(6000), x, 6)[0], Best(5, np.int64)
+    assert topk.search_block(ids, q, have, held) < 0.2 * len(q) * len(x)
+    found = held.table()
     exact = q @ x.T
     exact[np.arange(len(q)), ids] = -np.inf
     for n, query in enumerate(ids):
