@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leksika.functions.hashing import pseudo_vector
 from leksika.operators import retrieval as R
 from leksika.plans.registry import Registry
+from leksika.session import written
 from leksika.sources import tables as T
 
 query = Registry()
@@ -21,6 +22,11 @@ def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read(spark, sf_dir, "benchmark").select(F.lower(F.regexp_extract("text", r"^(\S+)", 1)).alias("query")).distinct()
 
 
+def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lookups read of the entries, derived from the whole texts once for all tiers and read back by column."""
+    return written(T.entries(spark, sf_dir).select("doc_id", "id", "lema", "lema_lc", "source_kind", "status"), "entries")
+
+
 @query(f"""WITH {T.ENTRIES_SQL}
 SELECT id, lema, source_kind AS kind, edition, sha256(definisi) AS content_hash FROM entries
 WHERE starts_with(lema_lc, 'th') AND {OFFICIAL} ORDER BY lema_lc, id LIMIT 20""")
@@ -82,7 +88,7 @@ SELECT query, id, lema, 'exact' AS tier FROM exact UNION ALL SELECT query, id, l
 def q_cascade(spark, sf_dir):
     """All three tiers; ids of the test vectors are those of documents."""
     vectors = T.vectors(spark, sf_dir).select("vec_id", F.concat(F.col("vec_id").cast("string"), F.lit("_r1")).alias("doc_id"), F.lit("").alias("lema"), "embedding")
-    return R.cascade(asked(spark, sf_dir), T.entries(spark, sf_dir), 20, vectors, lambda text: pseudo_vector(text, 64), 0.1)
+    return R.cascade(asked(spark, sf_dir), narrow(spark, sf_dir), 20, vectors, lambda text: pseudo_vector(text, 64), 0.1)
 
 
 @query(f"""WITH {T.ENTRIES_SQL}, {LATEST}, hits AS (SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN lema ELSE 'no such word' END AS word, CASE WHEN vec_id % 3 = 1 THEN CAST(vec_id AS VARCHAR) END AS before FROM embeddings JOIN entries ON vec_id = doc_id)
