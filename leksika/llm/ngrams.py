@@ -26,9 +26,6 @@ read.
 
 from __future__ import annotations
 
-import os
-import re
-import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 
