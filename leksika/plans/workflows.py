@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leksika.functions.hashing import canonical_json, lexical_hash, sha256
 from leksika.operators import checkpoint, ordered, parsing, projections, releases, validation
+from leksika.session import written
 from leksika.sources import artifacts, catalogs, tables
 
 
@@ -18,7 +19,7 @@ def import_snapshots(snapshots: DataFrame, source_kind: str) -> tuple[DataFrame,
         F.lit("0.1.0").alias("parser_version"), F.lit("0.1.0").alias("source_parser_version"),
     )
     failure = F.coalesce(F.when(F.col("error").isNotNull(), F.concat(F.lit("parse: "), F.col("error"))), validation.entry_failure())
-    return validation.split_valid(rows, failure)
+    return validation.split_valid(written(rows.withColumn("reason", failure), "imported"), F.col("reason"))
 
 
 def run_catalog(spark: SparkSession, path: str, limit: int = 100, official: tuple[str, ...] = catalogs.OFFICIAL_HOSTS) -> dict[str, DataFrame]:
