@@ -11,6 +11,7 @@ from leksika.operators import checkpoint, drivers, parsing, releases, replays, r
 from leksika.operators import retrieval as R
 from leksika.plans import workflows
 from leksika.plans.registry import Registry
+from leksika.session import written
 from leksika.sources import tables as T
 from leksika.streaming import runs
 
@@ -74,7 +75,7 @@ def q_parse(spark, sf_dir):
 @query(f"""WITH {WORDS_SQL} SELECT CASE WHEN doc_id % 9 = 0 THEN 'raw_hash_mismatch' WHEN doc_id % 5 = 0 THEN 'not_stored' WHEN doc_id % 7 = 0 THEN 'entry_mismatch' ELSE 'same' END AS reason, count(*) AS n FROM words GROUP BY 1""")
 def q_replay(spark, sf_dir):
     """Snapshots parsed again, some of them or of the stored entries changed since."""
-    raw = snapshots(spark, sf_dir)
+    raw = written(snapshots(spark, sf_dir), "snapshots")
     stored = parsing.parse(raw.where("doc_id % 5 <> 0").select("raw_snapshot_id", "content", "url"))
     stored = stored.withColumn("lema", F.when(F.col("raw_snapshot_id").cast("long") % 7 == 0, "other").otherwise(F.col("lema")))
     changed = raw.withColumn("raw_sha256", F.when(F.col("doc_id") % 9 == 0, F.sha2(F.lit("other"), 256)).otherwise(F.upper("raw_sha256")))
