@@ -88,14 +88,16 @@ def dealt(n: int) -> Column:
 HOT = 1000
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+def spread_join(rows: DataFrame, table: DataFrame, key: str, value: str, counted: DataFrame | None = None) -> DataFrame:
     """``rows`` with the ``value`` of ``table``, which has each ``key`` once; null where it hasn't.
 
     Keys of more than one in ``HOT`` rows, of which there are fewer than ``HOT``, are met by broadcast; the rows of
-    these, and those without a key, are dealt to all tasks of the join of the others.
+    these, and those without a key, are dealt to all tasks of the join of the others. ``counted``: what keys are counted in,
+    if that is cheaper to come by than ``rows``, which are some of it.
     """
-    counts = rows.groupBy(key).count()
-    many = rows.count() // HOT
+    counted = rows if counted is None else counted
+    counts = counted.groupBy(key).count()
+    many = counted.count() // HOT
     hot = materialise(table.select(key, value).join(F.broadcast(counts.where((F.col("count") > many) & F.col(key).isNotNull()).select(key)), key), "hot")
     met = rows.join(F.broadcast(hot.withColumnRenamed(value, "__hot").withColumn("__is", F.lit(True))), key, "left")
     alone = F.col(key).isNotNull() & F.col("__is").isNull()

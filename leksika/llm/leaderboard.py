@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from leksika.llm.common import table, work_path
+from leksika.llm.common import spread_join, table, work_path
 
 #: Items on a board; days that a line may be older than the newest day of all earlier batches.
 SIZE, LATE = 10, 3
@@ -54,8 +54,9 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store, however small, takes 4 MB of disk
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a start has one batch, so that no store is asked again; else an executor has all of its stores open
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
@@ -299,14 +300,15 @@ def hashed(lines: DataFrame) -> DataFrame:
 def priced(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataFrame:
     """owner, item_id, day, cents, line_day, batch of the lines whose vendor has a nation and whose item is known.
 
-    Vendors and items grow with the lines and have no bound, so they are never broadcast; Spark splits what one of them
-    has too much of (``skewJoin``).
+    Vendors and items grow with the lines and have no bound, so they are not broadcast but for those with more than one in
+    ``HOT`` lines, whose lines are dealt to all tasks (``spread_join``).
     """
     cents = lambda c: F.floor(100 * F.col(c) + F.lit(0.5))
     owners = vendors.where("vendor_id is not null and nation_id is not null").groupBy("vendor_id").agg(F.min("nation_id").cast("int").alias("owner"))
-    prices = items.where("item_id is not null").groupBy("item_id").agg(F.max("price").alias("price"))
+    prices = items.where("item_id is not null").groupBy("item_id").agg(F.struct(F.max("price").alias("price")).alias("of"))
     own = lines.select("vendor_id", "item_id", "day", "line_day", "batch", cents("amount").alias("own"), F.when(F.col("amount").isNull(), F.col("quantity")).alias("quantity"), F.when(F.col("flag") == "swapped", -1).otherwise(1).alias("sign"))
-    met = own.join(owners.hint("merge"), "vendor_id").drop("vendor_id").join(prices.hint("merge"), "item_id")
+    owned = spread_join(own, owners.hint("merge"), "vendor_id", "owner", lines).where("owner is not null").drop("vendor_id")
+    met = spread_join(owned, prices.hint("merge"), "item_id", "of", lines).where("of is not null").select("*", F.col("of.price").alias("price"))
     return met.select("owner", "item_id", "day", (F.col("sign") * F.coalesce("own", F.col("quantity") * cents("price"), F.lit(0))).cast("long").alias("cents"), "line_day", "batch")
 
 
