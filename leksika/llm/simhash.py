@@ -99,7 +99,12 @@ def stars(fps: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = 1024) -> DataFrame:
     """u, v: star edges that connect the distinct fingerprints ``fp`` exactly as their close pairs do."""
-    masks = block_masks()
+    bands = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(block_masks())]))
+    return links_within(classes.select("fp", bands.alias("b")).select("b.band", "b.key", "fp"), max_bits, block)
+
+
+def links_within(spread: DataFrame, max_bits: int, block: int = 1024) -> DataFrame:
+    """u, v: star edges that connect the fingerprints ``fp`` of each bucket (band, key) as their close pairs do."""
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by band and key. Small buckets are settled here; of larger ones the rows go on in blocks."""
@@ -166,9 +171,8 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = 1024) -> Da
             u, v = stars(fps, near)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    bands = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]))
-    spread = classes.select("fp", bands.alias("b")).select("b.band", "b.key", "fp").repartition("band", "key").sortWithinPartitions("band", "key", "fp")
-    swept = materialise(spread.mapInArrow(sweep, "u long, v long, band int, key long, part int"), "buckets")
+    dealt = spread.repartition("band", "key").sortWithinPartitions("band", "key", "fp")
+    swept = materialise(dealt.mapInArrow(sweep, "u long, v long, band int, key long, part int"), "buckets")
     found = swept.where("band < 0").select("u", "v")
     large = swept.where("band >= 0").select("band", "key", "part", F.col("u").alias("fp"))
     parts = large.groupBy("band", "key").agg((F.max("part") + 1).alias("n"))

@@ -1,16 +1,20 @@
 """SimHash near-duplicates by similarity: texts whose sets of five-word shingles have a similarity of 0.8 or more.
 
-Three differing bits of 64 tell texts that are all but equal; for a stated similarity of shingle sets the
-method takes three steps, and its result is that of all pairs.
-
-Pigeonhole blocks: two sets of similarity s share at least s times the shingles of either, so they share one
-of the first ``n - ceil(s * n) + 1`` of the n shingles of each, in any one order of all shingles. Each of these
-is a block. Shingles that are frequent in a sample of texts come last in the order, so a common line makes
-no block of the texts that have others; the sample changes the work only, never the result.
-Fingerprints: 1,536 bits over the distinct shingles. Texts of a block that differ in more than the bits of
-similarity 0.5 (``distance_of(LOOSE)``; pairs of 0.8 differ in up to some 320, of five shingles or of hundreds)
-are no candidates. Candidates form loose classes.
-Verification: in each loose class the shingle sets themselves are compared.
+Three differing bits of 64 tell texts that are all but equal; a stated similarity of shingle sets reaches further.
+So what the fingerprints' blocks find is completed and verified, and the result is that of all pairs.
+
+Fingerprints: 1,536 bits over the distinct shingles.
+Pigeonhole blocks: 64 blocks of 24 bits, so fingerprints of up to 63 differing bits share a block, and most pairs of more
+do (nine of ten at a similarity of 0.85). Those that share one and whose first 64 bits are close (``MOST_FIRST``) go on,
+if all bits are as close as ``distance_of(LOOSE)`` says, that is a similarity of 0.5; pairs of 0.8 differ in up to some
+320, of five shingles or of hundreds. They form near classes. Beyond 2^24 texts blocks are wider and fewer, so that
+chance brings a text no more than some 64 others.
+What these blocks leave: two sets of similarity s share at least s times the shingles of either, so they share one of
+the first ``n - ceil(s * n) + 1`` of the n shingles of each, in any one order of all shingles. Texts that share one of
+these and are of several near classes are compared, in all bits. Shingles that are frequent in a sample of texts come
+last in the order, so a common line brings no texts together that have others; the sample changes the work only,
+never the result.
+Verification: all candidates form loose classes; in each of them the shingle sets themselves are compared.
 
 Blocks of equal keys and loose classes are compared in pieces of bounded size, and each piece reports a star
 for each class that links connect. In a piece the texts close to the one nearest to the bitwise majority are one
@@ -32,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leksika.llm import simhash
 from leksika.llm.common import among_least, as_bytes, discard, materialise, pieces
 from leksika.llm.ngrams import mixed, starts_of
 from leksika.llm.simhash import connect, one_of_each, texts_of, with_components
@@ -50,7 +55,9 @@ ORDER_TEXTS, ORDER_SHINGLES, FREQUENT = 16384, 1 << 16, 8
 
 _rng = np.random.default_rng(1)
 MULTIPLIERS = _rng.integers(1 << 62, 1 << 63, LIMBS, np.uint64) * np.uint64(2) + np.uint64(1)
-#: Blocks of bits, as tests estimate with; the stage blocks by shingles.
+#: Differing bits of the first 64 up to which texts of a block go on: a mean of 9.7 and two deviations at a similarity of 0.8.
+MOST_FIRST = 16
+#: Random picks of bits, as tests estimate with; the stage's blocks are those of ``block_keys``.
 PLACES = np.stack([_rng.choice(SIZE, BITS, replace=False) for _ in range(BANDS)])
 POWERS = 1 << np.arange(BITS)
 
@@ -183,8 +190,46 @@ def similar_within(ids: np.ndarray, fps: np.ndarray, sets: list[np.ndarray], sim
     return ids[root != ids], root[root != ids]
 
 
-def links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """u, v: star edges over the ids of ``classes`` (id, fp, firsts) that connect all pairs of that similarity, and looser ones."""
+def block_keys(fps: np.ndarray, width: int = BITS) -> np.ndarray:
+    """Of each row of limbs, the blocks of ``width`` bits that lie side by side, as numbers; what is left over at the end goes to none."""
+    count = SIZE // width
+    bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")[:, : count * width]
+    return bits.reshape(-1, count, width) @ (1 << np.arange(width))
+
+
+def near_classes(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """id, near: the smallest id of the class that blocks of fingerprint bits connect, for the other ids of such classes.
+
+    ``classes``: id, bits (the first 64 of the fingerprint), fp.
+    """
+    most = distance_of(min(LOOSE, similarity))
+    width = max(BITS, classes.count().bit_length())
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                keys = block_keys(limbs(part.column("fp")), width)
+                bands = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
+                firsts = np.repeat(part.column("bits").to_numpy(zero_copy_only=False), keys.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(keys.ravel()), pa.array(firsts)], ["band", "key", "fp"])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = np.bitwise_count(limbs(batch.column("a")) ^ limbs(batch.column("b"))).sum(axis=1, dtype=np.int64)
+            yield batch.select(["u", "v"]).filter(pa.array(differ <= most))
+
+    prints = classes.select("bits", "fp")
+    met = simhash.links_within(prints.mapInArrow(spread, "band int, key long, fp long"), MOST_FIRST).where("u <> v").distinct()
+    one = prints.groupBy("bits").agg(F.min("fp").alias("fp"))
+    met = met.join(one.toDF("u", "a"), "u").join(one.toDF("v", "b"), "v").mapInArrow(close, "u long, v long")
+    least = classes.groupBy("bits").agg(F.min("id").alias("rep"))
+    found = with_components(classes.select("id", "bits"), least, connect(met, "close"), "bits")
+    return materialise(found.where("id <> component_id").select("id", F.col("component_id").alias("near")), "near")
+
+
+def links(classes: DataFrame, near: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """u, v: star edges over the ids of ``classes`` (id, fp, firsts) that connect, with those of ``near``, all pairs of that similarity, and looser ones."""
     most = distance_of(min(LOOSE, similarity))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,29 +237,30 @@ def links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 firsts = part.column("firsts").to_pylist()
-                ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), [len(x) // 8 for x in firsts])
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(firsts), "<i8")), pa.array(ids)], ["key", "id"])
+                ids, nears = (pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), [len(x) // 8 for x in firsts])) for c in ("id", "near"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(firsts), "<i8")), ids, nears], ["key", "id", "near"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows sorted by key, the sets of ids that share a key, each set once, told by a hash of its ids.
+        """Of rows sorted by key, the sets of ids of several near classes that share a key, each set once, told by a hash of its ids.
 
         Near copies share most of their keys, so most sets are met many times. A set beyond ``LONG`` ids goes on under its key.
         """
         seen: set[int] = set()
-        left_key, left_ids, long = 0, np.empty(0, np.int64), False
+        left_key, left_ids, left_near, long = 0, np.empty(0, np.int64), np.empty(0, np.int64), False
 
         def rows(sets: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(sets.view(np.int64)), pa.array(ids)], ["key", "id"])
 
-        def whole(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch | None:
+        def whole(key: np.ndarray, ids: np.ndarray, near: np.ndarray) -> pa.RecordBatch | None:
+            if not len(key):
+                return None
             starts = starts_of(key)
             sizes = np.diff(np.append(starts, len(key)))
             wide = ids.astype(np.uint64)
-            marks = np.add.reduceat(mixed(wide, wide), starts) if len(starts) else np.empty(0, np.uint64)
-            marks = mixed(marks, sizes.astype(np.uint64))
+            marks = mixed(np.add.reduceat(mixed(wide, wide), starts), sizes.astype(np.uint64))
             new = np.zeros(len(starts), bool)
             new[np.unique(marks, return_index=True)[1]] = True
-            new &= sizes > 1
+            new &= np.minimum.reduceat(near, starts) < np.maximum.reduceat(near, starts)
             for i in np.flatnonzero(new).tolist():
                 mark = int(marks[i])
                 if mark in seen:
@@ -229,25 +275,26 @@ def links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            key, ids = np.concatenate((np.full(len(left_ids), left_key, np.int64), key)), np.concatenate((left_ids, ids))
+            key, ids, near = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            key = np.concatenate((np.full(len(left_ids), left_key, np.int64), key))
+            ids, near = np.concatenate((left_ids, ids)), np.concatenate((left_near, near))
             if long:  # a set that is sent on piecemeal
                 same = int(np.searchsorted(key != left_key, True))
                 if same:
                     yield rows(np.full(same, left_key, np.int64), ids[:same])
-                key, ids = key[same:], ids[same:]
+                key, ids, near = key[same:], ids[same:], near[same:]
                 long = not len(key)
                 if long:
-                    left_ids = np.empty(0, np.int64)
+                    left_ids = left_near = np.empty(0, np.int64)
                     continue
             last = int(np.searchsorted(key, key[-1]))
-            if found := whole(key[:last], ids[:last]):
+            if found := whole(key[:last], ids[:last], near[:last]):
                 yield found
-            left_key, left_ids = int(key[-1]), ids[last:]
+            left_key, left_ids, left_near = int(key[-1]), ids[last:], near[last:]
             if len(left_ids) > LONG:
                 yield rows(np.full(len(left_ids), left_key, np.int64), left_ids)
-                left_ids, long = np.empty(0, np.int64), True
-        if len(left_ids) > 1 and (found := whole(np.full(len(left_ids), left_key, np.int64), left_ids)):
+                left_ids, left_near, long = np.empty(0, np.int64), np.empty(0, np.int64), True
+        if len(left_ids) > 1 and (found := whole(np.full(len(left_ids), left_key, np.int64), left_ids, left_near)):
             yield found
 
     def linked(ids: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +330,8 @@ def links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK
         u, v = classes_within(rows.column("id").to_numpy(), limbs(rows.column("fp")), most)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    spread = classes.select("id", "firsts").mapInArrow(keys, "key long, id long").repartition("key").sortWithinPartitions("key", "id")
+    placed = classes.select("id", "firsts").join(near, "id", "left").select("id", F.coalesce("near", "id").alias("near"), "firsts")
+    spread = placed.mapInArrow(keys, "key long, id long, near long").repartition("key").sortWithinPartitions("key", "id")
     met = materialise(spread.mapInArrow(shared, "key long, id long").distinct(), "met")
     fps = classes.select("id", "fp")
     # A set beyond ``block`` is dealt into parts, and each pair of parts is a task of its own.
@@ -364,14 +412,18 @@ def classified(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARI
             sets = [shingles_of(t, words) for t in as_bytes(part.column("text"))]
             ids = [xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
             fps = [majority(x) for x in sets]
+            bits = [int.from_bytes(x[:8], "little", signed=True) for x in fps]
             firsts = [first_shingles(x, similarity, *shared.value).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(ids, pa.int64()), pa.array(fps, pa.binary()), pa.array(firsts, pa.binary())], ["doc_id", "h", "id", "fp", "firsts"])
+            columns = [part.column("doc_id"), part.column("h"), *(pa.array(x, pa.int64()) for x in (ids, bits)), *(pa.array(x, pa.binary()) for x in (fps, firsts))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "id", "bits", "fp", "firsts"])
 
-    prints = materialise(picked.mapInArrow(run, "doc_id long, h long, id long, fp binary, firsts binary"), "prints")
-    classes = materialise(prints.groupBy("id", "fp", "firsts").agg(F.min("doc_id").alias("rep")), "classes")
+    prints = materialise(picked.mapInArrow(run, "doc_id long, h long, id long, bits long, fp binary, firsts binary"), "prints")
+    classes = materialise(prints.groupBy("id", "bits", "fp", "firsts").agg(F.min("doc_id").alias("rep")), "classes")
     rows = materialise(prints.select("doc_id", "h", "id"), "rows")
     discard(prints)
-    loose = connect(links(classes, similarity), "loose").withColumnRenamed("node", "id")
+    near = near_classes(classes, similarity)
+    edges = links(classes, near, similarity).unionAll(near.select(F.col("id").alias("u"), F.col("near").alias("v")))
+    loose = connect(edges, "loose").withColumnRenamed("node", "id")
     loose = materialise(loose.unionAll(loose.select(F.col("root").alias("id"), "root").distinct()).join(classes.select("id", "fp"), "id"), "classed")
     least = materialise(classes.select("id", "rep"), "least")
     discard(classes)
