@@ -19,7 +19,7 @@ LATEST = "latest AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION
 
 def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first word of each text of ``benchmark``."""
-    return T.read(spark, sf_dir, "benchmark").select(F.lower(F.regexp_extract("text", r"^(\S+)", 1)).alias("query")).distinct()
+    return T.read(spark, sf_dir, "benchmark").select(F.lower(F.regexp_extract("text", T.FIRST_WORD, 1)).alias("query")).distinct()
 
 
 def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,10 @@ def source_ref(url: Column, kind: Column, content: Column, edition: str = "VI",
 # The engine's tables as the test tables stand for them.
 
 
+#: ``^(\S+)`` as RE2 reads it: to Java a vertical tab is white space, too.
+FIRST_WORD = r"^([^\t\n\f\r ]+)"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,8 +107,8 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     tens = F.col("doc_id") % 10
     return read(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), "doc_id",
-        F.regexp_extract("text", r"^(\S+)", 1).alias("lema"),
-        F.lower(F.regexp_extract("text", r"^(\S+)", 1)).alias("lema_lc"),
+        F.regexp_extract("text", FIRST_WORD, 1).alias("lema"),
+        F.lower(F.regexp_extract("text", FIRST_WORD, 1)).alias("lema_lc"),
         F.col("text").alias("definisi"), F.col("lang").alias("edition"),
         F.when(kind == 0, "official-live").when(kind == 1, "official-snapshot").when(kind == 2, "fallback").when(kind == 3, "gov-derived").otherwise("enrichment").alias("source_kind"),
         F.when(tens == 9, "inactive").when(tens == 8, "unresolved").otherwise("active").alias("status"),
